@@ -1,0 +1,32 @@
+"""XML helpers over a string column."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _c(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
+def xml_is_wellformed(xml) -> Column:
+    """True for a non-blank, well-formed document. ``xpath`` fails the whole job on a
+    malformed document, so every xpath call sits behind this guard."""
+    x = _c(xml)
+    parsed = F.from_xml(x, "_corrupt_record STRING", {"mode": "PERMISSIVE"})
+    return x.isNotNull() & (F.trim(x) != "") & parsed["_corrupt_record"].isNull()
+
+
+def xpath_list(xml, path: str) -> Column:
+    """Attribute / text values selected by ``path`` in document order (empty when none)."""
+    return F.coalesce(F.xpath(_c(xml), F.lit(path)), F.array().cast("array<string>"))
+
+
+def xpath_first(xml, path: str) -> Column:
+    """First value selected by ``path`` or null."""
+    return F.nullif(F.xpath_string(_c(xml), F.lit(path)), F.lit(""))
+
+
+def xpath_exists(xml, path: str) -> Column:
+    return F.xpath_boolean(_c(xml), F.lit(path))
