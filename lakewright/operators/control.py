@@ -41,8 +41,9 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
     patch_attrs = list(patch_attrs or [])
     reg = F.struct(F.col("seq").alias("seq"), F.col("ts").alias("ts"),
                    *[F.col(a).alias(a) for a in register_attrs])
+    is_reg = F.col("op") == "register"
     per_wb = log.groupBy("workbook_name").agg(
-        F.max(F.when(F.col("op") == "register", reg)).alias("reg"),
+        F.max_by(F.when(is_reg, reg), F.when(is_reg, F.col("seq"))).alias("reg"),
         F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("del_seq"),
     ).where(F.col("reg").isNotNull())
 
@@ -51,12 +52,13 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
              .where(F.col("seq") > F.col("reg_seq")))
     aggs = [
         F.count_if(F.col("op") == "refresh").alias("refresh_count"),
-        F.max(F.when(F.col("op") == "refresh",
-                     F.struct("seq", "ts", "status", "error"))).alias("last_refresh"),
+        F.max_by(F.when(F.col("op") == "refresh", F.struct("seq", "ts", "status", "error")),
+                 F.when(F.col("op") == "refresh", F.col("seq"))).alias("last_refresh"),
     ]
     for a in patch_attrs:
-        aggs.append(F.max(F.when((F.col("op") == "patch") & F.col(a).isNotNull(),
-                                 F.struct(F.col("seq"), F.col(a).alias("v")))).alias(f"p__{a}"))
+        hit = (F.col("op") == "patch") & F.col(a).isNotNull()
+        aggs.append(F.max_by(F.when(hit, F.struct(F.col("seq"), F.col(a).alias("v"))),
+                             F.when(hit, F.col("seq"))).alias(f"p__{a}"))
     later = after.groupBy("workbook_name").agg(*aggs)
 
     st = per_wb.join(later, "workbook_name", "left")
@@ -146,7 +148,8 @@ def run_rollup(run_log: DataFrame, run_key: str = "run_id", table_col: str = "ta
     errs = F.collect_list(F.when(F.col("status") == "failed",
                                  F.struct(F.col(pos_col).alias("pos"),
                                           F.concat_ws(": ", F.col(table_col), F.col("error")).alias("txt"))))
-    g = run_log.groupBy(run_key).agg(ok, bad, F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("total_rows"),
+    rows_ok = F.sum(F.when(F.col("status") != "failed", F.col("rows")))
+    g = run_log.groupBy(run_key).agg(ok, bad, F.coalesce(rows_ok, F.lit(0)).cast("long").alias("total_rows"),
                                      errs.alias("__errs"))
     if flow == "refresh":
         status = F.when(F.col("n_failed") == 0, "success").when(F.col("n_success") > 0, "partial").otherwise("failed")

@@ -46,11 +46,55 @@ def list_tables(spark: SparkSession, db: str) -> list[str]:
 
 def table_exists(spark: SparkSession, db: str, table: str) -> bool:
     try:
-        return spark.catalog.tableExists(table, db)
+        return spark.catalog.tableExists(f"{_ident(db, table)}")
     except Exception:
         return False
 
 
+def _fs_path(spark: SparkSession, uri: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def namespace_location(spark: SparkSession, db: str) -> str:
+    return spark.catalog.getDatabase(db).locationUri.rstrip("/")
+
+
+def clear_orphan_location(spark: SparkSession, db: str, table: str) -> bool:
+    """Remove the default directory of ``db.table`` when the catalog has no such table.
+
+    Such a directory is left by a session whose (in-memory) catalog is gone or by a
+    write that died before registering the table; it is not a table, and it would
+    block creating one. Returns whether something was removed."""
+    if table_exists(spark, db, table):
+        return False
+    path, fs = _fs_path(spark, f"{namespace_location(spark, db)}/{table.lower()}")
+    if fs.exists(path):
+        fs.delete(path, True)
+        return True
+    return False
+
+
+def write_batch_partition(df: DataFrame, db: str, table: str, batch_column: str) -> None:
+    """Idempotent micro-batch write: replace only the partition(s) present in ``df``.
+
+    Uses the frame's own session (streams run batches on a cloned session), so the
+    dynamic overwrite setting applies to this write; a retried batch overwrites its
+    earlier attempt and an empty batch touches nothing."""
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        if table_exists(spark, db, table):
+            df.write.mode("overwrite").insertInto(_ident(db, table))
+        else:
+            clear_orphan_location(spark, db, table)
+            df.write.mode("overwrite").format("parquet").partitionBy(batch_column).saveAsTable(_ident(db, table))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def drop_tables(spark: SparkSession, db: str, names) -> list[dict]:
     """Drop in sorted order; a missing table counts as dropped; failures are reported, not raised."""
     out = []
@@ -87,6 +131,8 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
             have = spark.table(target).schema
             if [(f.name.lower(), f.dataType) for f in have] != [(f.name.lower(), f.dataType) for f in frame.schema]:
                 raise ValueError(f"append to {db}.{table}: schema differs from the target")
+        else:
+            clear_orphan_location(spark, db, table)
         w = frame.write.mode("append").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -96,6 +142,7 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
         status = "success" if rows else "skipped_empty"
     elif mode == "overwrite":
         staging = _ident(db, table + STAGING_SUFFIX)
+        clear_orphan_location(spark, db, table + STAGING_SUFFIX)
         w = frame.write.mode("overwrite").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -107,6 +154,7 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
             status = "skipped_empty"
         else:
             spark.sql(f"DROP TABLE IF EXISTS {target}")
+            clear_orphan_location(spark, db, table)
             spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
             status = "success" if rows else "skipped_empty"
     else:
