@@ -18,19 +18,24 @@ def relationship_orphans(left: DataFrame, right: DataFrame, from_column: str, to
                          name: str = "relationship") -> DataFrame:
     """Keys on either side without a partner: (relationship, side, orphan_keys, orphan_rows).
 
-    Both sides are first reduced to (key, rows) with partial aggregation, so a hot
-    key is one row per task before any shuffle; the anti joins then run on
-    distinct keys. Null keys are not orphans (they relate to nothing by design).
+    One aggregation, no join: both sides are tagged, unioned and grouped by key,
+    counting rows per side. Each task collapses its share of a key first, so a key
+    holding a third of all rows is one row per task before the single shuffle.
+    Null keys are not orphans (they relate to nothing by design).
     """
-    lk = left.where(F.col(from_column).isNotNull()).groupBy(F.col(from_column).alias("k")) \
-        .agg(F.count(F.lit(1)).alias("rows"))
-    rk = right.where(F.col(to_column).isNotNull()).groupBy(F.col(to_column).alias("k")) \
-        .agg(F.count(F.lit(1)).alias("rows"))
-
-    def side(a, b, label):
-        o = a.join(b.select("k"), "k", "left_anti")
-        return o.agg(F.count(F.lit(1)).alias("orphan_keys"),
-                     F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("orphan_rows")) \
-            .select(F.lit(name).alias("relationship"), F.lit(label).alias("side"), "orphan_keys", "orphan_rows")
-
-    return side(lk, rk, "from").unionByName(side(rk, lk, "to"))
+    lk = left.where(F.col(from_column).isNotNull()).select(F.col(from_column).alias("k"),
+                                                           F.lit(1).alias("l"), F.lit(0).alias("r"))
+    rk = right.where(F.col(to_column).isNotNull()).select(F.col(to_column).alias("k"),
+                                                          F.lit(0).alias("l"), F.lit(1).alias("r"))
+    per_key = lk.unionByName(rk).groupBy("k").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    summary = per_key.agg(
+        F.count_if((F.col("l") > 0) & (F.col("r") == 0)).alias("from_keys"),
+        F.coalesce(F.sum(F.when(F.col("r") == 0, F.col("l"))), F.lit(0)).cast("long").alias("from_rows"),
+        F.count_if((F.col("r") > 0) & (F.col("l") == 0)).alias("to_keys"),
+        F.coalesce(F.sum(F.when(F.col("l") == 0, F.col("r"))), F.lit(0)).cast("long").alias("to_rows"))
+    return summary.select(F.lit(name).alias("relationship"), F.explode(F.array(
+        F.struct(F.lit("from").alias("side"), F.col("from_keys").alias("orphan_keys"),
+                 F.col("from_rows").alias("orphan_rows")),
+        F.struct(F.lit("to").alias("side"), F.col("to_keys").alias("orphan_keys"),
+                 F.col("to_rows").alias("orphan_rows")))).alias("x")) \
+        .select("relationship", "x.side", "x.orphan_keys", "x.orphan_rows")

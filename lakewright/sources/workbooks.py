@@ -32,8 +32,23 @@ WORKBOOK_SCHEMA = T.StructType([
 ])
 
 
+def file_status(spark: SparkSession, path: str) -> dict:
+    """A13 for one named file: existence and size through the Hadoop FileSystem (any shared store).
+    ``error`` is set for a missing or zero-length file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return {"path": path, "exists": False, "length": None, "error": "file not found"}
+    length = int(fs.getFileStatus(p).getLen())
+    return {"path": path, "exists": True, "length": length, "error": "empty file" if length == 0 else None}
+
+
 def list_workbook_files(spark: SparkSession, root: str) -> DataFrame:
-    """A11 + A13: workbook files by suffix (case-insensitive), with size; content is not read."""
+    """Workbook files by suffix (case-insensitive), with size; content is not read.
+
+    Spark's file listing skips zero-length files, so an empty upload never shows up
+    here; ``file_status`` checks a named file explicitly (A13)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
              .select("path", "length", "modificationTime"))
     low = F.lower("path")

@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.operators.control import LATE_START_SECONDS
+from lakewright.operators.dedupe import first_wins
 from lakewright.session import scratch_path
 from lakewright.sinks.tables import ensure_namespace, write_batch_partition
 
 
 def dedupe_notices(notices: DataFrame, lateness: str = f"{LATE_START_SECONDS} seconds") -> DataFrame:
-    """First notice per workbook within the watermark delay (works on batch frames too)."""
+    """First notice per workbook within the watermark delay. On a batch frame (no
+    watermark there) the earliest notice per workbook is kept."""
+    if not notices.isStreaming:
+        return first_wins(notices, ["workbook_name"], ["ts"])
     return notices.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["workbook_name"])
 
 
