@@ -122,34 +122,124 @@ def null_token_text(x, dt: T.DataType | None = None, tokens=None) -> Column:
 # ---------------------------------------------------------------------------
 # dates and timestamps
 # ---------------------------------------------------------------------------
-class ParsedTemporal:
-    """A date/timestamp text value under the accepted shapes.
+DATE_UNION = "(?:" + "|".join(DATE_SHAPES.values()).replace("(", "(?:").replace("(?:?:", "(?:") + ")"
+SHAPE_RE = "^" + DATE_UNION + TIME_PART + ZONE_PART + "$"
+BODY_RE = r"^[0-9/-]+(?:[ T][0-9:.]+)?"
+PARSE_FORMAT = "yyyy-M-d[ H:m[:s][.SSSSSSSSS]]"
+
 
-    One shape test per date layout, one regex to split off a zone suffix, one
-    ``try_to_timestamp`` parse of the wall-clock part. Invalid calendar values
-    (Feb 30) fail the parse.
+class Stages:
+    """Helper columns added in successive projections.
+
+    A parse that several outputs need (shape test, timestamp parse) is computed
+    once per row as its own column; Catalyst keeps such non-cheap, multiply-used
+    columns in their own projection instead of inlining them (and CASE branches
+    are not shared by common-subexpression elimination), so each parse runs once.
     """
 
-    PARSE_FORMAT = "yyyy-M-d[ H:m[:s][.SSSSSSSSS]]"
+    def __init__(self, prefix: str = "__lw"):
+        self.prefix, self.levels, self.n = prefix, [], 0
+
+    def add(self, level: int, col: Column, hint: str = "h") -> Column:
+        while len(self.levels) <= level:
+            self.levels.append([])
+        name = f"{self.prefix}_{hint}{self.n}"
+        self.n += 1
+        self.levels[level].append(col.alias(name))
+        return F.col(name)
+
+    def apply(self, df):
+        for cols in self.levels:
+            if cols:
+                df = df.select("*", *cols)
+        return df
+
+    def names(self) -> list[str]:
+        return [c._jc.toString().split(" AS ")[-1].strip("`") for lv in self.levels for c in lv]
+
+
+class TextNumber:
+    """Numeric text pieces (D4/D5) as helper columns."""
+
+    def __init__(self, s, st: Stages, integer: bool = False):
+        t = st.add(0, F.trim(_c(s)), "t")
+        self.t, self.b = t, None
+        if integer:
+            # plain integers (the common case) need one cast and no regex
+            b = st.add(1, t.try_cast("bigint"), "i")
+            d = st.add(2, F.when(b.isNull() & t.rlike(NUMBER_RE), t.try_cast("double"))
+                        .when(b.isNull() & t.rlike(INFINITY_RE), t.try_cast("double")), "d")
+            self.b = b
+        else:
+            d = st.add(1, F.when(t.rlike(NUMBER_RE) | t.rlike(INFINITY_RE), t.try_cast("double")), "d")
+        self.d = d
+
+    @property
+    def double(self) -> Column:
+        return F.when(~F.isnan(self.d), self.d)
+
+    @property
+    def integer(self) -> Column:
+        return F.coalesce(self.b, F.when(F.abs(self.d) < F.lit(LONG_LIMIT), self.d.try_cast("bigint")))
+
+    @property
+    def integer_blocker(self) -> Column:
+        return self.d.isNotNull() & ((F.abs(self.d) >= F.lit(LONG_LIMIT)) | ((self.d % 1) != 0))
+
+
+class TemporalText:
+    """Date/timestamp text under the accepted shapes (D7, D11, D12) as helper columns.
+
+    One regex tests the shape, one splits off the zone suffix, one
+    ``try_to_timestamp`` parses the wall-clock part (invalid calendar dates fail).
+    """
+
+    def __init__(self, s, st: Stages):
+        t = st.add(0, F.trim(_c(s)), "t")
+        m = st.add(1, t.rlike(SHAPE_RE), "m")
+        body = st.add(2, F.when(m, F.regexp_extract(t, BODY_RE, 0)), "b")     # only for values of a date shape
+        sep = F.substring(t, 5, 1)
+        kind = F.when(sep == "-", F.lit(1)).when(sep == "/", F.lit(2)).otherwise(F.lit(3))
+        has_time = body.contains(" ") | body.contains("T")
+        has_zone = F.length(t) > F.length(body)
+        compact = F.concat(F.substring(body, 1, 4), F.lit("-"), F.substring(body, 5, 2), F.lit("-"),
+                           F.substring(body, 7, 64))
+        norm = F.translate(F.when(kind == 3, compact).otherwise(body), "T/", " -")
+        wall = st.add(3, F.when(m, F.try_to_timestamp(norm, F.lit(PARSE_FORMAT))), "w")
+        self.shape = st.add(3, F.when(m, (kind - 1) * 4 + 1 + has_time.cast("int") * 2 + has_zone.cast("int"))
+                            .otherwise(F.lit(0)), "s")
+        self.has_zone = st.add(3, m & has_zone, "z")
+        self.wall = wall
+        self.ok = m & wall.isNotNull()
+        self.midnight = (F.hour(wall) == 0) & (F.minute(wall) == 0) & (F.second(wall) == 0)
+
+    @property
+    def date(self) -> Column:
+        return F.when(self.ok, F.to_date(self.wall))
+
+    @property
+    def timestamp(self) -> Column:
+        return F.when(self.ok & ~self.has_zone, self.wall)
+
+
+class ParsedTemporal:
+    """Single-expression form of ``TemporalText`` (for ad-hoc use on a few values)."""
 
     def __init__(self, s):
         t = F.trim(_c(s))
-        kind = None
-        for k, date_re in DATE_SHAPES.items():
-            hit = t.rlike("^" + date_re + TIME_PART + ZONE_PART + "$")
-            kind = F.when(hit, F.lit(k)) if kind is None else kind.when(hit, F.lit(k))
-        kind = kind.otherwise(F.lit(0))
-        body = F.regexp_extract(t, r"^[0-9/-]+(?:[ T][0-9:.]+)?", 0)
-        zone = F.substring(t, F.length(body) + 1, 64)
-        self.has_zone = F.length(zone) > 0
-        has_time = body.rlike("[ T]")
-        norm = F.translate(body, "T/", " -")
-        norm = F.when(kind == 3, F.regexp_replace(norm, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")).otherwise(norm)
-        # shape code: layout x time present x zone present; 0 = no accepted shape
-        self.shape = F.when(kind > 0, (kind - 1) * 4 + 1 + has_time.cast("int") * 2 + self.has_zone.cast("int")) \
-            .otherwise(F.lit(0))
-        self.wall = F.when(kind > 0, F.try_to_timestamp(norm, F.lit(self.PARSE_FORMAT)))
-        self.ok = (self.shape > 0) & self.wall.isNotNull()
+        m = t.rlike(SHAPE_RE)
+        body = F.regexp_extract(t, BODY_RE, 0)
+        sep = F.substring(t, 5, 1)
+        kind = F.when(sep == "-", F.lit(1)).when(sep == "/", F.lit(2)).otherwise(F.lit(3))
+        has_time = body.contains(" ") | body.contains("T")
+        has_zone = F.length(t) > F.length(body)
+        compact = F.concat(F.substring(body, 1, 4), F.lit("-"), F.substring(body, 5, 2), F.lit("-"),
+                           F.substring(body, 7, 64))
+        norm = F.translate(F.when(kind == 3, compact).otherwise(body), "T/", " -")
+        self.shape = F.when(m, (kind - 1) * 4 + 1 + has_time.cast("int") * 2 + has_zone.cast("int")).otherwise(F.lit(0))
+        self.has_zone = m & has_zone
+        self.wall = F.when(m, F.try_to_timestamp(norm, F.lit(PARSE_FORMAT)))
+        self.ok = m & self.wall.isNotNull()
         self.midnight = (F.hour(self.wall) == 0) & (F.minute(self.wall) == 0) & (F.second(self.wall) == 0)
 
     @property

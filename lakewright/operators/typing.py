@@ -33,7 +33,10 @@ class ColumnDecision:
 
 @dataclass
 class TypedTable:
-    """Typed frame plus what was decided per column and the new-null flags."""
+    """Typed frame plus what was decided per column and the new-null flags.
+
+    ``source`` is the input with its helper columns (parse pieces computed once per row).
+    """
     source: DataFrame
     exprs: list[Column]
     names: list[str]
@@ -46,12 +49,13 @@ class TypedTable:
 
     def observed(self, observation, *extra: Column) -> DataFrame:
         """Typed frame that fills ``observation`` with rows and per-column new nulls while it is written."""
-        flags = [v.alias(f"__nn_{i}") for i, v in enumerate(self.null_flags.values())]
-        wide = self.source.select(*self.exprs, *flags)
+        keys = list(self.null_flags)
+        src_nn = [self.null_flags[k].alias(f"__nn_{i}") for i, k in enumerate(keys)]
+        wide = self.source.select(*self.exprs, *src_nn)
         metrics = [F.count(F.lit(1)).alias("rows")]
-        metrics += [F.sum(F.col(f"__nn_{i}").cast("long")).alias(f"new_nulls__{k}")
-                    for i, k in enumerate(self.null_flags)]
-        return wide.observe(observation, *metrics, *extra).select(*[F.col(f"`{n}`") for n in self.names])
+        metrics += [F.count_if(F.col(f"__nn_{i}") & _q(k).isNull()).alias(f"new_nulls__{k}")
+                    for i, k in enumerate(keys)]
+        return wide.observe(observation, *metrics, *extra).select(*[_q(n) for n in self.names])
 
 
 def _is_text(dt):
@@ -70,10 +74,14 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
     remaining text columns may turn into DATE / TIMESTAMP: ``undeclared`` (text
     columns not declared ``string``), ``all`` (also declared strings, the
     write-time behaviour of the original service) or ``none``.
+
+    Cost: one aggregate over the helper columns (skipped when no column needs a
+    column-wide decision), then a single projection.
     """
     if sniff not in SNIFF_MODES:
         raise ValueError(f"sniff must be one of {SNIFF_MODES}")
     declared = {k: (v or "").lower() for k, v in (declared or {}).items()}
+    st = C.Stages()
     aggs: dict[str, Column] = {}
     plans = []
     for i, f in enumerate(df.schema.fields):
@@ -85,22 +93,27 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
                 plan["kind"] = "int_direct"
             elif _is_text(dt):
                 plan["kind"] = "int_text"
-                aggs[f"b{i}"] = F.coalesce(F.bool_or(C.text_integer_blocker(c)), F.lit(False))
-                plan["text_after"] = c          # sniffed only if the column is kept as text
+                plan["num"] = C.TextNumber(c, st, integer=True)
+                aggs[f"b{i}"] = F.coalesce(F.bool_or(plan["num"].integer_blocker), F.lit(False))
+                plan["sniff_if_kept"] = sniff != "none"     # sniffed only if the column stays text
             elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
                 plan["kind"] = "int_float"
                 aggs[f"b{i}"] = F.coalesce(F.bool_or(C.float_integer_blocker(c)), F.lit(False))
             else:
                 plan["kind"] = "keep_unsupported"
         elif d == "real":
-            plan["kind"] = ("real_text" if _is_text(dt) else
-                            "real_num" if isinstance(dt, NUMERIC + (T.BooleanType,)) else "keep_unsupported")
+            if _is_text(dt):
+                plan["kind"], plan["num"] = "real_text", C.TextNumber(c, st)
+            else:
+                plan["kind"] = "real_num" if isinstance(dt, NUMERIC + (T.BooleanType,)) else "keep_unsupported"
         elif d == "boolean":
             plan["kind"] = "bool"
         elif d == "date":
-            plan["kind"] = ("date_text" if _is_text(dt) else
-                            "date_temporal" if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType))
-                            else "keep_unsupported")
+            if _is_text(dt):
+                plan["kind"], plan["temporal"] = "date_text", C.TemporalText(c, st)
+            else:
+                plan["kind"] = ("date_temporal" if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType))
+                                else "keep_unsupported")
         elif d == "string":
             plan["kind"] = "string"
             if sniff == "all":
@@ -112,17 +125,22 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
         if plan["kind"] == "none" and isinstance(dt, T.TimestampNTZType) and collapse_midnight:
             aggs[f"m{i}"] = F.coalesce(F.bool_and(F.when(c.isNotNull(), is_midnight(c, dt))), F.lit(False))
         if plan["text_after"] is not None:
-            p = C.ParsedTemporal(plan["text_after"])
-            nn = plan["text_after"].isNotNull()
-            aggs[f"n{i}"] = F.count_if(nn)
-            aggs[f"bad{i}"] = F.count_if(nn & ~p.ok)
-            aggs[f"lo{i}"] = F.min(F.when(nn, p.shape))
-            aggs[f"hi{i}"] = F.max(F.when(nn, p.shape))
-            aggs[f"mid{i}"] = F.coalesce(F.bool_and(F.when(nn, p.midnight)), F.lit(False))
-            aggs[f"z{i}"] = F.coalesce(F.bool_or(F.when(nn, p.has_zone)), F.lit(False))
+            _sniff_aggs(plan, st, aggs)
         plans.append(plan)
 
-    prof = profile_row(df, aggs)
+    prepared = st.apply(df)
+    prof = profile_row(prepared, aggs)
+
+    # Rare second pass: declared-integer text columns the gate kept as text are sniffed too.
+    kept = [p for p in plans if p.get("sniff_if_kept") and prof.get(f"b{p['i']}")]
+    if kept:
+        st2 = C.Stages(prefix="__lw2")
+        aggs2: dict[str, Column] = {}
+        for p in kept:
+            p["text_after"] = _q(p["name"])
+            _sniff_aggs(p, st2, aggs2)
+        prepared = st2.apply(prepared)
+        prof.update(profile_row(prepared, aggs2))
 
     exprs, names, decisions, flags = [], [], [], {}
     for plan in plans:
@@ -137,16 +155,16 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
                 action, note = "keep", "fraction, infinity or out-of-range value: column left unchanged"
                 text_now = kind == "int_text"
             else:
-                out = C.text_integer_value(c) if kind == "int_text" else C.float_to_integer(c)
+                out = plan["num"].integer if kind == "int_text" else C.float_to_integer(c)
                 action = "integer"
         elif kind == "real_text":
-            out, action = C.text_to_double(c), "real"
+            out, action = plan["num"].double, "real"
         elif kind == "real_num":
             out, action = C.to_double_nan_null(c), "real"
         elif kind == "bool":
             out, action = C.token_boolean(c, dt), "boolean"
         elif kind == "date_text":
-            out, action = C.text_to_date(c), "date"
+            out, action = plan["temporal"].date, "date"
         elif kind == "date_temporal":
             out, action = C.temporal_to_date(c), "date"
         elif kind == "string":
@@ -157,10 +175,10 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
         elif kind == "none":
             text_now = plan["text_after"] is not None
         # sniff (D11/D12) on whatever is still text
-        if text_now and plan["text_after"] is not None and f"n{i}" in prof:
+        if text_now and plan.get("sniff") is not None and f"n{i}" in prof:
             n, bad, lo, hi = prof[f"n{i}"], prof[f"bad{i}"], prof[f"lo{i}"], prof[f"hi{i}"]
             if n and bad == 0 and lo == hi:
-                p = C.ParsedTemporal(plan["text_after"])
+                p = plan["sniff"]
                 if prof[f"mid{i}"]:
                     out, action = p.date, "sniff_date"
                 elif not prof[f"z{i}"]:
@@ -173,18 +191,32 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
                 out, action = F.to_date(c), "collapse_date"
             else:
                 out, action = C.ntz_to_utc(c), "utc_timestamp"
-        if action not in ("keep",) and kind != "none" or action.startswith("sniff"):
-            flags[name] = c.isNotNull() & out.isNull()
+        if action not in ("keep", "utc_timestamp", "collapse_date"):
+            flags[name] = c.isNotNull()
         exprs.append(out.alias(name))
         names.append(name)
         decisions.append(ColumnDecision(name, dt.simpleString(), d, action, note=note))
 
-    typed = TypedTable(df, exprs, names, decisions, flags)
+    typed = TypedTable(prepared, exprs, names, decisions, flags)
     for dec, f in zip(decisions, typed.df.schema.fields):
         dec.result_type = f.dataType.simpleString()
     return typed
 
 
+def _sniff_aggs(plan: dict, st, aggs: dict) -> None:
+    """Shape / parse / midnight facts of a text column for the sniff decision."""
+    i = plan["i"]
+    p = C.TemporalText(plan["text_after"], st)
+    plan["sniff"] = p
+    nn = plan["text_after"].isNotNull()
+    aggs[f"n{i}"] = F.count_if(nn)
+    aggs[f"bad{i}"] = F.count_if(nn & ~p.ok)
+    aggs[f"lo{i}"] = F.min(F.when(nn, p.shape))
+    aggs[f"hi{i}"] = F.max(F.when(nn, p.shape))
+    aggs[f"mid{i}"] = F.coalesce(F.bool_and(F.when(nn & p.ok, p.midnight)), F.lit(False))
+    aggs[f"z{i}"] = F.coalesce(F.bool_or(F.when(nn, p.has_zone)), F.lit(False))
+
+
 def coerce(df: DataFrame, declared: dict[str, str] | None = None, **kw) -> DataFrame:
     """Convenience: the typed DataFrame only."""
     return coerce_table(df, declared, **kw).df

@@ -12,6 +12,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +33,36 @@ def select_tables(available: list[str], requested: list[str] | None) -> list[str
     return keep
 
 
-def land(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def land(spark: SparkSession, df: DataFrame, label: str, spread: int | None = None) -> DataFrame:
     """Write the raw source once to the shared scratch folder and read it back.
 
     Cuts lineage (a lost executor re-reads landed files, not the source) and
-    makes the profile and the write see exactly the same rows."""
+    makes the profile and the write see exactly the same rows. ``spread``
+    round-robins a source with too few partitions over that many files, so the
+    CPU-heavy parse runs on every core."""
     path = scratch_path(spark, "landing", label, unique=True)
-    df.write.mode("overwrite").parquet(path)
+    (df.repartition(spread) if spread else df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def prepare_source(spark: SparkSession, source, df: DataFrame, land_mode, label: str):
+    """Decide how the profile and the write read the source. Returns (frame, release).
+
+    ``True``: land to the shared scratch folder. ``auto``: land JDBC sources (read
+    once); spread a source with fewer partitions than the cluster has cores over
+    all cores (repartition + persist, rebuilt from lineage if an executor is lost)
+    so the CPU-heavy parse uses every core; read large file sources in place.
+    """
+    if land_mode is True or (land_mode == "auto" and isinstance(source, JdbcSource)):
+        return land(spark, df, label), None
+    if land_mode == "auto":
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            spread = df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+            return spread, spread.unpersist
+    return df, None
+
+
 def _declared_for(declared, table: str) -> dict:
     if not declared:
         return {}
@@ -56,11 +77,14 @@ def load_one(spark, source, table: str, db: str, *, declared=None, sniff="undecl
     t0 = time.time()
     started = datetime.now(timezone.utc)
     try:
-        df = source.read(table)
-        if land_mode is True or (land_mode == "auto" and isinstance(source, JdbcSource)):
-            df = land(spark, df, table)
-        typed = coerce_table(df, _declared_for(declared, table), sniff=sniff, collapse_midnight=collapse_midnight)
-        res = write_table(spark, typed, db, table)
+        df, release = prepare_source(spark, source, source.read(table), land_mode, table)
+        try:
+            typed = coerce_table(df, _declared_for(declared, table), sniff=sniff,
+                                 collapse_midnight=collapse_midnight)
+            res = write_table(spark, typed, db, table)
+        finally:
+            if release is not None:
+                release()
         res.update(error=None)
     except Exception as e:  # noqa: BLE001 - isolation per table
         res = {"table_name": table, "rows": 0, "columns": 0, "status": "failed", "error": str(e).split("\n")[0],
