@@ -21,6 +21,9 @@ NULL_TEXT_TOKENS = ["nan", "<NA>", "None"]
 # Numbers accepted as text: optional sign, digits with optional fraction, or a
 # leading-dot fraction, optional exponent. Hex, '_' and ',' separators are rejected.
 NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Plain integers. Casts only run behind these shape tests: a failing try_cast costs
+# an exception per value inside Spark, a failing regex does not.
+INTEGER_RE = r"^[+-]?\d{1,19}$"
 INFINITY_RE = r"(?i)^[+-]?(inf|infinity)$"
 NAN_RE = r"(?i)^[+-]?nan$"
 LONG_LIMIT = 9.223372036854775807e18
@@ -58,8 +61,8 @@ def text_to_double(s) -> Column:
 def text_integer_value(s) -> Column:
     """D4 value: bigint-first parse (keeps 2^53+ digits), then via double for '1e3' / '12.0'."""
     t, num_ok, _ = text_number_parts(s)
-    d = t.try_cast("double")
-    return F.when(num_ok, F.coalesce(t.try_cast("bigint"),
+    d = F.when(num_ok, t.try_cast("double"))
+    return F.when(num_ok, F.coalesce(F.when(t.rlike(INTEGER_RE), t.try_cast("bigint")),
                                      F.when(F.abs(d) < F.lit(LONG_LIMIT), d.try_cast("bigint"))))
 
 
@@ -67,8 +70,8 @@ def text_integer_blocker(s) -> Column:
     """D4 gate, per value: true when the value would stop the whole column from becoming integer
     (a fraction, an infinity, or a magnitude beyond bigint)."""
     t, num_ok, inf_ok = text_number_parts(s)
-    d = t.try_cast("double")
-    return inf_ok | (num_ok & d.isNotNull() & ((d != F.floor(d)) | (F.abs(d) >= F.lit(LONG_LIMIT))))
+    d = F.when(num_ok, t.try_cast("double"))
+    return inf_ok | (d.isNotNull() & ((F.abs(d) >= F.lit(LONG_LIMIT)) | ((d % 1) != 0)))
 
 
 def float_integer_blocker(x) -> Column:
@@ -166,7 +169,7 @@ class TextNumber:
         self.t, self.b = t, None
         if integer:
             # plain integers (the common case) need one cast and no regex
-            b = st.add(1, t.try_cast("bigint"), "i")
+            b = st.add(1, F.when(t.rlike(INTEGER_RE), t.try_cast("bigint")), "i")
             d = st.add(2, F.when(b.isNull() & t.rlike(NUMBER_RE), t.try_cast("double"))
                         .when(b.isNull() & t.rlike(INFINITY_RE), t.try_cast("double")), "d")
             self.b = b

@@ -44,6 +44,13 @@ def current_tables(diff: DataFrame, table_filter: list[str] | None = None) -> Da
     return cur
 
 
+def registered_only(catalog: DataFrame, registered: DataFrame, name_col: str = "clean_name",
+                    registered_col: str = "table_name") -> DataFrame:
+    """Keep catalog rows whose table is registered (exact name), as a left-semi join."""
+    return catalog.join(registered.select(F.col(registered_col).alias("__reg")),
+                        F.col(name_col) == F.col("__reg"), "left_semi")
+
+
 def schema_table(schema: T.StructType) -> list[tuple[str, str, int]]:
     return [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(schema.fields)]
 

@@ -217,6 +217,19 @@ def _sniff_aggs(plan: dict, st, aggs: dict) -> None:
     aggs[f"z{i}"] = F.coalesce(F.bool_or(F.when(nn, p.has_zone)), F.lit(False))
 
 
+def declared_lookup(table_columns: DataFrame, workbook_columns: DataFrame) -> DataFrame:
+    """Each (table, column) with its workbook's declared type, or null when undeclared.
+
+    ``table_columns``: (workbook, table_name, column); ``workbook_columns``: the
+    ``operators.workbook.workbook_columns`` output. Matching is exact on the column name.
+    """
+    decl = workbook_columns.select("workbook", "column", "declared_type")
+    from lakewright.functions.types import declared_spark_type
+    out = table_columns.join(decl, ["workbook", "column"], "left")
+    return out.withColumn("spark_type", F.when(F.col("declared_type").isNotNull(),
+                                                declared_spark_type("declared_type")))
+
+
 def coerce(df: DataFrame, declared: dict[str, str] | None = None, **kw) -> DataFrame:
     """Convenience: the typed DataFrame only."""
     return coerce_table(df, declared, **kw).df

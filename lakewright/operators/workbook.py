@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.functions import names as N
-from lakewright.functions.xml import xml_is_wellformed, xpath_exists, xpath_first, xpath_list
+from lakewright.functions.xml import xml_is_wellformed, xpath_first, xpath_list
 from lakewright.operators.dedupe import first_wins, first_wins_casefold
 
 # Workbook XML paths, filters and connection classes.
@@ -31,6 +31,12 @@ NO_CONNECTION_ERROR = ("No supported live connection found in this workbook. "
 
 
 def _guarded(corpus: DataFrame) -> DataFrame:
+    """Spread the corpus over all cores when it has fewer partitions (XML parsing is CPU
+    heavy per row and binaryFile packs many small files per partition), then flag
+    well-formed documents."""
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    if corpus.rdd.getNumPartitions() < cores:
+        corpus = corpus.repartition(cores)
     return corpus.withColumn("__ok", xml_is_wellformed("xml"))
 
 
@@ -71,51 +77,51 @@ def workbook_tables(corpus: DataFrame) -> DataFrame:
         "workbook", "table", F.col("pos").cast("int").alias("pos"))
 
 
-def _attr(cls: str, attr: str):
-    return xpath_first("xml", f"({NAMED_CONNECTION}[@class='{cls}'])[1]/@{attr}")
+CONNECTION_ATTRS = ["server", "dbname", "schema", "warehouse", "username", "v-http-path", "catalog", "database"]
 
 
 def workbook_connections(corpus: DataFrame) -> DataFrame:
     """Connection descriptor (C5, J7-J9): (workbook, connection_class, source_type, params, error).
 
-    The first connection of the first class present in precedence order is used;
-    only the chosen class's attributes are read (the CASE branch is lazy).
+    The first connection of the first class present in precedence order is used.
+    One xpath lists the classes; each attribute is then read once, only for the
+    chosen class (a CASE evaluates just the matching branch).
     """
     g = _guarded(corpus).where("__ok")
-    present = {c: xpath_exists("xml", f"boolean({NAMED_CONNECTION}[@class='{c}'])") for c in CONNECTION_CLASSES}
+    g = g.withColumn("__classes", xpath_list("xml", f"{NAMED_CONNECTION}/@class"))
     cls = None
     for c in CONNECTION_CLASSES:
-        cls = F.when(present[c], F.lit(c)) if cls is None else cls.when(present[c], F.lit(c))
+        hit = F.array_contains("__classes", c)
+        cls = F.when(hit, F.lit(c)) if cls is None else cls.when(hit, F.lit(c))
     g = g.withColumn("connection_class", cls)
+    cc = F.col("connection_class")
+    attrs = {}
+    for a in CONNECTION_ATTRS:
+        e = None
+        for c in CONNECTION_CLASSES:
+            v = xpath_first("xml", f"({NAMED_CONNECTION}[@class='{c}'])[1]/@{a}")
+            e = F.when(cc == c, v) if e is None else e.when(cc == c, v)
+        attrs[a] = e
+    g = g.select("workbook", "connection_class", *[attrs[a].alias(f"__a_{a}") for a in CONNECTION_ATTRS])
+    A = {a: F.col(f"`__a_{a}`") for a in CONNECTION_ATTRS}
 
     def m(**kv):
         return F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v)])
 
-    sf_server = _attr("snowflake", "server")
-    snow = m(server=sf_server, account=N.server_account(sf_server), database=_attr("snowflake", "dbname"),
-             schema=_attr("snowflake", "schema"), warehouse=_attr("snowflake", "warehouse"),
-             username=_attr("snowflake", "username"))
-
-    def sql(c):
-        srv = _attr(c, "server")
-        return m(server=srv, database=_attr(c, "dbname"), username=_attr(c, "username"),
-                 is_azure=N.is_azure_host(srv).cast("string"))
-
-    def dbx(c):
-        return m(server_hostname=_attr(c, "server"), http_path=_attr(c, "v-http-path"),
-                 catalog=N.first_non_empty(_attr(c, "catalog"), _attr(c, "database")),
-                 schema=N.first_non_empty(_attr(c, "schema"), _attr(c, "dbname")))
-
-    cc = F.col("connection_class")
-    params = (F.when(cc == "snowflake", snow).when(cc == "sqlserver", sql("sqlserver"))
-              .when(cc == "azure_sqldb", sql("azure_sqldb")).when(cc == "databricks", dbx("databricks"))
-              .when(cc == "spark", dbx("spark")))
-    g = g.withColumn("params", params)
+    snow = m(server=A["server"], account=N.server_account(A["server"]), database=A["dbname"], schema=A["schema"],
+             warehouse=A["warehouse"], username=A["username"])
+    sql = m(server=A["server"], database=A["dbname"], username=A["username"],
+            is_azure=N.is_azure_host(A["server"]).cast("string"))
+    dbx = m(server_hostname=A["server"], http_path=A["v-http-path"],
+            catalog=N.first_non_empty(A["catalog"], A["database"]),
+            schema=N.first_non_empty(A["schema"], A["dbname"]))
+    params = (F.when(cc == "snowflake", snow).when(cc.isin("sqlserver", "azure_sqldb"), sql)
+              .when(cc.isin("databricks", "spark"), dbx))
     stype = (F.when(cc == "snowflake", "snowflake")
              .when(cc.isin("sqlserver", "azure_sqldb"),
-                   F.when(F.col("params")["is_azure"] == "true", "azuresql").otherwise("sqlserver"))
+                   F.when(N.is_azure_host(A["server"]), "azuresql").otherwise("sqlserver"))
              .when(cc.isin("databricks", "spark"), "databricks"))
-    return g.select("workbook", "connection_class", stype.alias("source_type"), "params",
+    return g.select("workbook", "connection_class", stype.alias("source_type"), params.alias("params"),
                     F.when(cc.isNull(), F.lit(NO_CONNECTION_ERROR)).alias("error"))
 
 

@@ -116,8 +116,12 @@ def summarize(results: list[dict], flow: str = "migrate") -> dict:
     ok = [r for r in results if r["status"] != "failed"]
     bad = [r for r in results if r["status"] == "failed"]
     status = "success" if not bad else ("partial" if ok else "failed")
+    msg = f"'{{wb}}' {'migrated' if flow == 'migrate' else 'refreshed'} - {len(ok)} table(s)."
+    if bad:
+        msg += f" {len(bad)} failed."
     return {
         "status": status,
+        "message_template": msg,
         "total_migrated": len(ok),
         "total_failed": len(bad),
         "total_rows": sum(int(r.get("rows") or 0) for r in ok),
@@ -150,6 +154,7 @@ def ingest(spark: SparkSession, source, db: str, *, workbook: str | None = None,
         control.log_runs([{**{k: v for k, v in r.items() if k in RUN_LOG_SCHEMA.fieldNames()},
                            "workbook_name": wb} for r in results])
     return {"workbook_name": wb, "namespace": ns, "status": summary["status"], "summary": summary,
+            "message": summary["message_template"].replace("{wb}", wb),
             "tables": results, "duration_seconds": round(time.time() - started, 2)}
 
 

@@ -128,3 +128,15 @@ def test_column_profile(spark):
     df = spark.sql("SELECT * FROM VALUES (1, timestamp_ntz'2024-01-01 00:00:00'), (NULL, timestamp_ntz'2024-01-02 00:00:00') AS t(a, b)")
     got = {r.column_name: (r.n_rows, r.n_nulls, r.all_midnight) for r in column_profile(df).collect()}
     assert got == {"a": (2, 1, None), "b": (2, 0, True)}
+
+
+def test_registered_only_and_declared_lookup(spark):
+    from lakewright.operators.sync import registered_only
+    from lakewright.operators.typing import declared_lookup
+    cat = spark.createDataFrame([("a", 0), ("b", 1), ("C", 2)], "clean_name string, table_idx int")
+    reg = spark.createDataFrame([("a",), ("c",)], "table_name string")
+    assert [r.clean_name for r in registered_only(cat, reg).collect()] == ["a"]
+    tc = spark.createDataFrame([("w", "t", "ID"), ("w", "t", "X")], "workbook string, table_name string, column string")
+    wc = spark.createDataFrame([("w", "ID", "integer", 0)], "workbook string, column string, declared_type string, pos int")
+    got = {r.column: (r.declared_type, r.spark_type) for r in declared_lookup(tc, wc).collect()}
+    assert got == {"ID": ("integer", "BIGINT"), "X": (None, None)}
