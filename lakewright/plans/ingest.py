@@ -164,3 +164,53 @@ def table_results_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
                                   for r in results],
                                  "table_name string, rows bigint, columns int, status string") \
         .select("table_name", "rows", F.col("columns"), "status")
+
+
+def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extract_source=None, credentials=None,
+                     tables: list[str] | None = None, sniff: str = "undeclared", control=None,
+                     schedule: dict | None = None) -> dict:
+    """L1 end to end for one workbook file (plain or packaged).
+
+    The workbook is parsed by the corpus job (declared column types, table names,
+    connection). Extracted mode reads ``extract_source`` (e.g. a ``DirectorySource``
+    of the unpacked extract); live mode builds a JDBC source from the workbook's
+    connection plus caller-supplied ``credentials`` ({"user", "password"}). Only the
+    workbook's tables are ingested, further narrowed by ``tables`` (C1).
+    """
+    from lakewright.operators.workbook import declared_types_of, extract_metadata
+    from lakewright.plans.registry import ControlLog  # noqa: F401 - type of ``control``
+    from lakewright.sources.jdbc import source_for
+    from lakewright.sources.workbooks import read_workbooks
+
+    wb_rows = read_workbooks(spark, workbook_path).collect()     # one row per workbook file
+    if len(wb_rows) != 1:
+        raise ValueError(f"expected one workbook at {workbook_path}, found {len(wb_rows)}")
+    wb = wb_rows[0]
+    if wb["error"]:
+        raise ValueError(f"workbook '{wb['workbook']}': {wb['error']}")
+    corpus = spark.createDataFrame([(wb["workbook"], wb["xml"])], "workbook string, xml string")
+    meta = extract_metadata(corpus)
+    errors = meta["errors"].collect()
+    if errors:
+        raise ValueError(f"workbook '{wb['workbook']}': {errors[0]['error']}")
+    declared = declared_types_of(meta["columns"], wb["workbook"])
+    wb_tables = [r["table"] for r in meta["tables"].orderBy("pos").collect()]
+    conn = meta["connections"].first()
+    if extract_source is not None or wb["has_extract"]:
+        if extract_source is None:
+            raise ValueError("packaged workbook with an extract: pass extract_source (unpacked table files)")
+        source, mode, stype, params = extract_source, "extracted", "extract", {}
+        wanted = tables
+    else:
+        if conn is None or conn["source_type"] is None:
+            raise ValueError(conn["error"] if conn else "no connection")
+        creds = credentials or {}
+        source = source_for(conn["source_type"], dict(conn["params"]), user=creds.get("user"),
+                            password=creds.get("password"))
+        mode, stype, params = "live", conn["source_type"], dict(conn["params"])
+        wanted = [t for t in wb_tables if not tables or t in tables]
+    register = {"file_name": wb["path"].rsplit("/", 1)[-1], "data_mode": mode, "source_type": stype,
+                "connection_details": params, **(schedule or {})}
+    return ingest(spark, source, db, workbook=wb["workbook"], tables=wanted, declared=declared, sniff=sniff,
+                  control=control, register=register,
+                  secret_supplied=bool((credentials or {}).get("password")))

@@ -119,3 +119,32 @@ def test_control_log_api(spark):
     assert control.delete("w") is True and control.get("w") is None and control.delete("w") is False
     # a new session object over the same folder sees the same log
     assert ControlLog(spark, "t_ctl_c").events().count() == 4
+
+
+def test_migrate_workbook_extracted(spark, tmp_path):
+    import io
+    import zipfile
+    from lakewright.plans.ingest import migrate_workbook
+    doc = """<workbook><datasources><datasource><connection>
+      <relation type="table" table="[Extract].[orders]"/></connection>
+      <column name="[o_totalprice]" datatype="real"/><column name="[o_custkey]" datatype="integer"/>
+      </datasource></datasources></workbook>"""
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("Book.twb", doc)
+        zf.writestr("Data/Extracts/orders.hyper", b"x")
+    wbdir = tmp_path / "wb"
+    wbdir.mkdir()
+    (wbdir / "Sales.twbx").write_bytes(buf.getvalue())
+    ext = str(tmp_path / "extract")
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    o.select(*[F.col(c).cast("string") for c in o.columns]).write.parquet(f"{ext}/orders.parquet")
+    control = ControlLog(spark, "t_ctl_m")
+    res = migrate_workbook(spark, str(wbdir), "t_mig", extract_source=DirectorySource(spark, ext), control=control)
+    assert res["status"] == "success" and res["workbook_name"] == "Sales"
+    t = spark.table("t_mig.orders")
+    assert t.schema["o_custkey"].dataType.simpleString() == "bigint"
+    assert t.schema["o_totalprice"].dataType.simpleString() == "double"
+    assert t.schema["o_orderdate"].dataType.simpleString() == "date"          # sniffed text
+    rec = control.get("Sales")
+    assert rec["data_mode"] == "extracted" and rec["declared_types"] == {"o_totalprice": "real", "o_custkey": "integer"}

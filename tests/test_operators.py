@@ -140,3 +140,37 @@ def test_registered_only_and_declared_lookup(spark):
     wc = spark.createDataFrame([("w", "ID", "integer", 0)], "workbook string, column string, declared_type string, pos int")
     got = {r.column: (r.declared_type, r.spark_type) for r in declared_lookup(tc, wc).collect()}
     assert got == {"ID": ("integer", "BIGINT"), "X": (None, None)}
+
+
+ops = st.sampled_from(["register", "refresh", "patch", "delete"])
+events = st.lists(st.tuples(st.sampled_from(["w1", "w2", "w3"]), ops, st.integers(5, 60),
+                            st.sampled_from(["success", "failed"])), min_size=1, max_size=25)
+
+
+def _fold(evs):
+    """Brute-force reference: replay events in order on a dict, like the original registry."""
+    state = {}
+    for seq, (wb, op, n, status) in enumerate(evs):
+        if op == "register":
+            state[wb] = {"interval": n, "count": 0, "status": None, "reg": seq}
+        elif op == "refresh" and wb in state:
+            state[wb]["count"] += 1
+            state[wb]["status"] = status
+        elif op == "patch" and wb in state:
+            state[wb]["interval"] = n
+        elif op == "delete":
+            state.pop(wb, None)
+    return {k: (v["interval"], v["count"], v["status"]) for k, v in state.items()}
+
+
+@settings(max_examples=12, deadline=None)
+@given(evs=events, parts=st.integers(1, 5))
+def test_registry_state_matches_replay_in_any_partitioning(spark, evs, parts):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(wb, seq, op, t0 + dt.timedelta(minutes=seq), status if op == "refresh" else None, None, None,
+             n if op in ("register", "patch") else None, None, None)
+            for seq, (wb, op, n, status) in enumerate(evs)]
+    log = _log(spark, rows).repartition(parts)
+    got = {r.workbook_name: (r.refresh_interval_minutes, r.refresh_count, r.last_refresh_status)
+           for r in registry_state(log, ["refresh_interval_minutes"], ["refresh_interval_minutes"]).collect()}
+    assert got == _fold(evs)
