@@ -26,6 +26,7 @@ from lakewright.operators.workbook import (parse_errors, workbook_columns, workb
 from lakewright.plans.ingest import ingest, select_tables, table_results_frame
 from lakewright.plans.refresh import refresh
 from lakewright.plans.registry import ControlLog
+from lakewright.session import scratch_path
 from lakewright.sinks.tables import ensure_namespace, write_table
 from lakewright.sources.catalog import DirectorySource, FrameSource
 from lakewright.sources.files import read_table_file
@@ -442,7 +443,7 @@ def refresh_flow(spark, sf_dir):
     declared types applied again."""
     c = table(spark, sf_dir, "customer")
     db = f"{SUITE_DB}_refresh"
-    control = ControlLog(spark, f"{SUITE_DB}_control")
+    control = ControlLog(spark, f"{SUITE_DB}_control", location=scratch_path(spark, "suite_control", unique=True))
     declared = {"c_custkey": "integer", "c_nationkey": "integer", "c_acctbal": "real"}
     snap1 = FrameSource({"customer": _text_copy(c), "region": _text_copy(table(spark, sf_dir, "region"))})
     ingest(spark, snap1, db, workbook="suite_refresh", declared=declared, control=control)
