@@ -115,9 +115,10 @@ class JdbcSource:
         return r.load()
 
     def bounds(self, spark: SparkSession, table: str, column: str):
+        """Partition bounds from one MIN/MAX query run by the source (one small row)."""
         q = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {self.table_ref(table)}"
         row = spark.read.format("jdbc").options(**self.options()).option("query", q).load().first()
-        return (row["LO"] if "LO" in row else row[0], row["HI"] if "HI" in row else row[1]) if row else (None, None)
+        return (row[0], row[1]) if row is not None else (None, None)
 
 
 def source_for(source_type: str, params: dict, user: str | None = None, password: str | None = None,
