@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakewright.functions import coerce as C
 from lakewright.operators.typing import coerce_table
 from lakewright.session import scratch_path
 from lakewright.sinks.tables import ensure_namespace, table_exists, write_batch_partition
@@ -31,13 +32,26 @@ class _BatchWriter:
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         if self.schema is None:
-            typed = coerce_table(batch, self.declared, sniff=self.sniff).df
+            tt = coerce_table(batch, self.declared, sniff=self.sniff)
+            typed = tt.df
             self.schema = typed.schema
         else:
-            typed = coerce_table(batch, self.declared, sniff="none").df
-            typed = typed.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-                                   if f.name in typed.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                                   for f in self.schema.fields])
+            # later batches (and restarts) keep the target's types: declared coercion, then a
+            # cast to the target schema
+            base = coerce_table(batch, self.declared, sniff="none").df     # sniffed columns stay text here
+            cols = []
+            for f in self.schema.fields:
+                if f.name not in base.columns:
+                    cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+                elif (isinstance(base.schema[f.name].dataType, T.StringType)
+                      and isinstance(f.dataType, (T.DateType, T.TimestampType))):
+                    # text that became a date / timestamp in the target (sniffed earlier, maybe
+                    # before a restart): the same per-value parse as the sniffer
+                    p = C.ParsedTemporal(base[f"`{f.name}`"])
+                    cols.append((p.date if isinstance(f.dataType, T.DateType) else p.timestamp).alias(f.name))
+                else:
+                    cols.append(base[f"`{f.name}`"].try_cast(f.dataType).alias(f.name))
+            typed = base.select(*cols)
         out = typed.withColumn(BATCH_COLUMN, F.lit(int(epoch_id)).cast("long"))
         write_batch_partition(out, self.db, self.table, BATCH_COLUMN)
 

@@ -31,6 +31,21 @@ def test_refresh_stream_incremental_and_idempotent(spark, tmp_path):
     assert spark.table("t_stream.tgt").where("__batch = 77").count() == 1
 
 
+def test_stream_keeps_first_batch_decisions(spark, tmp_path):
+    landing = str(tmp_path / "landing2")
+    schema = "id string, day string"
+    spark.createDataFrame([("1", "2024/1/5"), ("2", "2024/1/6")], schema).write.mode("append").parquet(landing)
+    st = spark.createDataFrame([], schema).schema
+    ck = str(tmp_path / "ck2")
+    start_refresh_stream(spark, landing, st, "t_stream", "tgt2", declared={"id": "integer"}, checkpoint=ck) \
+        .awaitTermination()
+    spark.createDataFrame([("3", "2024/2/7")], schema).write.mode("append").parquet(landing)
+    start_refresh_stream(spark, landing, st, "t_stream", "tgt2", declared={"id": "integer"}, checkpoint=ck) \
+        .awaitTermination()
+    got = sorted((r.id, r.day.isoformat()) for r in spark.table("t_stream.tgt2").collect())
+    assert got == [(1, "2024-01-05"), (2, "2024-01-06"), (3, "2024-02-07")]
+
+
 def test_notice_dedupe(spark, tmp_path):
     import datetime as dt
     t = lambda m: dt.datetime(2024, 1, 1, 0, m)
