@@ -182,14 +182,15 @@ def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extrac
     from lakewright.sources.jdbc import source_for
     from lakewright.sources.workbooks import read_workbooks
 
-    wb_rows = read_workbooks(spark, workbook_path).collect()     # one row per workbook file
-    if len(wb_rows) != 1:
-        raise ValueError(f"expected one workbook at {workbook_path}, found {len(wb_rows)}")
-    wb = wb_rows[0]
+    files = read_workbooks(spark, workbook_path)
+    # only names, flags and errors come to the driver; the document stays in the DataFrame
+    heads = files.select("workbook", "path", "has_extract", "error").collect()
+    if len(heads) != 1:
+        raise ValueError(f"expected one workbook at {workbook_path}, found {len(heads)}")
+    wb = heads[0]
     if wb["error"]:
         raise ValueError(f"workbook '{wb['workbook']}': {wb['error']}")
-    corpus = spark.createDataFrame([(wb["workbook"], wb["xml"])], "workbook string, xml string")
-    meta = extract_metadata(corpus)
+    meta = extract_metadata(files.select("workbook", "xml"))
     errors = meta["errors"].collect()
     if errors:
         raise ValueError(f"workbook '{wb['workbook']}': {errors[0]['error']}")
