@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lakewright.operators.typing import coerce_table
 from lakewright.plans.registry import RUN_LOG_SCHEMA
-from lakewright.session import scratch_path
+from lakewright.session import in_pool, scratch_path
 from lakewright.sinks.tables import ensure_namespace, write_table
 from lakewright.sources.jdbc import JdbcSource
 
@@ -99,8 +99,12 @@ def load_many(spark, source, tables: list[str], db: str, *, parallel: int = 1, *
     args = [(t, i) for i, t in enumerate(tables)]
     if parallel <= 1:
         return [load_one(spark, source, t, db, pos=i, run_id=run_id, **kw) for t, i in args]
+    def one(a):
+        in_pool(spark, f"table-{a[1] % parallel}")
+        return load_one(spark, source, a[0], db, pos=a[1], run_id=run_id, **kw)
+
     with ThreadPoolExecutor(max_workers=parallel) as ex:
-        return list(ex.map(lambda a: load_one(spark, source, a[0], db, pos=a[1], run_id=run_id, **kw), args))
+        return list(ex.map(one, args))
 
 
 def run_log_frame(spark: SparkSession, results: list[dict], workbook: str = "") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakewright.operators.sync import catalog_diff
 from lakewright.plans.ingest import load_many, summarize
+from lakewright.session import in_pool
 from lakewright.sinks.tables import drop_tables
 
 
@@ -73,6 +74,8 @@ def refresh_all(spark: SparkSession, control, sources: dict, *, parallel: int =
     names = [r["workbook_name"] for r in control.state().select("workbook_name").collect()]
 
     def one(wb):
+        if parallel > 1:
+            in_pool(spark, f"workbook-{abs(hash(wb)) % parallel}")
         if wb not in sources:
             return {"workbook_name": wb, "status": "skipped", "tables": []}
         try:

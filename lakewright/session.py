@@ -25,13 +25,18 @@ SESSION_DEFAULTS = {
 
 
 def build_session(master: str = "local[*]", app_name: str = "lakewright",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  fair: bool = False) -> SparkSession:
     """Create (or fetch) a session with lakewright's defaults.
 
+    ``fair`` turns on the FAIR scheduler so tables / workbooks refreshed from several
+    driver threads share the cluster (each thread runs in its own pool).
     The UI stays off; nothing here opens a port beyond Spark's own.
     """
     b = SparkSession.builder.master(master).appName(app_name)
     b = b.config("spark.ui.enabled", "false")
+    if fair:
+        b = b.config("spark.scheduler.mode", "FAIR")
     for k, v in SESSION_DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -84,3 +89,8 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
         segs.append(uuid.uuid4().hex)
     return os.path.join(*segs) if not segs[0].startswith(("hdfs:", "s3", "abfs", "gs:", "file:")) \
         else "/".join(s.strip("/") if i else s.rstrip("/") for i, s in enumerate(segs))
+
+
+def in_pool(spark: SparkSession, name: str):
+    """Run the calling thread's Spark jobs in scheduler pool ``name`` (FAIR mode)."""
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)

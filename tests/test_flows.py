@@ -148,3 +148,9 @@ def test_migrate_workbook_extracted(spark, tmp_path):
     assert t.schema["o_orderdate"].dataType.simpleString() == "date"          # sniffed text
     rec = control.get("Sales")
     assert rec["data_mode"] == "extracted" and rec["declared_types"] == {"o_totalprice": "real", "o_custkey": "integer"}
+
+
+def test_parallel_load(spark):
+    src = FrameSource({f"t{i}": spark.range(i + 1).withColumn("v", F.col("id").cast("string")) for i in range(4)})
+    res = ingest(spark, src, "t_par", workbook="par", parallel=3, declared={"v": "integer"})
+    assert res["status"] == "success" and [t["rows"] for t in res["tables"]] == [1, 2, 3, 4]
