@@ -63,6 +63,51 @@ RUN_LOG_SCHEMA = T.StructType([
 ])
 
 
+class _Versions:
+    """A folder of numbered versions ``v00000, v00001, ...`` of one Parquet dataset.
+
+    Appends go to the newest version; ``replace`` writes the next version in full and
+    then removes the older ones, so readers (who take the newest complete version)
+    never see a half-written state."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.base)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[int]:
+        path, fs = self._fs()
+        if not fs.exists(path):
+            return []
+        out = []
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v") and name[1:].isdigit() \
+                    and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[1:]))
+        return sorted(out)
+
+    def current(self) -> str | None:
+        v = self._versions()
+        return f"{self.base}/v{v[-1]:05d}" if v else None
+
+    def append(self, df: DataFrame) -> None:
+        v = self._versions()
+        df.write.mode("append").parquet(f"{self.base}/v{(v[-1] if v else 0):05d}")
+
+    def replace(self, df: DataFrame) -> None:
+        v = self._versions()
+        nxt = (v[-1] + 1) if v else 0
+        df.write.mode("overwrite").parquet(f"{self.base}/v{nxt:05d}")
+        _, fs = self._fs()
+        jvm = self.spark.sparkContext._jvm
+        for old in v:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.base}/v{old:05d}"), True)
+
+
 class ControlLog:
     """Registry for one control namespace. Single writer per driver (a lock orders ``seq``)."""
 
@@ -75,7 +120,8 @@ class ControlLog:
         self.spark, self.db = spark, db
         ensure_namespace(spark, db)
         root = (location or namespace_location(spark, db)).rstrip("/")
-        self.log_path, self.run_path = f"{root}/control_log_events", f"{root}/run_log_events"
+        self.log = _Versions(spark, f"{root}/control_log_events")
+        self.run_log = _Versions(spark, f"{root}/run_log_events")
 
     # ---------------------------------------------------------------- writes
     def _next_seq(self) -> int:
@@ -88,7 +134,8 @@ class ControlLog:
         row = {f.name: None for f in LOG_SCHEMA.fields}
         row.update(fields)
         row.update(workbook_name=workbook, seq=self._next_seq(), op=op, ts=datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], LOG_SCHEMA).write.mode("append").parquet(self.log_path)
+        with ControlLog._lock:
+            self.log.append(self.spark.createDataFrame([row], LOG_SCHEMA))
 
     def register(self, workbook: str, *, secret_supplied: bool = False, **attrs) -> None:
         """K1: upsert; refresh counters restart."""
@@ -120,20 +167,37 @@ class ControlLog:
 
     def log_runs(self, rows: list[dict]) -> None:
         if rows:
-            self.spark.createDataFrame(rows, RUN_LOG_SCHEMA).write.mode("append").parquet(self.run_path)
+            with ControlLog._lock:
+                self.run_log.append(self.spark.createDataFrame(rows, RUN_LOG_SCHEMA))
 
     # ---------------------------------------------------------------- reads
-    def _read(self, path: str, schema) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except Exception:  # nothing written yet
+    def _read(self, versions: _Versions, schema) -> DataFrame:
+        path = versions.current()
+        if path is None:
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def events(self) -> DataFrame:
-        return self._read(self.log_path, LOG_SCHEMA)
+        return self._read(self.log, LOG_SCHEMA)
 
     def runs(self) -> DataFrame:
-        return self._read(self.run_path, RUN_LOG_SCHEMA)
+        return self._read(self.run_log, RUN_LOG_SCHEMA)
+
+    def compact(self, files: int = 1) -> dict:
+        """Rewrite the log as a new version holding only events that still matter
+        (per workbook: its latest register and everything after it) and the run log in
+        ``files`` files. The state before and after is identical."""
+        with ControlLog._lock:
+            ev = self.events()
+            last_reg = ev.where(F.col("op") == "register").groupBy("workbook_name") \
+                .agg(F.max("seq").alias("__reg"))
+            keep = ev.join(last_reg, "workbook_name").where(F.col("seq") >= F.col("__reg")) \
+                .select(*LOG_SCHEMA.fieldNames())
+            before, after = ev.count(), keep.count()
+            # the new version is written in full before the old one is removed
+            self.log.replace(keep.coalesce(files))
+            self.run_log.replace(self.runs().coalesce(files))
+        return {"events_before": before, "events_after": after}
 
     def state(self, include_deleted: bool = False) -> DataFrame:
         """K2: current records."""

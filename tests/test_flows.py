@@ -154,3 +154,26 @@ def test_parallel_load(spark):
     src = FrameSource({f"t{i}": spark.range(i + 1).withColumn("v", F.col("id").cast("string")) for i in range(4)})
     res = ingest(spark, src, "t_par", workbook="par", parallel=3, declared={"v": "integer"})
     assert res["status"] == "success" and [t["rows"] for t in res["tables"]] == [1, 2, 3, 4]
+
+
+def test_control_log_compaction(spark, tmp_path):
+    control = ControlLog(spark, "t_ctl_k", location=str(tmp_path / "ctl"))
+    control.register("w", namespace="n", tables=["a"])
+    control.record_refresh("w", "failed", "x")
+    control.register("w", namespace="n", tables=["a", "b"])       # earlier events no longer matter
+    control.record_refresh("w", "success")
+    control.register("gone", namespace="n")
+    control.delete("gone")
+    control.log_runs([{"run_id": "r", "workbook_name": "w", "table_name": "a", "pos": 0, "rows": 1,
+                       "columns": 1, "status": "success"}])
+    before = {r.workbook_name: (r.refresh_count, r.last_refresh_status, tuple(r.tables))
+              for r in control.state().collect()}
+    out = control.compact()
+    assert out == {"events_before": 6, "events_after": 4}
+    after = {r.workbook_name: (r.refresh_count, r.last_refresh_status, tuple(r.tables))
+             for r in control.state().collect()}
+    assert before == after == {"w": (1, "success", ("a", "b"))}
+    assert control.runs().count() == 1
+    control.record_refresh("w", "success")                          # appends continue on the new version
+    assert control.get("w")["refresh_count"] == 2
+    assert sorted(p.name for p in (tmp_path / "ctl" / "control_log_events").iterdir()) == ["v00001"]
