@@ -7,7 +7,6 @@ must point at shared storage; we only fill it in ourselves for local runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -83,12 +82,11 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path below the scratch root; ``unique`` appends a fresh id."""
-    segs = [scratch_root(spark), "lakewright", *parts]
+    """A path below the scratch root (local path or any Hadoop URI); ``unique`` appends a fresh id."""
+    segs = [scratch_root(spark), "lakewright", *[p.strip("/") for p in parts]]
     if unique:
         segs.append(uuid.uuid4().hex)
-    return os.path.join(*segs) if not segs[0].startswith(("hdfs:", "s3", "abfs", "gs:", "file:")) \
-        else "/".join(s.strip("/") if i else s.rstrip("/") for i, s in enumerate(segs))
+    return "/".join(segs)
 
 
 def in_pool(spark: SparkSession, name: str):
