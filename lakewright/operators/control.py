@@ -10,8 +10,9 @@ events, computed with two aggregations and one join:
    refresh outcome, latest value of each patched attribute.
 
 Both aggregations pre-aggregate on every task, so a workbook that owns a third
-of all events never lands whole on one task; the join is planned by Catalyst
-and AQE (skew split, runtime broadcast when the per-workbook side is small).
+of all events never lands whole on one task; the join salts hot workbooks (at most
+``hot_share`` of them, found by a scalar subquery), so a hot workbook is split over
+many tasks whatever AQE's skew thresholds are.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ DESCRIPTOR_KEYS_DROPPED = ["type", "tables", "column_types", "relationships"]
 
 
 def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[str] | None = None,
-                   include_deleted: bool = False) -> DataFrame:
+                   include_deleted: bool = False, salt_buckets: int = 32, hot_share: int = 64) -> DataFrame:
     """Current record per workbook.
 
     ``register_attrs`` are copied from the latest register event; ``patch_attrs``
@@ -42,13 +43,29 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
     reg = F.struct(F.col("seq").alias("seq"), F.col("ts").alias("ts"),
                    *[F.col(a).alias(a) for a in register_attrs])
     is_reg = F.col("op") == "register"
+    is_later = F.col("op").isin("refresh", "patch")
     per_wb = log.groupBy("workbook_name").agg(
         F.max_by(F.when(is_reg, reg), F.when(is_reg, F.col("seq"))).alias("reg"),
         F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("del_seq"),
+        F.count_if(is_later).alias("n_later"),
     ).where(F.col("reg").isNotNull())
 
-    after = (log.where(F.col("op").isin("refresh", "patch"))
-             .join(per_wb.select("workbook_name", F.col("reg.seq").alias("reg_seq")), "workbook_name")
+    # Skew: a workbook holding at least 1/hot_share of the refresh/patch events is hot.
+    # There are at most hot_share such names (a proven bound), found lazily as one scalar
+    # subquery. Only hot workbooks are salted: their log rows spread over salt_buckets
+    # partitions and their one-row side is replicated per salt with a generator (no cross
+    # join); every other workbook keeps salt 0.
+    total = log.where(is_later).select(F.count(F.lit(1))).scalar()
+    hot = per_wb.where(F.col("n_later") * F.lit(hot_share) >= total) \
+        .select(F.coalesce(F.collect_set("workbook_name"), F.array().cast("array<string>"))).scalar()
+    is_hot = F.array_contains(hot, F.col("workbook_name"))
+    marks = per_wb.select("workbook_name", F.col("reg.seq").alias("reg_seq"),
+                          F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                    .otherwise(F.array(F.lit(0)))).alias("__salt"))
+    after = (log.where(is_later)
+             .withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64("seq"), F.lit(salt_buckets)).cast("int"))
+                         .otherwise(F.lit(0)))
+             .join(marks, ["workbook_name", "__salt"])
              .where(F.col("seq") > F.col("reg_seq")))
     aggs = [
         F.count_if(F.col("op") == "refresh").alias("refresh_count"),
