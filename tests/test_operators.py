@@ -174,3 +174,18 @@ def test_registry_state_matches_replay_in_any_partitioning(spark, evs, parts):
     got = {r.workbook_name: (r.refresh_interval_minutes, r.refresh_count, r.last_refresh_status)
            for r in registry_state(log, ["refresh_interval_minutes"], ["refresh_interval_minutes"]).collect()}
     assert got == _fold(evs)
+
+
+def test_relationship_join_salts_hot_keys(spark):
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("fk"),
+                                    F.col("id"))
+    right = spark.range(60).select(F.col("id").alias("pk"), (F.col("id") * 10).alias("v"))
+    plain = sorted(tuple(r) for r in left.join(right, left.fk == right.pk).collect())
+    for how in ("inner", "left"):
+        salted = apply_relationship(left, right, "fk", "pk", how)
+        assert salted.columns == ["fk", "id", "pk", "v"]
+        got = sorted(tuple(r) for r in salted.collect())
+        want = plain if how == "inner" else sorted(tuple(r) for r in left.join(right, left.fk == right.pk, "left").collect())
+        assert got == want
+    anti = apply_relationship(right, left, "pk", "fk", "left_anti")
+    assert sorted(r.pk for r in anti.collect()) == list(range(50, 60))
