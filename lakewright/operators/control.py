@@ -31,7 +31,8 @@ DESCRIPTOR_KEYS_DROPPED = ["type", "tables", "column_types", "relationships"]
 
 
 def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[str] | None = None,
-                   include_deleted: bool = False, salt_buckets: int = 32, hot_share: int = 64) -> DataFrame:
+                   include_deleted: bool = False, salt_buckets: int = 32, hot_share: int = 64,
+                   skew_safe: bool = True) -> DataFrame:
     """Current record per workbook.
 
     ``register_attrs`` are copied from the latest register event; ``patch_attrs``
@@ -55,10 +56,13 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
     # subquery. Only hot workbooks are salted: their log rows spread over salt_buckets
     # partitions and their one-row side is replicated per salt with a generator (no cross
     # join); every other workbook keeps salt 0.
-    total = log.where(is_later).select(F.count(F.lit(1))).scalar()
-    hot = per_wb.where(F.col("n_later") * F.lit(hot_share) >= total) \
-        .select(F.coalesce(F.collect_set("workbook_name"), F.array().cast("array<string>"))).scalar()
-    is_hot = F.array_contains(hot, F.col("workbook_name"))
+    if skew_safe:
+        total = log.where(is_later).select(F.count(F.lit(1))).scalar()
+        hot = per_wb.where(F.col("n_later") * F.lit(hot_share) >= total) \
+            .select(F.coalesce(F.collect_set("workbook_name"), F.array().cast("array<string>"))).scalar()
+        is_hot = F.array_contains(hot, F.col("workbook_name"))
+    else:                                   # e.g. one workbook's events: nothing to spread
+        is_hot = F.lit(False)
     marks = per_wb.select("workbook_name", F.col("reg.seq").alias("reg_seq"),
                           F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
                                     .otherwise(F.array(F.lit(0)))).alias("__salt"))

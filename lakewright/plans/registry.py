@@ -204,7 +204,9 @@ class ControlLog:
         return registry_state(self.events(), REGISTER_ATTRS, PATCH_ATTRS, include_deleted=include_deleted)
 
     def get(self, workbook: str) -> dict | None:
-        rows = self.state().where(F.col("workbook_name") == workbook).collect()
+        """One record: the fold runs on that workbook's events only."""
+        ev = self.events().where(F.col("workbook_name") == workbook)
+        rows = registry_state(ev, REGISTER_ATTRS, PATCH_ATTRS, skew_safe=False).collect()
         return rows[0].asDict(recursive=True) if rows else None
 
     def status(self, workbook: str | None = None) -> DataFrame:
