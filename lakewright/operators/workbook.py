@@ -33,19 +33,29 @@ NO_CONNECTION_ERROR = ("No supported live connection found in this workbook. "
 def _guarded(corpus: DataFrame) -> DataFrame:
     """Spread the corpus over all cores when it has fewer partitions (XML parsing is CPU
     heavy per row and binaryFile packs many small files per partition), then flag
-    well-formed documents."""
+    well-formed documents.
+
+    Callers gate their xpath generators with ``__ok`` (``posexplode(when(__ok, ...))``)
+    instead of filtering on it: Catalyst pushes a deterministic filter below the
+    round-robin exchange, which would run the guard's parse in the few tasks that
+    built the corpus, before the spread."""
     cores = corpus.sparkSession.sparkContext.defaultParallelism
     if corpus.rdd.getNumPartitions() < cores:
         corpus = corpus.repartition(cores)
     return corpus.withColumn("__ok", xml_is_wellformed("xml"))
 
 
+def _if_ok(value):
+    """``value`` for a well-formed document, else null (a generator over it yields no rows)."""
+    return F.when(F.col("__ok"), value)
+
+
 def parse_errors(corpus: DataFrame) -> DataFrame:
     """Documents that are null, blank or not well-formed XML."""
     g = _guarded(corpus)
-    return g.where(~F.col("__ok")).select(
-        "workbook", F.when(F.col("xml").isNull(), "no document")
-        .when(F.trim("xml") == "", "empty document").otherwise("invalid XML").alias("error"))
+    err = (F.when(F.col("xml").isNull(), "no document")
+           .when(F.trim("xml") == "", "empty document").otherwise("invalid XML"))
+    return g.select("workbook", F.explode(F.when(~F.col("__ok"), F.array(err))).alias("error"))
 
 
 def workbook_columns(corpus: DataFrame) -> DataFrame:
@@ -55,10 +65,10 @@ def workbook_columns(corpus: DataFrame) -> DataFrame:
     dropped (C3); brackets stripped (J4); the type is lower-cased; the last
     declaration of a name wins (G4) while the name keeps its first position.
     """
-    g = _guarded(corpus).where("__ok")
+    g = _guarded(corpus)
     pairs = F.arrays_zip(xpath_list("xml", COLUMN_PATH + "/@name").alias("name"),
                          xpath_list("xml", COLUMN_PATH + "/@datatype").alias("datatype"))
-    ex = g.select("workbook", F.posexplode(pairs).alias("pos", "p"))
+    ex = g.select("workbook", F.posexplode(_if_ok(pairs)).alias("pos", "p"))
     ex = ex.select("workbook", "pos", F.col("p.name").alias("raw"), F.col("p.datatype").alias("datatype"))
     ex = ex.where(~F.col("raw").startswith(INTERNAL_COLUMN_PREFIX) & (F.col("datatype") != TABLE_DATATYPE))
     ex = ex.select("workbook", "pos", N.strip_brackets("raw").alias("column"), F.lower("datatype").alias("dt"))
@@ -69,8 +79,8 @@ def workbook_columns(corpus: DataFrame) -> DataFrame:
 def workbook_tables(corpus: DataFrame) -> DataFrame:
     """Table names: (workbook, table, pos). ``[schema].[table]`` -> table (J5); blanks, names with
     a dot or a space dropped (C4); first spelling wins case-insensitively (G2)."""
-    g = _guarded(corpus).where("__ok")
-    ex = g.select("workbook", F.posexplode(xpath_list("xml", RELATION_PATH)).alias("pos", "raw"))
+    g = _guarded(corpus)
+    ex = g.select("workbook", F.posexplode(_if_ok(xpath_list("xml", RELATION_PATH))).alias("pos", "raw"))
     ex = ex.where(F.col("raw") != "").select("workbook", "pos", N.last_name_part("raw").alias("table"))
     ex = ex.where((F.col("table") != "") & ~F.col("table").contains(".") & ~F.col("table").contains(" "))
     return first_wins_casefold(ex, "table", ["pos"], group=["workbook"]).select(
@@ -87,8 +97,9 @@ def workbook_connections(corpus: DataFrame) -> DataFrame:
     One xpath lists the classes; each attribute is then read once, only for the
     chosen class (a CASE evaluates just the matching branch).
     """
-    g = _guarded(corpus).where("__ok")
-    g = g.withColumn("__classes", xpath_list("xml", f"{NAMED_CONNECTION}/@class"))
+    g = _guarded(corpus)
+    g = g.select("workbook", "xml", F.explode(_if_ok(F.array(xpath_list("xml", f"{NAMED_CONNECTION}/@class"))))
+                 .alias("__classes"))
     cls = None
     for c in CONNECTION_CLASSES:
         hit = F.array_contains("__classes", c)
@@ -131,13 +142,13 @@ def workbook_relationships(corpus: DataFrame) -> DataFrame:
     Our reading of the usual ``=(left, right)`` shape: fromColumn = left operand,
     toColumn = right operand; tables drop only a ``_<32 hex>`` object suffix.
     """
-    g = _guarded(corpus).where("__ok")
+    g = _guarded(corpus)
     z = F.arrays_zip(
         xpath_list("xml", REL_PATH + "/expression[1]/expression[1]/@op").alias("l"),
         xpath_list("xml", REL_PATH + "/expression[1]/expression[2]/@op").alias("r"),
         xpath_list("xml", REL_PATH + "/first-end-point/@object-id").alias("a"),
         xpath_list("xml", REL_PATH + "/second-end-point/@object-id").alias("b"))
-    ex = g.select("workbook", F.posexplode(z).alias("pos", "x"))
+    ex = g.select("workbook", F.posexplode(_if_ok(z)).alias("pos", "x"))
     ex = ex.select("workbook", "pos",
                    N.relationship_table("x.a").alias("fromTable"), N.relationship_column("x.l").alias("fromColumn"),
                    N.relationship_table("x.b").alias("toTable"), N.relationship_column("x.r").alias("toColumn"),
