@@ -11,7 +11,7 @@ events, computed with two aggregations and one join:
 
 Both aggregations pre-aggregate on every task, so a workbook that owns a third
 of all events never lands whole on one task; the join salts hot workbooks (at most
-``hot_share`` of them, found by a scalar subquery), so a hot workbook is split over
+``hot_share`` of them, found by one bounded frequent-items scan), so a hot workbook is split over
 many tasks whatever AQE's skew thresholds are.
 """
 
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.functions.names import job_id, job_name
+from lakewright.operators.skew import hot_keys
+from lakewright.operators.skew import is_hot as hot_key
 
 OPS = ("register", "refresh", "patch", "delete")
 # Smallest refresh interval (minutes) and the late-start allowance (seconds).
@@ -52,15 +54,13 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
     ).where(F.col("reg").isNotNull())
 
     # Skew: a workbook holding at least 1/hot_share of the refresh/patch events is hot.
-    # There are at most hot_share such names (a proven bound), found lazily as one scalar
-    # subquery. Only hot workbooks are salted: their log rows spread over salt_buckets
-    # partitions and their one-row side is replicated per salt with a generator (no cross
-    # join); every other workbook keeps salt 0.
+    # There are at most hot_share such names (a proven bound), found by one scan of the
+    # log's name column with a bounded frequent-items aggregate (no shuffle). Only hot
+    # workbooks are salted: their log rows spread over salt_buckets partitions and their
+    # one-row side is replicated per salt with a generator (no cross join); every other
+    # workbook keeps salt 0.
     if skew_safe:
-        total = log.where(is_later).select(F.count(F.lit(1))).scalar()
-        hot = per_wb.where(F.col("n_later") * F.lit(hot_share) >= total) \
-            .select(F.coalesce(F.collect_set("workbook_name"), F.array().cast("array<string>"))).scalar()
-        is_hot = F.array_contains(hot, F.col("workbook_name"))
+        is_hot = hot_key(F.col("workbook_name"), hot_keys(log.where(is_later), "workbook_name", hot_share))
     else:                                   # e.g. one workbook's events: nothing to spread
         is_hot = F.lit(False)
     marks = per_wb.select("workbook_name", F.col("reg.seq").alias("reg_seq"),

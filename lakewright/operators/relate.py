@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.operators.skew import hot_keys, is_hot
+
 
 SALTABLE_JOINS = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti")
 
@@ -15,7 +17,8 @@ def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_c
     """Equi-join along a relationship (left.from_column = right.to_column).
 
     Skew: a key holding at least 1/hot_share of the left rows is hot; at most hot_share
-    such keys exist (a proven bound) and they are found lazily by one scalar subquery.
+    such keys exist (a proven bound) and they are found by one scan of the key with a
+    bounded frequent-items aggregate (no shuffle, see ``skew.hot_keys``).
     Hot keys' left rows are spread over ``salt_buckets`` partitions by a deterministic
     row hash, and their right rows are replicated per salt with a generator (no cross
     join); other keys keep salt 0. Right / full outer joins are not salted (replicated
@@ -24,17 +27,13 @@ def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_c
     if not skew_safe or how.lower() not in SALTABLE_JOINS:
         return left.join(right, left[from_column] == right[to_column], how)
     key = F.col(from_column)
-    total = left.select(F.count(F.lit(1))).scalar()
-    hot = (left.where(key.isNotNull()).groupBy(key.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") * F.lit(hot_share) >= total)
-           .select(F.coalesce(F.collect_set("__k"), F.array().cast(f"array<{left.schema[from_column].dataType.simpleString()}>")))
-           .scalar())
-    lsalt = F.when(F.array_contains(hot, key),
+    hot = hot_keys(left, from_column, hot_share)
+    lsalt = F.when(is_hot(key, hot),
                    F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salt_buckets)).cast("int")) \
         .otherwise(F.lit(0))
     l2 = left.withColumn("__salt_l", lsalt)
     r2 = right.withColumn("__salt_r", F.explode(
-        F.when(F.array_contains(hot, F.col(to_column)), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+        F.when(is_hot(F.col(to_column), hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
         .otherwise(F.array(F.lit(0)))))
     cond = (l2[from_column] == r2[to_column]) & (l2["__salt_l"] == r2["__salt_r"])
     out = l2.join(r2, cond, how)

@@ -189,3 +189,14 @@ def test_relationship_join_salts_hot_keys(spark):
         assert got == want
     anti = apply_relationship(right, left, "pk", "fk", "left_anti")
     assert sorted(r.pk for r in anti.collect()) == list(range(50, 60))
+
+
+def test_hot_keys_bounded_and_complete(spark):
+    from lakewright.operators.skew import hot_keys
+    # key 7 holds a third of the rows, key 8 a tenth; the rest are spread thin
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.lit(8))
+                                   .otherwise(F.col("id") + 100).alias("k")).repartition(6)
+    hot = hot_keys(df.unionByName(spark.range(5).select(F.lit(None).cast("long").alias("k"))), "k", 16)
+    assert 7 in hot and 8 in hot and None not in hot
+    assert len(hot) <= 16
+    assert hot_keys(df.where("k < 0"), "k", 16) == []
