@@ -255,9 +255,9 @@ Q["write_metrics"] = " UNION ALL ".join(
     for t, n in (("nation", 3), ("supplier", 4), ("part", 6)))
 
 Q["skip_empty"] = """
-SELECT 'region_empty' AS table_name, count(*) AS rows, 2 AS columns,
+SELECT 'lineitem_empty' AS table_name, count(*) AS rows, 11 AS columns,
        CASE WHEN count(*) > 0 THEN 'success' ELSE 'skipped_empty' END AS status
-FROM region WHERE r_name = 'ATLANTIS'
+FROM lineitem WHERE l_quantity <= 0
 """
 
 Q["run_status_rollup"] = """

@@ -271,10 +271,11 @@ def write_metrics(spark, sf_dir):
 
 
 def skip_empty(spark, sf_dir):
-    """An empty frame is not written; status skipped_empty."""
+    """An empty frame is not written; status skipped_empty. The frame is a whole
+    lineitem scan that no row passes (quantities are at least 1)."""
     ensure_namespace(spark, SUITE_DB)
-    r = table(spark, sf_dir, "region").where(F.col("r_name") == "ATLANTIS")
-    res = write_table(spark, r, SUITE_DB, "region_empty")
+    r = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") <= 0)
+    res = write_table(spark, r, SUITE_DB, "lineitem_empty")
     return table_results_frame(spark, [res])
 
 
