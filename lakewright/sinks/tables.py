@@ -2,11 +2,14 @@
 get-or-create namespace (B8).
 
 Overwrite safety (Spark refuses to overwrite a table it reads, and a plain
-Parquet overwrite is not atomic): the frame is written to ``<table>__staging``
-first, with an ``Observation`` counting rows and new nulls during that same
-write; only a non-empty staging table replaces the target (drop + rename).
-The staging table lives in the target namespace, i.e. on the shared lakehouse
-storage, so a lost executor only re-runs its tasks.
+Parquet overwrite is not atomic): the frame is written to a fresh version
+folder ``<namespace>/_versions/<table>/<id>`` first, with an ``Observation``
+counting rows and new nulls during that same write. Only a non-empty version
+replaces the target, and the swap is catalog metadata only: the table entry is
+dropped and re-created over the new folder, then the previous version's folder
+is deleted. No data is renamed or copied (a directory rename is a full copy on
+object stores). Versions live in the target namespace, i.e. on the shared
+lakehouse storage, so a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lakewright.operators.typing import TypedTable
 
-STAGING_SUFFIX = "__staging"
+VERSIONS_DIR = "_versions"
 
 
 def _ident(*parts: str) -> str:
@@ -36,10 +39,9 @@ def ensure_namespace(spark: SparkSession, name: str) -> dict:
 
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:
-    """Permanent tables of a namespace; any failure -> empty list. Staging tables are hidden."""
+    """Permanent tables of a namespace; any failure -> empty list."""
     try:
-        return sorted(t.name for t in spark.catalog.listTables(db)
-                      if not t.isTemporary and not t.name.endswith(STAGING_SUFFIX))
+        return sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
     except Exception:
         return []
 
@@ -61,6 +63,50 @@ def namespace_location(spark: SparkSession, db: str) -> str:
     return spark.catalog.getDatabase(db).locationUri.rstrip("/")
 
 
+def versions_root(spark: SparkSession, db: str, table: str) -> str:
+    """Folder holding the written versions of ``db.table``."""
+    return f"{namespace_location(spark, db)}/{VERSIONS_DIR}/{table.lower()}"
+
+
+def table_location(spark: SparkSession, db: str, table: str) -> str | None:
+    """Storage location of a catalog table, or None when there is no such table."""
+    if not table_exists(spark, db, table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(db, table)}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/") if rows else None
+
+
+def _delete(spark: SparkSession, uri: str) -> None:
+    path, fs = _fs_path(spark, uri)
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
+def _delete_other_versions(spark: SparkSession, db: str, table: str, keep: str) -> None:
+    """Remove version folders of ``db.table`` other than ``keep`` (left by a session whose
+    catalog is gone, or by a write that died before the swap)."""
+    root, fs = _fs_path(spark, versions_root(spark, db, table))
+    if not fs.exists(root):
+        return
+    keep_q = _qualified(spark, keep)
+    for st in fs.listStatus(root):
+        p = st.getPath()
+        if str(p.toString()).rstrip("/") != keep_q:
+            fs.delete(p, True)
+
+
+def _qualified(spark: SparkSession, uri: str) -> str:
+    path, fs = _fs_path(spark, uri)
+    return str(fs.makeQualified(path).toString()).rstrip("/")
+
+
+def _is_version_of(spark: SparkSession, location: str | None, db: str, table: str) -> bool:
+    """Whether ``location`` is one of our version folders of ``db.table`` (else it is not ours to delete)."""
+    if not location:
+        return False
+    return _qualified(spark, location).startswith(_qualified(spark, versions_root(spark, db, table)) + "/")
+
+
 def clear_orphan_location(spark: SparkSession, db: str, table: str) -> bool:
     """Remove the default directory of ``db.table`` when the catalog has no such table.
 
@@ -100,7 +146,10 @@ def drop_tables(spark: SparkSession, db: str, names) -> list[dict]:
     out = []
     for n in sorted(set(names)):
         try:
+            loc = table_location(spark, db, n)
             spark.sql(f"DROP TABLE IF EXISTS {_ident(db, n)}")
+            if _is_version_of(spark, loc, db, n):      # our version folders are external: remove the data too
+                _delete(spark, versions_root(spark, db, n))
             out.append({"table_name": n, "status": "dropped", "error": None})
         except Exception as e:  # noqa: BLE001 - isolation per table
             out.append({"table_name": n, "status": "failed", "error": str(e)})
@@ -141,21 +190,29 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
         rows = int(m.get("rows", 0) or 0)
         status = "success" if rows else "skipped_empty"
     elif mode == "overwrite":
-        staging = _ident(db, table + STAGING_SUFFIX)
-        clear_orphan_location(spark, db, table + STAGING_SUFFIX)
+        version = f"{versions_root(spark, db, table)}/{uuid.uuid4().hex}"
         w = frame.write.mode("overwrite").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.saveAsTable(staging)
+        w.save(version)
         m = obs.get
         rows = int(m.get("rows", 0) or 0)
         if rows == 0 and not truncate_on_empty:
-            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            _delete(spark, version)
             status = "skipped_empty"
         else:
-            spark.sql(f"DROP TABLE IF EXISTS {target}")
+            old = table_location(spark, db, table)
+            spark.sql(f"DROP TABLE IF EXISTS {target}")       # a managed target takes its folder with it
             clear_orphan_location(spark, db, table)
-            spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+            if partition_by:
+                spark.catalog.createTable(target, path=version, source=fmt)
+                spark.catalog.recoverPartitions(target)
+            else:
+                spark.catalog.createTable(target, path=version, source=fmt, schema=frame.schema)
+            if _is_version_of(spark, old, db, table) and _qualified(spark, old) != _qualified(spark, version):
+                _delete(spark, old)
+            elif old is None:                   # no table pointed at earlier versions: orphans
+                _delete_other_versions(spark, db, table, version)
             status = "success" if rows else "skipped_empty"
     else:
         raise ValueError(f"unsupported write mode {mode!r}")

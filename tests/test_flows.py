@@ -35,11 +35,37 @@ def test_write_overwrite_schema_replace_and_empty(spark):
     r3 = write_table(spark, spark.range(0), "t_sink", "t")
     assert r3["status"] == "skipped_empty" and spark.table("t_sink.t").count() == 3
     assert list_tables(spark, "t_sink") == ["t"]
-    # overwrite from a frame that reads the target itself (staging makes this legal)
+    # overwrite from a frame that reads the target itself (a new version folder makes this legal)
     r4 = write_table(spark, spark.table("t_sink.t").where("id > 0"), "t_sink", "t")
     assert r4["rows"] == 2 and spark.table("t_sink.t").count() == 2
 
 
+def test_overwrite_swaps_version_folders(spark):
+    from lakewright.sinks.tables import table_location, versions_root
+    ensure_namespace(spark, "t_sink")
+    write_table(spark, spark.range(4), "t_sink", "ver")
+    first = table_location(spark, "t_sink", "ver")
+    write_table(spark, spark.range(6), "t_sink", "ver")
+    second = table_location(spark, "t_sink", "ver")
+    assert first != second and spark.table("t_sink.ver").count() == 6
+    root, fs = _fs(spark, versions_root(spark, "t_sink", "ver"))
+    assert len(fs.listStatus(root)) == 1                     # the old version folder is gone
+    write_table(spark, spark.range(3).withColumn("p", F.col("id") % 2), "t_sink", "ver", partition_by=["p"])
+    assert spark.table("t_sink.ver").count() == 3 and len(fs.listStatus(root)) == 1
+    drop_tables(spark, "t_sink", ["ver"])
+    assert not fs.exists(root)
+    # a version folder no table points at (e.g. from a session whose catalog is gone) is cleared
+    spark.range(2).write.parquet(versions_root(spark, "t_sink", "ver") + "/stale")
+    write_table(spark, spark.range(5), "t_sink", "ver")
+    assert len(fs.listStatus(root)) == 1 and spark.table("t_sink.ver").count() == 5
+
+
+def _fs(spark, uri):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def test_append_requires_same_schema(spark):
     ensure_namespace(spark, "t_sink")
     write_table(spark, spark.range(2), "t_sink", "app", mode="append")
