@@ -1,6 +1,6 @@
 """Session defaults and the shared scratch location.
 
-Every job that cuts lineage (landing a source, staging a write, a streaming
+Every job that cuts lineage (landing a source, the control log, a streaming
 checkpoint) writes below ``spark.checkpoint.dir``. On a cluster that setting
 must point at shared storage; we only fill it in ourselves for local runs.
 """
@@ -58,7 +58,7 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for landed data, staging tables and stream checkpoints.
+    """Shared folder for landed data, suite control logs and stream checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session. Only when it is unset and
     the master is local (tests, laptops) do we create one; on a cluster an unset
