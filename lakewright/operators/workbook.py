@@ -88,14 +88,20 @@ def workbook_tables(corpus: DataFrame) -> DataFrame:
 
 
 CONNECTION_ATTRS = ["server", "dbname", "schema", "warehouse", "username", "v-http-path", "catalog", "database"]
+# Attributes each connection class's descriptor uses (each xpath re-parses the document,
+# so a document only pays for the attributes of its own class).
+_DBX_ATTRS = ["server", "v-http-path", "catalog", "database", "schema", "dbname"]
+_SQL_ATTRS = ["server", "dbname", "username"]
+CLASS_ATTRS = {"snowflake": ["server", "dbname", "schema", "warehouse", "username"],
+               "sqlserver": _SQL_ATTRS, "azure_sqldb": _SQL_ATTRS, "databricks": _DBX_ATTRS, "spark": _DBX_ATTRS}
 
 
 def workbook_connections(corpus: DataFrame) -> DataFrame:
     """Connection descriptor (C5, J7-J9): (workbook, connection_class, source_type, params, error).
 
     The first connection of the first class present in precedence order is used.
-    One xpath lists the classes; each attribute is then read once, only for the
-    chosen class (a CASE evaluates just the matching branch).
+    One xpath lists the classes; then only the attributes the chosen class uses are
+    read, each once (a CASE evaluates just the matching branch).
     """
     g = _guarded(corpus)
     g = g.select("workbook", "xml", F.explode(_if_ok(F.array(xpath_list("xml", f"{NAMED_CONNECTION}/@class"))))
@@ -110,6 +116,8 @@ def workbook_connections(corpus: DataFrame) -> DataFrame:
     for a in CONNECTION_ATTRS:
         e = None
         for c in CONNECTION_CLASSES:
+            if a not in CLASS_ATTRS[c]:
+                continue
             v = xpath_first("xml", f"({NAMED_CONNECTION}[@class='{c}'])[1]/@{a}")
             e = F.when(cc == c, v) if e is None else e.when(cc == c, v)
         attrs[a] = e
