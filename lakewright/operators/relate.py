@@ -9,6 +9,8 @@ from lakewright.operators.skew import hot_keys, is_hot
 
 
 SALTABLE_JOINS = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti")
+RIGHT_KEEPING_JOINS = {"right": "inner", "right_outer": "inner", "rightouter": "inner",
+                       "full": "left", "full_outer": "left", "fullouter": "left", "outer": "left"}
 
 
 def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_column: str,
@@ -21,10 +23,21 @@ def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_c
     bounded frequent-items aggregate (no shuffle, see ``skew.hot_keys``).
     Hot keys' left rows are spread over ``salt_buckets`` partitions by a deterministic
     row hash, and their right rows are replicated per salt with a generator (no cross
-    join); other keys keep salt 0. Right / full outer joins are not salted (replicated
-    right rows would be emitted more than once); AQE's skew split covers them.
+    join); other keys keep salt 0. Right / full outer joins cannot be salted directly
+    (replicated right rows would be emitted once per salt), so they are composed: the
+    salted inner (right) or left (full) join, plus the right rows without a left
+    partner, found by an anti join against the left's distinct keys (which partial
+    aggregation collapses map-side). AQE could not split a skewed full outer join.
     """
-    if not skew_safe or how.lower() not in SALTABLE_JOINS:
+    how_l = how.lower()
+    if skew_safe and how_l in RIGHT_KEEPING_JOINS:
+        kw = {"hot_share": hot_share, "salt_buckets": salt_buckets}
+        matched = apply_relationship(left, right, from_column, to_column, RIGHT_KEEPING_JOINS[how_l], **kw)
+        left_keys = left.select(F.col(from_column).alias("__lk")).distinct()
+        right_only = apply_relationship(right, left_keys, to_column, "__lk", "left_anti", **kw)
+        pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
+        return matched.union(right_only.select(*pad, *[F.col(f"`{c}`") for c in right.columns]))
+    if not skew_safe or how_l not in SALTABLE_JOINS:
         return left.join(right, left[from_column] == right[to_column], how)
     key = F.col(from_column)
     hot = hot_keys(left, from_column, hot_share)

@@ -200,3 +200,20 @@ def test_hot_keys_bounded_and_complete(spark):
     assert 7 in hot and 8 in hot and None not in hot
     assert len(hot) <= 16
     assert hot_keys(df.where("k < 0"), "k", 16) == []
+
+
+def test_relationship_right_and_full_outer_are_composed_skew_safe(spark):
+    # key 7 holds a third of the left rows; nulls and unmatched keys on both sides
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 97 == 1, F.lit(None))
+        .otherwise(F.col("id") % 50).alias("fk"), F.col("id"))
+    right = spark.range(40, 80).select(F.when(F.col("id") == 79, F.lit(None)).otherwise(F.col("id")).alias("pk"),
+                                       (F.col("id") * 10).alias("v")) \
+        .unionByName(spark.createDataFrame([(7, 70)], "pk long, v long"))
+    for how in ("right", "full", "full_outer", "right_outer"):
+        got = apply_relationship(left, right, "fk", "pk", how)
+        assert got.columns == ["fk", "id", "pk", "v"]
+        want = left.join(right, left.fk == right.pk, how)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    plan = apply_relationship(left, right, "fk", "pk", "full")._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan
