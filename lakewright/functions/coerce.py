@@ -225,6 +225,11 @@ class TemporalText:
         return F.when(self.ok & ~self.has_zone, self.wall)
 
 
+def shape_has_zone(shape: int) -> bool:
+    """Whether a ``TemporalText.shape`` code (1-12) is a shape with a zone suffix."""
+    return (shape - 1) % 2 == 1
+
+
 class ParsedTemporal:
     """Single-expression form of ``TemporalText`` (for ad-hoc use on a few values)."""
 

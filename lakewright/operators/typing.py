@@ -175,13 +175,13 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
         elif kind == "none":
             text_now = plan["text_after"] is not None
         # sniff (D11/D12) on whatever is still text
-        if text_now and plan.get("sniff") is not None and f"n{i}" in prof:
-            n, bad, lo, hi = prof[f"n{i}"], prof[f"bad{i}"], prof[f"lo{i}"], prof[f"hi{i}"]
-            if n and bad == 0 and lo == hi:
+        if text_now and plan.get("sniff") is not None and f"lo{i}" in prof:
+            lo, hi = prof[f"lo{i}"], prof[f"hi{i}"]
+            if lo is not None and lo == hi and lo > 0:       # some values, all parse, one shape
                 p = plan["sniff"]
                 if prof[f"mid{i}"]:
                     out, action = p.date, "sniff_date"
-                elif not prof[f"z{i}"]:
+                elif not C.shape_has_zone(lo):
                     out, action = p.timestamp, "sniff_timestamp"
                 else:
                     note = "zoned timestamps with a time part stay text"
@@ -204,17 +204,19 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
 
 
 def _sniff_aggs(plan: dict, st, aggs: dict) -> None:
-    """Shape / parse / midnight facts of a text column for the sniff decision."""
+    """Shape / parse / midnight facts of a text column for the sniff decision.
+
+    Three aggregates: a value that does not parse counts as shape 0, so "some values,
+    all parse, one shape" is ``min == max > 0`` over the non-null values, and the
+    shape code itself says whether that shape carries a zone."""
     i = plan["i"]
     p = C.TemporalText(plan["text_after"], st)
     plan["sniff"] = p
     nn = plan["text_after"].isNotNull()
-    aggs[f"n{i}"] = F.count_if(nn)
-    aggs[f"bad{i}"] = F.count_if(nn & ~p.ok)
-    aggs[f"lo{i}"] = F.min(F.when(nn, p.shape))
-    aggs[f"hi{i}"] = F.max(F.when(nn, p.shape))
+    shape = F.when(nn, F.when(p.ok, p.shape).otherwise(F.lit(0)))
+    aggs[f"lo{i}"] = F.min(shape)
+    aggs[f"hi{i}"] = F.max(shape)
     aggs[f"mid{i}"] = F.coalesce(F.bool_and(F.when(nn & p.ok, p.midnight)), F.lit(False))
-    aggs[f"z{i}"] = F.coalesce(F.bool_or(F.when(nn, p.has_zone)), F.lit(False))
 
 
 def declared_lookup(table_columns: DataFrame, workbook_columns: DataFrame) -> DataFrame:
