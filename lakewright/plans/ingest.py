@@ -20,7 +20,7 @@ from lakewright.operators.typing import coerce_table
 from lakewright.plans.registry import RUN_LOG_SCHEMA
 from lakewright.session import in_pool, scratch_path
 from lakewright.sinks.tables import ensure_namespace, write_table
-from lakewright.sources.jdbc import JdbcSource
+from lakewright.sources.jdbc import LiveSource
 
 
 def select_tables(available: list[str], requested: list[str] | None) -> list[str]:
@@ -53,7 +53,7 @@ def prepare_source(spark: SparkSession, source, df: DataFrame, land_mode, label:
     all cores (repartition + persist, rebuilt from lineage if an executor is lost)
     so the CPU-heavy parse uses every core; read large file sources in place.
     """
-    if land_mode is True or (land_mode == "auto" and isinstance(source, JdbcSource)):
+    if land_mode is True or (land_mode == "auto" and isinstance(source, LiveSource)):
         return land(spark, df, label), None
     if land_mode == "auto":
         cores = spark.sparkContext.defaultParallelism
@@ -172,14 +172,15 @@ def table_results_frame(spark: SparkSession, results: list[dict]) -> DataFrame:
 
 def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extract_source=None, credentials=None,
                      tables: list[str] | None = None, sniff: str = "undeclared", control=None,
-                     schedule: dict | None = None) -> dict:
+                     schedule: dict | None = None, partitioning: dict | None = None) -> dict:
     """L1 end to end for one workbook file (plain or packaged).
 
     The workbook is parsed by the corpus job (declared column types, table names,
     connection). Extracted mode reads ``extract_source`` (e.g. a ``DirectorySource``
     of the unpacked extract); live mode builds a JDBC source from the workbook's
     connection plus caller-supplied ``credentials`` ({"user", "password"}). Only the
-    workbook's tables are ingested, further narrowed by ``tables`` (C1).
+    workbook's tables are ingested, further narrowed by ``tables`` (C1). ``partitioning``
+    gives per-table partitioned-read options for live sources (see ``LiveSource``).
     """
     from lakewright.operators.workbook import declared_types_of, extract_metadata
     from lakewright.plans.registry import ControlLog  # noqa: F401 - type of ``control``
@@ -210,8 +211,8 @@ def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extrac
         if conn is None or conn["source_type"] is None:
             raise ValueError(conn["error"] if conn else "no connection")
         creds = credentials or {}
-        source = source_for(conn["source_type"], dict(conn["params"]), user=creds.get("user"),
-                            password=creds.get("password"))
+        source = LiveSource(spark, source_for(conn["source_type"], dict(conn["params"]), user=creds.get("user"),
+                                              password=creds.get("password")), partitioning=partitioning)
         mode, stype, params = "live", conn["source_type"], dict(conn["params"])
         wanted = [t for t in wb_tables if not tables or t in tables]
     register = {"file_name": wb["path"].rsplit("/", 1)[-1], "data_mode": mode, "source_type": stype,

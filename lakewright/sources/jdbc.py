@@ -121,6 +121,23 @@ class JdbcSource:
         return (row[0], row[1]) if row is not None else (None, None)
 
 
+class LiveSource:
+    """A ``JdbcSource`` bound to a session, with the interface the flows use
+    (``list_tables()``, ``read(table)``). ``partitioning`` maps a table name to
+    ``JdbcSource.read`` options (``partition_column``, ``num_partitions``, bounds), so
+    large tables are scanned over many connections."""
+
+    def __init__(self, spark: SparkSession, jdbc: JdbcSource, partitioning: dict | None = None):
+        self.spark, self.jdbc, self.partitioning = spark, jdbc, dict(partitioning or {})
+
+    def list_tables(self) -> list[str]:
+        """Base-table names (one small row each)."""
+        return [r[0] for r in self.jdbc.list_tables(self.spark).collect()]
+
+    def read(self, table: str) -> DataFrame:
+        return self.jdbc.read(self.spark, table, **self.partitioning.get(table, {}))
+
+
 def source_for(source_type: str, params: dict, user: str | None = None, password: str | None = None,
                **extra) -> JdbcSource:
     """Dispatch by source type; unknown types are an error."""

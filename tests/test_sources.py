@@ -85,3 +85,29 @@ def test_jdbc_builders():
     assert JdbcSource("databricks", {"schema": "s"}).table_ref("t") == "`s`.`t`"
     with pytest.raises(ValueError):
         source_for("oracle", {})
+
+
+def test_live_source_flow_lands_and_partitions(spark):
+    """Live sources reach the flows through LiveSource (no database here: a stand-in
+    JdbcSource returns test tables and records the read options it was given)."""
+    from lakewright.plans.ingest import ingest
+    from lakewright.sources.jdbc import LiveSource
+
+    class StandIn(JdbcSource):
+        calls = []
+
+        def list_tables(self, spark):
+            return spark.createDataFrame([("orders",), ("nation",)], "TABLE_NAME string")
+
+        def read(self, spark, table, **kw):
+            StandIn.calls.append((table, kw))
+            return spark.read.parquet(f"{SF001}/{table}.parquet")
+
+    src = LiveSource(spark, StandIn("sqlserver", {"server": "db.corp", "database": "D"}),
+                     partitioning={"orders": {"partition_column": "o_orderkey", "num_partitions": 4}})
+    assert src.list_tables() == ["orders", "nation"]
+    res = ingest(spark, src, "t_live", workbook="live_wb", declared={"o_orderkey": "integer"})
+    assert res["status"] == "success"
+    assert spark.table("t_live.orders").count() == 1500 and spark.table("t_live.nation").count() == 25
+    assert ("orders", {"partition_column": "o_orderkey", "num_partitions": 4}) in StandIn.calls
+    assert ("nation", {}) in StandIn.calls
