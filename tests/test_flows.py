@@ -203,3 +203,41 @@ def test_control_log_compaction(spark, tmp_path):
     control.record_refresh("w", "success")                          # appends continue on the new version
     assert control.get("w")["refresh_count"] == 2
     assert sorted(p.name for p in (tmp_path / "ctl" / "control_log_events").iterdir()) == ["v00001"]
+
+
+def test_migrate_workbook_live(spark, tmp_path, monkeypatch):
+    """Live mode end to end: connection from the workbook -> LiveSource -> landed, typed tables.
+    No database may run here, so source_for returns a stand-in JdbcSource over test tables."""
+    import lakewright.sources.jdbc as J
+    from lakewright.plans.ingest import migrate_workbook
+
+    class StandIn(J.JdbcSource):
+        def list_tables(self, spark):
+            return spark.createDataFrame([("orders",), ("nation",), ("region",)], "TABLE_NAME string")
+
+        def read(self, spark, table, **kw):
+            return spark.read.parquet(f"{SF001}/{table}.parquet")
+
+    made = []
+
+    def fake_source_for(source_type, params, user=None, password=None, **extra):
+        made.append((source_type, params.get("server"), user, password))
+        return StandIn(source_type, params, user=user, password=password)
+
+    monkeypatch.setattr(J, "source_for", fake_source_for)
+    doc = """<workbook><datasources><datasource><connection><named-connections><named-connection>
+      <connection class="sqlserver" server="db.corp.example.com" dbname="Sales" username="u1"/>
+      </named-connection></named-connections>
+      <relation type="table" table="[dbo].[orders]"/><relation type="table" table="[nation]"/></connection>
+      <column name="[o_custkey]" datatype="integer"/></datasource></datasources></workbook>"""
+    wbdir = tmp_path / "wb"
+    wbdir.mkdir()
+    (wbdir / "Live.twb").write_text(doc)
+    control = ControlLog(spark, "t_ctl_live", location=str(tmp_path / "ctl"))
+    res = migrate_workbook(spark, str(wbdir), "t_mig_live", credentials={"user": "u1", "password": "pw"},
+                           control=control)
+    assert res["status"] == "success" and [t["table_name"] for t in res["tables"]] == ["orders", "nation"]
+    assert made == [("sqlserver", "db.corp.example.com", "u1", "pw")]
+    assert spark.table("t_mig_live.orders").count() == 1500
+    rec = control.get("Live")
+    assert rec["data_mode"] == "live" and rec["source_type"] == "sqlserver" and rec["has_secret"]
