@@ -217,3 +217,12 @@ def test_relationship_right_and_full_outer_are_composed_skew_safe(spark):
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
     plan = apply_relationship(left, right, "fk", "pk", "full")._jdf.queryExecution().optimizedPlan().toString()
     assert "FullOuter" not in plan
+
+
+def test_current_tables_keeps_source_list_and_filter(spark):
+    from lakewright.operators.sync import catalog_diff, current_tables
+    src = spark.createDataFrame([("a",), ("B",), ("c",)], "table_name string")
+    reg = spark.createDataFrame([("b",), ("d",)], "table_name string")
+    diff = catalog_diff(src, reg)
+    assert sorted(r.table_name for r in current_tables(diff).collect()) == ["B", "a", "c"]
+    assert sorted(r.table_name for r in current_tables(diff, ["a", "B"]).collect()) == ["B", "a"]

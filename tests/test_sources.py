@@ -111,3 +111,19 @@ def test_live_source_flow_lands_and_partitions(spark):
     assert spark.table("t_live.orders").count() == 1500 and spark.table("t_live.nation").count() == 25
     assert ("orders", {"partition_column": "o_orderkey", "num_partitions": 4}) in StandIn.calls
     assert ("nation", {}) in StandIn.calls
+
+
+def test_registry_json_round_trip(spark, tmp_path):
+    """The control log's state exported as one JSON object reads back keyed by workbook."""
+    from lakewright.plans.registry import ControlLog
+    control = ControlLog(spark, "t_ctl_json", location=str(tmp_path / "ctl"))
+    control.register("wb1", namespace="n1", tables=["A", "B"], data_mode="live")
+    control.record_refresh("wb1", "success")
+    control.register("wb2", namespace="n2", tables=[], data_mode="extracted")
+    p = tmp_path / "export.json"
+    p.write_text(control.export_json())
+    schema = T.StructType([T.StructField("data_mode", T.StringType()), T.StructField("tables", T.ArrayType(T.StringType())),
+                           T.StructField("refresh_count", T.LongType())])
+    rows = {r.workbook_name: (r.record.data_mode, list(r.record.tables), r.record.refresh_count)
+            for r in load_registry_json(spark, str(p), schema).collect()}
+    assert rows == {"wb1": ("live", ["A", "B"], 1), "wb2": ("extracted", [], 0)}
