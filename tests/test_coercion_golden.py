@@ -130,3 +130,53 @@ def test_idempotent_on_typed_output(spark):
     typed = coerce_table(df, {"a": "integer", "c": "boolean"}).df
     again = coerce_table(typed, {"a": "integer", "c": "boolean"}).df
     assert typed.schema == again.schema and typed.collect() == again.collect()
+
+
+# ---- property: the sniff decision equals a brute-force decision over the whole column ----
+import datetime as _dt  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_value = st.one_of(
+    st.just(("junk", None)),
+    st.tuples(st.sampled_from(["dash", "slash", "compact"]), st.integers(1990, 2030), st.integers(1, 12),
+              st.sampled_from([1, 15, 28, 29, 30, 31]),
+              st.one_of(st.none(), st.tuples(st.sampled_from([0, 9, 23]), st.sampled_from([0, 30]),
+                                             st.sampled_from([0, 45]))),
+              st.sampled_from(["", "Z", "+02:00"])),
+)
+
+
+def _render(v):
+    """(text, shape key or None when it must not parse, midnight)."""
+    if v[0] == "junk":
+        return "n/a", None, False
+    kind, y, m, d, tm, zone = v
+    if kind == "compact":                                   # no time / zone on the compact layout here
+        tm, zone = None, ""
+    date = {"dash": f"{y}-{m}-{d}", "slash": f"{y}/{m}/{d}", "compact": f"{y}{m:02d}{d:02d}"}[kind]
+    text = date + ("" if tm is None else " %02d:%02d:%02d" % tm) + (zone if tm is not None else "")
+    try:
+        _dt.date(y, m, d)
+    except ValueError:
+        return text, None, False
+    return text, (kind, tm is not None, bool(zone) and tm is not None), tm is None or tm == (0, 0, 0)
+
+
+@settings(max_examples=25, deadline=None)
+@given(vals=st.lists(_value, min_size=1, max_size=6), nulls=st.integers(0, 2))
+def test_sniff_matches_brute_force(spark, vals, nulls):
+    rendered = [_render(v) for v in vals]
+    shapes = {r[1] for r in rendered}
+    if None in shapes or len(shapes) != 1:
+        want = "text"
+    elif all(r[2] for r in rendered):
+        want = "date"
+    elif not next(iter(shapes))[2]:
+        want = "timestamp"
+    else:
+        want = "text"
+    dec, rows, dt = one_col(spark, [r[0] for r in rendered] + [None] * nulls)
+    got = {T.StringType: "text", T.DateType: "date", T.TimestampType: "timestamp"}[type(dt)]
+    assert got == want, (rendered, dec)
