@@ -214,12 +214,14 @@ class ControlLog:
         st = public_view(self.state(), descriptor="connection_details")
         if workbook is not None:
             st = st.where(F.col("workbook_name") == workbook)
-        live = {}
-        for r in st.select("workbook_name", "namespace").collect():    # one row per workbook
-            live[r["workbook_name"]] = list_tables(self.spark, r["namespace"]) if r["namespace"] else []
-        live_df = self.spark.createDataFrame([(k, v) for k, v in live.items()],
-                                             "workbook_name string, live_tables array<string>")
-        st = st.join(live_df, "workbook_name", "left")
+        # one catalog listing per distinct namespace (namespaces are few; no data moves)
+        names = [r["namespace"] for r in st.select("namespace").where(F.col("namespace").isNotNull())
+                 .distinct().collect()]
+        live_df = self.spark.createDataFrame([(n, list_tables(self.spark, n)) for n in names],
+                                             "namespace string, live_tables array<string>")
+        cols = st.columns
+        st = st.join(live_df, "namespace", "left").select(
+            *cols, F.coalesce("live_tables", F.array().cast("array<string>")).alias("live_tables"))
         return st.withColumn("table_count", F.when(F.size("live_tables") > 0, F.size("live_tables"))
                              .otherwise(F.coalesce(F.size("tables"), F.lit(0))))
 
