@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lakewright.operators.typing import coerce_table
 from lakewright.plans.registry import RUN_LOG_SCHEMA
-from lakewright.session import in_pool, scratch_path
+from lakewright.session import in_pool, remove_path, scratch_path
 from lakewright.sinks.tables import ensure_namespace, write_table
 from lakewright.sources.jdbc import LiveSource
 
@@ -33,14 +33,15 @@ def select_tables(available: list[str], requested: list[str] | None) -> list[str
     return keep
 
 
-def land(spark: SparkSession, df: DataFrame, label: str, spread: int | None = None) -> DataFrame:
+def land(spark: SparkSession, df: DataFrame, label: str, spread: int | None = None,
+         path: str | None = None) -> DataFrame:
     """Write the raw source once to the shared scratch folder and read it back.
 
     Cuts lineage (a lost executor re-reads landed files, not the source) and
     makes the profile and the write see exactly the same rows. ``spread``
     round-robins a source with too few partitions over that many files, so the
-    CPU-heavy parse runs on every core."""
-    path = scratch_path(spark, "landing", label, unique=True)
+    CPU-heavy parse runs on every core. The caller removes ``path`` when done."""
+    path = path or scratch_path(spark, "landing", label, unique=True)
     (df.repartition(spread) if spread else df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -48,13 +49,20 @@ def land(spark: SparkSession, df: DataFrame, label: str, spread: int | None = No
 def prepare_source(spark: SparkSession, source, df: DataFrame, land_mode, label: str):
     """Decide how the profile and the write read the source. Returns (frame, release).
 
-    ``True``: land to the shared scratch folder. ``auto``: land JDBC sources (read
+    ``True``: land to the shared scratch folder (removed after the write). ``auto``: land JDBC sources (read
     once); spread a source with fewer partitions than the cluster has cores over
     all cores (repartition + persist, rebuilt from lineage if an executor is lost)
     so the CPU-heavy parse uses every core; read large file sources in place.
     """
     if land_mode is True or (land_mode == "auto" and isinstance(source, LiveSource)):
-        return land(spark, df, label), None
+        path = scratch_path(spark, "landing", label, unique=True)
+        try:
+            landed = land(spark, df, label, path=path)
+        except Exception:
+            remove_path(spark, path)
+            raise
+        # the landed copy is removed once the table is written (or has failed)
+        return landed, lambda: remove_path(spark, path)
     if land_mode == "auto":
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:

@@ -89,6 +89,15 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join(segs)
 
 
+def remove_path(spark: SparkSession, uri: str) -> None:
+    """Delete a folder (any Hadoop URI) recursively; a missing folder is fine."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(uri)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def in_pool(spark: SparkSession, name: str):
     """Run the calling thread's Spark jobs in scheduler pool ``name`` (FAIR mode)."""
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)

@@ -105,12 +105,26 @@ def test_live_source_flow_lands_and_partitions(spark):
 
     src = LiveSource(spark, StandIn("sqlserver", {"server": "db.corp", "database": "D"}),
                      partitioning={"orders": {"partition_column": "o_orderkey", "num_partitions": 4}})
+    from lakewright.session import scratch_path
+    jvm = spark.sparkContext._jvm
+
+    def landed():
+        out = set()
+        for t in ("orders", "nation"):
+            path = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "landing", t))
+            fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            if fs.exists(path):
+                out |= {str(x.getPath()) for x in fs.listStatus(path)}
+        return out
+
+    before = landed()
     assert src.list_tables() == ["orders", "nation"]
     res = ingest(spark, src, "t_live", workbook="live_wb", declared={"o_orderkey": "integer"})
     assert res["status"] == "success"
     assert spark.table("t_live.orders").count() == 1500 and spark.table("t_live.nation").count() == 25
     assert ("orders", {"partition_column": "o_orderkey", "num_partitions": 4}) in StandIn.calls
     assert ("nation", {}) in StandIn.calls
+    assert landed() <= before           # live tables were landed, and the landed copies are gone
 
 
 def test_registry_json_round_trip(spark, tmp_path):
