@@ -52,7 +52,7 @@ def refresh(spark: SparkSession, control, workbook: str, source, *, sniff: str =
         if removed:
             dropped = drop_tables(spark, db, removed)
         if sorted(current) != sorted(registered):
-            control.patch(workbook, tables=current)
+            control.patch(workbook, known=True, tables=current)
     else:
         current = registered
 

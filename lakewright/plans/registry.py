@@ -149,12 +149,13 @@ class ControlLog:
         """K3: unknown workbooks are ignored by the state fold."""
         self._append(workbook, "refresh", status=status, error=error)
 
-    def patch(self, workbook: str, **attrs) -> None:
-        """K4: set attributes of a registered workbook; unknown workbook -> error."""
+    def patch(self, workbook: str, *, known: bool = False, **attrs) -> None:
+        """K4: set attributes of a registered workbook; unknown workbook -> error.
+        ``known``: the caller has just read the record, so the existence check is skipped."""
         bad = set(attrs) - set(PATCH_ATTRS)
         if bad:
             raise ValueError(f"not patchable: {sorted(bad)}")
-        if self.get(workbook) is None:
+        if not known and self.get(workbook) is None:
             raise KeyError(f"No registry record for '{workbook}'")
         self._append(workbook, "patch", **attrs)
 

@@ -72,7 +72,8 @@ def table_location(spark: SparkSession, db: str, table: str) -> str | None:
     """Storage location of a catalog table, or None when there is no such table."""
     if not table_exists(spark, db, table):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(db, table)}").where("col_name = 'Location'").collect()
+    # a command result is local: filtering it on the driver starts no job
+    rows = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(db, table)}").collect() if r["col_name"] == "Location"]
     return rows[0]["data_type"].rstrip("/") if rows else None
 
 
