@@ -6,7 +6,6 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from lakewright.operators.sync import catalog_diff
 from lakewright.plans.ingest import load_many, summarize
