@@ -52,6 +52,8 @@ def extract_catalog(spark: SparkSession, root: str) -> DataFrame:
               .agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("n_files")))
     stem = F.regexp_replace(F.regexp_extract("table_rel", r"([^/]+)$", 1), r"(?i)\.(parquet|csv|json|orc)$", "")
     raw = strip_quotes(stem)
+    # A global window, on purpose: its rows are the catalog (one per table of the extract),
+    # never table data, and the file order it numbers is global by definition.
     w_schema = Window.orderBy("schema")
     w_table = Window.partitionBy("schema").orderBy("table_rel")
     return (tables.select(
