@@ -10,9 +10,10 @@ from __future__ import annotations
 import json
 import threading
 import time
+import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,13 +193,17 @@ class ControlLog:
             ev = self.events()
             last_reg = ev.where(F.col("op") == "register").groupBy("workbook_name") \
                 .agg(F.max("seq").alias("__reg"))
-            keep = ev.join(last_reg, "workbook_name").where(F.col("seq") >= F.col("__reg")) \
-                .select(*LOG_SCHEMA.fieldNames())
-            before, after = ev.count(), keep.count()
+            kept = F.col("seq") >= F.col("__reg")          # null (never registered) -> dropped
+            # both counts are taken while the new version is written (no extra scans)
+            obs = Observation(f"compact_{uuid.uuid4().hex}")
+            keep = ev.join(last_reg, "workbook_name", "left") \
+                .observe(obs, F.count(F.lit(1)).alias("before"), F.count_if(kept).alias("after")) \
+                .where(kept).select(*LOG_SCHEMA.fieldNames())
             # the new version is written in full before the old one is removed
             self.log.replace(keep.coalesce(files))
             self.run_log.replace(self.runs().coalesce(files))
-        return {"events_before": before, "events_after": after}
+            m = obs.get
+        return {"events_before": int(m.get("before") or 0), "events_after": int(m.get("after") or 0)}
 
     def state(self, include_deleted: bool = False) -> DataFrame:
         """K2: current records."""
