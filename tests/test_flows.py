@@ -60,6 +60,15 @@ def test_overwrite_swaps_version_folders(spark):
     assert len(fs.listStatus(root)) == 1 and spark.table("t_sink.ver").count() == 5
 
 
+def test_append_after_versioned_overwrite(spark):
+    ensure_namespace(spark, "t_sink")
+    write_table(spark, spark.range(3), "t_sink", "ver_app")
+    r = write_table(spark, spark.range(2), "t_sink", "ver_app", mode="append")
+    assert r["status"] == "success" and spark.table("t_sink.ver_app").count() == 5
+    write_table(spark, spark.range(4), "t_sink", "ver_app")           # overwrite again: appended rows go too
+    assert spark.table("t_sink.ver_app").count() == 4
+
+
 def _fs(spark, uri):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(uri)
