@@ -10,6 +10,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from lakewright.suite.oracle import ORACLE_SQL
+from lakewright.suite.spark_side import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -38,10 +40,11 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF001)
     got = [tuple(r) for r in df.collect()]
