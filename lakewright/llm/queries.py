@@ -8,11 +8,27 @@ from pyspark.sql import functions as F
 from lakewright.llm.common import table
 
 
+#: The tokenizer file of the packing contract, found through the installed vocabulary package.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from lakewright.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakewright.llm.secrets import digest, scan
     return digest(scan(spark, table(spark, sf_dir, "documents")))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.simhash import near_duplicates
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakewright.llm.exact import exact_duplicates
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -24,7 +40,9 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pack": op1_pack,
     "op5_secret_scan": op5_secret_scan,
+    "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_source_mix": op9_source_mix,
 }
