@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,18 @@ def staged(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within, at most ``rows`` rows go to Python at once: for tables whose rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def hex_long(column: Column, digits: int = 15) -> Column:
     """The first hex digits of a digest as a non-negative long."""
     return F.conv(F.substring(column, 1, digits), 16, 10).cast("long")

@@ -34,4 +34,23 @@ SELECT doc_id, size, source_size, target,
 FROM taken
 """
 
-ORACLE_SQL = {"op7_exact_dedup": OP7, "op9_source_mix": OP9}
+OP2 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS r FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = r THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> r THEN r END AS refers_to, true AS verified
+FROM g
+"""
+
+OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+ORACLE_SQL = {"op2_warc": OP2, "op3_top_k": OP3, "op7_exact_dedup": OP7, "op9_source_mix": OP9}

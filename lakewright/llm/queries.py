@@ -18,6 +18,17 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.warc import read_archives, resolved, write_archives
+    records = read_archives(write_archives(table(spark, sf_dir, "pages")), with_payload=False)
+    return resolved(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.topk import top_k
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakewright.llm.secrets import digest, scan
     return digest(scan(spark, table(spark, sf_dir, "documents")))
@@ -39,10 +50,18 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.quality import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_warc": op2_warc,
+    "op3_top_k": op3_top_k,
     "op5_secret_scan": op5_secret_scan,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_source_mix": op9_source_mix,
+    "op10_quality": op10_quality,
 }
