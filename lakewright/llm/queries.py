@@ -29,6 +29,12 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.linededup import dedup_lines
+    out = dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakewright.llm.secrets import digest, scan
     return digest(scan(spark, table(spark, sf_dir, "documents")))
@@ -59,6 +65,7 @@ QUERIES = {
     "op1_pack": op1_pack,
     "op2_warc": op2_warc,
     "op3_top_k": op3_top_k,
+    "op4_line_dedup": op4_line_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
