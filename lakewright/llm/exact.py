@@ -35,20 +35,18 @@ def _cells(hashes: np.ndarray, cells: int) -> list[np.ndarray]:
 
 def _hits(cells: int):
     def run(batches):
-        once, again = np.zeros(cells, bool), np.zeros(cells, bool)
+        seen = np.zeros(cells, np.uint8)  # 0, 1, or 2 for more
         for batch in batches:
             h = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for c in _cells(h, cells):
                 c, n = np.unique(c, return_counts=True)
-                again[c] |= once[c] | (n > 1)
-                once[c] = True
+                seen[c] = np.minimum(seen[c] + np.minimum(n, 2), 2)
         size = cells // SEGMENTS
         rows = []
         for s in range(SEGMENTS):
-            part = slice(s * size, (s + 1) * size)
-            if once[part].any():
-                rows.append((s, zlib.compress(np.packbits(once[part]).tobytes(), 1),
-                             zlib.compress(np.packbits(again[part]).tobytes(), 1)))
+            part = seen[s * size:(s + 1) * size]
+            if part.any():
+                rows.append((s, zlib.compress(np.packbits(part > 0).tobytes(), 1), zlib.compress(np.packbits(part > 1).tobytes(), 1)))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                           pa.array([r[1] for r in rows], pa.binary()),
                                           pa.array([r[2] for r in rows], pa.binary())],
@@ -80,35 +78,49 @@ def _merge(size: int):
     return run
 
 
-def _probe(cells: int, filters):
-    def run(batches):
-        bits = np.zeros(cells // 8, np.uint8)
-        size = cells // SEGMENTS // 8
-        for s, packed in filters.value.items():
-            bits[s * size:(s + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
-        for batch in batches:
-            h = batch.column(batch.schema.get_field_index("hash")).to_numpy(zero_copy_only=False).astype(np.int64)
-            hit = np.ones(len(h), bool)
-            for c in _cells(h, cells):
-                hit &= (bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 > 0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], names=[*batch.schema.names, "maybe"])
-    return run
+class Filter:
+    """The merged filter, broadcast; ``bits()`` unpacks it in a task."""
+
+    def __init__(self, cells: int, segments):
+        self.cells, self.segments = cells, segments
+
+    def bits(self) -> np.ndarray:
+        out = np.zeros(self.cells // 8, np.uint8)
+        size = self.cells // SEGMENTS // 8
+        for s, packed in self.segments.value.items():
+            out[s * size:(s + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
+        return out
 
+    def may_repeat(self, hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        hit = np.ones(len(hashes), bool)
+        for c in _cells(hashes, self.cells):
+            hit &= (bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 > 0
+        return hit
 
-def possibly_repeated(hashed: DataFrame, cells_per_row: int = CELLS_PER_ROW, max_cells: int = MAX_CELLS) -> DataFrame:
-    """``hashed`` (with a long column ``hash``, none null) plus ``maybe``: false only where no other row has the hash.
+
+def repeat_filter(hashes: DataFrame, rows: int, cells_per_row: int = CELLS_PER_ROW, max_cells: int = MAX_CELLS) -> Filter:
+    """First pass over ``hashes`` (one long column, about ``rows`` of them).
 
     The filter has about ``cells_per_row`` cells a row, ``max_cells`` at most, which bounds what a task holds and
-    what is broadcast; a fuller filter lets more rows through to the shuffle and changes no result.
+    what is broadcast; a fuller filter lets more rows through and changes no result.
     """
-    spark = hashed.sparkSession
-    rows = max(hashed.count(), 1)
-    cells = min(max(1 << (rows * cells_per_row - 1).bit_length(), SEGMENTS * 8), max_cells)
-    seen = hashed.select("hash").mapInArrow(_hits(cells), "segment int, once binary, again binary")
+    cells = min(max(1 << (max(rows, 1) * cells_per_row - 1).bit_length(), SEGMENTS * 8), max_cells)
+    seen = hashes.mapInArrow(_hits(cells), "segment int, once binary, again binary")
     merged = (seen.repartition(SEGMENTS, "segment").sortWithinPartitions("segment")
               .mapInArrow(_merge(cells // SEGMENTS), "segment int, again binary").collect())
-    filters = spark.sparkContext.broadcast({r["segment"]: bytes(r["again"]) for r in merged})
-    return hashed.mapInArrow(_probe(cells, filters), StructType([*hashed.schema, StructField("maybe", BooleanType())]))
+    return Filter(cells, hashes.sparkSession.sparkContext.broadcast({r["segment"]: bytes(r["again"]) for r in merged}))
+
+
+def possibly_repeated(hashed: DataFrame, **filter_size) -> DataFrame:
+    """``hashed`` (with a long column ``hash``, none null) plus ``maybe``: false only where no other row has the hash."""
+    found = repeat_filter(hashed.select("hash"), hashed.count(), **filter_size)
+
+    def probe(batches):
+        bits = found.bits()
+        for batch in batches:
+            h = batch.column(batch.schema.get_field_index("hash")).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.may_repeat(h, bits))], names=[*batch.schema.names, "maybe"])
+    return hashed.mapInArrow(probe, StructType([*hashed.schema, StructField("maybe", BooleanType())]))
 
 
 def exact_duplicates(docs: DataFrame, normalise=None, **filter_size) -> DataFrame:

@@ -51,6 +51,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.suffix import dedup_substrings
+    return dedup_substrings(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakewright.llm.mixing import mix
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
@@ -69,6 +74,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op6_simhash": op6_simhash,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_substrings": op8_substrings,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
 }
