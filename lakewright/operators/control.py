@@ -151,6 +151,14 @@ def valid_config(enable: Column, interval: Column) -> tuple[Column, Column]:
     return reason.isNull(), reason
 
 
+def check_schedule(enable: bool | None, interval: int | None) -> None:
+    """C10 where a schedule enters: raises on what ``valid_config`` flags in a table of requests."""
+    if enable and interval is None:
+        raise ValueError("an interval is required when refresh is enabled")
+    if interval is not None and interval < MIN_INTERVAL_MINUTES:
+        raise ValueError(f"interval must be at least {MIN_INTERVAL_MINUTES} minutes")
+
+
 # ---------------------------------------------------------------------------
 # run roll-ups
 # ---------------------------------------------------------------------------

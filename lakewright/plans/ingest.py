@@ -7,6 +7,7 @@ table is reported and the rest continue.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -16,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakewright.operators.control import check_schedule
 from lakewright.operators.typing import coerce_table
 from lakewright.plans.registry import RUN_LOG_SCHEMA
 from lakewright.session import in_pool, remove_path, scratch_path
@@ -24,8 +26,8 @@ from lakewright.sources.jdbc import LiveSource
 
 
 def select_tables(available: list[str], requested: list[str] | None) -> list[str]:
-    """Exact, case-sensitive include list; empty request = all; nothing left = error."""
-    if not requested:
+    """Exact, case-sensitive include list; None = all; an empty list or nothing left = error."""
+    if requested is None:
         return list(available)
     keep = [t for t in available if t in set(requested)]
     if not keep:
@@ -143,26 +145,35 @@ def summarize(results: list[dict], flow: str = "migrate") -> dict:
 
 
 def ingest(spark: SparkSession, source, db: str, *, workbook: str | None = None, tables: list[str] | None = None,
-           declared=None, sniff: str = "undeclared", land_mode="auto", parallel: int = 1,
-           control=None, register: dict | None = None, secret_supplied: bool = False) -> dict:
+           declared=None, sniff: str = "undeclared", collapse_midnight: bool = False, land_mode="auto", parallel: int = 1,
+           control=None, register: dict | None = None, secret_supplied: bool = False, user_filter: list[str] | None = None) -> dict:
     """L1: migrate the tables of ``source`` into namespace ``db``.
 
+    ``tables`` names what to load now (None = all; an empty list is an error). ``user_filter`` is what the user asked
+    for, stored for refreshes; it defaults to ``tables``. Types, sniffing and midnight rule are stored as given, so a
+    refresh types the tables the same way. Only tables that did not fail are registered.
     Returns ``{"status", "summary", "tables": [...], "namespace": ...}``. With a
     ``control`` log the workbook is registered (K1) and per-table rows appended
     to the run log.
     """
     started = time.time()
+    if control is not None:
+        check_schedule((register or {}).get("enable_scheduled_refresh"), (register or {}).get("refresh_interval_minutes"))
     ns = ensure_namespace(spark, db)
     chosen = select_tables(source.list_tables(), tables)
-    results = load_many(spark, source, chosen, db, declared=declared, sniff=sniff, land_mode=land_mode,
-                        parallel=parallel)
+    results = load_many(spark, source, chosen, db, declared=declared, sniff=sniff, collapse_midnight=collapse_midnight,
+                        land_mode=land_mode, parallel=parallel)
     summary = summarize(results)
     wb = workbook or db
     if control is not None:
-        flat_declared = declared if declared and not all(isinstance(v, dict) for v in declared.values()) else None
-        control.register(wb, secret_supplied=secret_supplied, namespace=db, tables=chosen,
-                         table_filter=list(tables) if tables else None, declared_types=flat_declared,
-                         **(register or {}))
+        per_table = bool(declared) and all(isinstance(v, dict) for v in declared.values())
+        asked = tables if user_filter is None else user_filter
+        control.register(wb, secret_supplied=secret_supplied, namespace=db,
+                         tables=[r["table_name"] for r in results if r["status"] != "failed"],
+                         table_filter=list(asked) if asked else None,
+                         declared_types=None if per_table or not declared else declared,
+                         declared_by_table=declared if per_table else None,
+                         sniff=sniff, collapse_midnight=collapse_midnight, **(register or {}))
         control.log_runs([{**{k: v for k, v in r.items() if k in RUN_LOG_SCHEMA.fieldNames()},
                            "workbook_name": wb} for r in results])
     return {"workbook_name": wb, "namespace": ns, "status": summary["status"], "summary": summary,
@@ -187,9 +198,11 @@ def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extrac
     connection). Extracted mode reads ``extract_source`` (e.g. a ``DirectorySource``
     of the unpacked extract); live mode builds a JDBC source from the workbook's
     connection plus caller-supplied ``credentials`` ({"user", "password"}). Only the
-    workbook's tables are ingested, further narrowed by ``tables`` (C1). ``partitioning``
-    gives per-table partitioned-read options for live sources (see ``LiveSource``).
+    workbook's tables are ingested, further narrowed by ``tables`` (C1); a filter that leaves none is an
+    error, as is a workbook without tables. A live source is probed first (A8). ``partitioning``
+    gives per-table partitioned-read options for live sources (see ``LiveSource``); it is stored for refreshes.
     """
+    check_schedule((schedule or {}).get("enable_scheduled_refresh"), (schedule or {}).get("refresh_interval_minutes"))
     from lakewright.operators.workbook import declared_types_of, extract_metadata
     from lakewright.plans.registry import ControlLog  # noqa: F401 - type of ``control``
     from lakewright.sources.jdbc import source_for
@@ -213,7 +226,8 @@ def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extrac
     if extract_source is not None or wb["has_extract"]:
         if extract_source is None:
             raise ValueError("packaged workbook with an extract: pass extract_source (unpacked table files)")
-        source, mode, stype, params = extract_source, "extracted", "extract", {}
+        root = getattr(extract_source, "root", None)
+        source, mode, stype, params = extract_source, "extracted", "extract", {"extract_root": root} if root else {}
         wanted = tables
     else:
         if conn is None or conn["source_type"] is None:
@@ -222,9 +236,14 @@ def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extrac
         source = LiveSource(spark, source_for(conn["source_type"], dict(conn["params"]), user=creds.get("user"),
                                               password=creds.get("password")), partitioning=partitioning)
         mode, stype, params = "live", conn["source_type"], dict(conn["params"])
-        wanted = [t for t in wb_tables if not tables or t in tables]
+        wanted = [t for t in wb_tables if tables is None or t in tables]
+        if not wanted:
+            raise ValueError(f"workbook '{wb['workbook']}' has none of the requested tables: {tables}"
+                             if wb_tables else f"workbook '{wb['workbook']}' names no tables")
+        source.probe()
     register = {"file_name": wb["path"].rsplit("/", 1)[-1], "data_mode": mode, "source_type": stype,
-                "connection_details": params, **(schedule or {})}
+                "connection_details": params, "partitioning": json.dumps(partitioning) if partitioning else None,
+                **(schedule or {})}
     return ingest(spark, source, db, workbook=wb["workbook"], tables=wanted, declared=declared, sniff=sniff,
-                  control=control, register=register,
+                  control=control, register=register, user_filter=tables or [],
                   secret_supplied=bool((credentials or {}).get("password")))

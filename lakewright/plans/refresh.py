@@ -6,84 +6,113 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from lakewright.operators.sync import catalog_diff
+from lakewright.operators.control import due_jobs, jobs
 from lakewright.plans.ingest import load_many, summarize
 from lakewright.session import in_pool
 from lakewright.sinks.tables import drop_tables
+from lakewright.sources.jdbc import source_from_record
 
 
-def refresh(spark: SparkSession, control, workbook: str, source, *, sniff: str = "undeclared",
-            allow_drop_all: bool = False, parallel: int = 1) -> dict:
-    """Refresh one registered workbook from ``source``.
+def name_diff(source: list[str], registered: list[str]) -> tuple[list[str], list[str]]:
+    """I1, I2 for one workbook, whose two name lists are on the driver already: (added, removed), case folded.
+    ``operators.sync.catalog_diff`` does the same for a corpus of workbooks."""
+    have, known = {t.lower() for t in source}, {t.lower() for t in registered}
+    return sorted({t for t in source if t.lower() not in known}), sorted({t for t in registered if t.lower() not in have})
 
-    Schema sync compares the source catalog with the registered tables (case
-    folded), drops targets that left the source, and refreshes the current
-    tables (source list, intersected with the stored include-filter). Declared
-    types stored at registration are applied again. If discovery fails the
-    registered list is used. A source listing zero tables is refused unless
-    ``allow_drop_all``.
+
+def refresh(spark: SparkSession, control, workbook: str, source=None, *, credentials: dict | None = None,
+            sniff: str | None = None, allow_drop_all: bool = False, parallel: int = 1) -> dict:
+    """Refresh one registered workbook, by name alone or from a given ``source``.
+
+    Without ``source`` it is rebuilt from the stored record (``credentials`` are the caller's; none are stored).
+    Schema sync compares the source catalog with the registered tables (case folded), drops targets that left the
+    source, and loads the source's tables, narrowed by the user's stored filter: tables new at the source
+    are loaded too. Types and sniffing stored at registration are applied again. If discovery fails the
+    registered list is used. A source listing zero tables is refused unless ``allow_drop_all``. Any error is
+    recorded as a failed refresh before it is raised.
     """
-    started = time.time()
     rec = control.get(workbook)
     if rec is None:
-        raise KeyError(f"No registry record found for '{workbook}'")
-    db = rec["namespace"]
+        raise KeyError(f"'{workbook}' is not registered")
+    try:
+        return _refresh(spark, control, rec, source if source is not None else source_from_record(spark, rec, credentials),
+                        sniff=sniff, allow_drop_all=allow_drop_all, parallel=parallel)
+    except Exception as e:
+        control.record_refresh(workbook, "failed", str(e).split("\n")[0])
+        raise
+
+
+def _refresh(spark, control, rec: dict, source, *, sniff, allow_drop_all, parallel) -> dict:
+    started = time.time()
+    workbook, db = rec["workbook_name"], rec["namespace"]
     registered = list(rec.get("tables") or [])
-    table_filter = rec.get("table_filter") or None
+    wanted = set(rec.get("table_filter") or [])
     try:
         source_tables = list(source.list_tables())
     except Exception:  # noqa: BLE001 - discovery failure falls back to the registered list
         source_tables = None
 
-    added, removed, dropped = [], [], []
+    added, removed, dropped, current = [], [], [], registered
     if source_tables is not None:
         if not source_tables and registered and not allow_drop_all:
             control.record_refresh(workbook, "failed", "source lists no tables; refusing to drop every target")
             return {"workbook_name": workbook, "status": "failed", "tables": [], "added": [], "removed": [],
                     "summary": {"total_migrated": 0, "total_failed": 1, "total_rows": 0}}
-        src_df = spark.createDataFrame([(t,) for t in source_tables], "table_name string")
-        reg_df = spark.createDataFrame([(t,) for t in registered], "table_name string")
-        diff = catalog_diff(src_df, reg_df).collect()           # one row per table name
-        added = sorted(r["table_name"] for r in diff if r["change"] == "added")
-        removed = sorted(r["table_name"] for r in diff if r["change"] == "removed")
-        current = [t for t in source_tables if not table_filter or t in set(table_filter)]
+        current = [t for t in source_tables if not wanted or t in wanted]
+        added, removed = name_diff(current, registered)[0], name_diff(source_tables, registered)[1]
         if removed:
             dropped = drop_tables(spark, db, removed)
-        if sorted(current) != sorted(registered):
-            control.patch(workbook, known=True, tables=current)
-    else:
-        current = registered
 
-    results = load_many(spark, source, current, db, declared=rec.get("declared_types") or {}, sniff=sniff,
+    results = load_many(spark, source, current, db, declared=rec.get("declared_by_table") or rec.get("declared_types") or {},
+                        sniff=sniff or rec.get("sniff") or "undeclared", collapse_midnight=bool(rec.get("collapse_midnight")),
                         parallel=parallel)
+    known = {t.lower() for t in registered}
+    loaded = [r["table_name"] for r in results if r["status"] != "failed" or r["table_name"].lower() in known]
+    if sorted(loaded) != sorted(registered):
+        control.patch(workbook, known=True, tables=loaded)
     summary = summarize(results, flow="refresh")
     control.record_refresh(workbook, summary["status"], summary["error_summary"])
-    control.log_runs([{k: v for k, v in {**r, "workbook_name": workbook}.items()} for r in results])
+    control.log_runs([{**r, "workbook_name": workbook} for r in results])
     return {"workbook_name": workbook, "status": summary["status"], "summary": summary, "tables": results,
             "added": added, "removed": removed, "dropped": dropped,
             "duration_seconds": round(time.time() - started, 2)}
 
 
-def refresh_all(spark: SparkSession, control, sources: dict, *, parallel: int = 1, **kw) -> list[dict]:
-    """L3: refresh every registered, non-extracted workbook; one failure does not stop the rest.
-
-    ``sources`` maps workbook -> source. Extracted workbooks are refreshed too when a
-    source is given for them (the original service skipped them)."""
-    names = [r["workbook_name"] for r in control.state().select("workbook_name").collect()]
-
+def refresh_many(spark: SparkSession, control, names: list[str], sources: dict | None = None, credentials: dict | None = None,
+                 *, parallel: int = 1, **kw) -> list[dict]:
+    """Refresh the named workbooks; one failure does not stop the rest. ``sources`` and ``credentials`` are by workbook;
+    a workbook without a source is rebuilt from its record."""
     def one(wb):
         if parallel > 1:
             in_pool(spark, f"workbook-{abs(hash(wb)) % parallel}")
-        if wb not in sources:
-            return {"workbook_name": wb, "status": "skipped", "tables": []}
         try:
-            return refresh(spark, control, wb, sources[wb], **kw)
-        except Exception as e:  # noqa: BLE001
-            control.record_refresh(wb, "failed", str(e))
+            return refresh(spark, control, wb, (sources or {}).get(wb), credentials=(credentials or {}).get(wb), **kw)
+        except Exception as e:  # noqa: BLE001 - recorded by refresh
             return {"workbook_name": wb, "status": "failed", "error": str(e), "tables": []}
 
     if parallel <= 1:
         return [one(w) for w in names]
     with ThreadPoolExecutor(max_workers=parallel) as ex:
         return list(ex.map(one, names))
+
+
+def refresh_all(spark: SparkSession, control, sources: dict | None = None, credentials: dict | None = None, **kw) -> list[dict]:
+    """L3: refresh every registered workbook from ``sources`` or its record. An extracted workbook whose record
+    names no directory and that was given no source is reported as ``skipped``."""
+    sources = sources or {}
+    rows = control.state().select("workbook_name", "data_mode", F.col("connection_details")["extract_root"].alias("root")).collect()
+    skip = [r["workbook_name"] for r in rows if r["workbook_name"] not in sources and r["data_mode"] != "live" and not r["root"]]
+    names = [r["workbook_name"] for r in rows if r["workbook_name"] not in skip]
+    return refresh_many(spark, control, names, sources, credentials, **kw) + \
+        [{"workbook_name": w, "status": "skipped", "tables": []} for w in skip]
+
+
+def refresh_due(spark: SparkSession, control, at, credentials: dict | None = None, sources: dict | None = None, **kw) -> list[dict]:
+    """K8 carried out: refresh the workbooks whose next run is at or before ``at`` (a timestamp). A start later than the
+    allowance is not run but reported as ``missed``. Meant to be called by whatever schedules jobs."""
+    when = F.lit(at).cast("timestamp")
+    due = due_jobs(jobs(control.state()), when).select("workbook_name", "action").orderBy("workbook_name").collect()
+    done = refresh_many(spark, control, [r["workbook_name"] for r in due if r["action"] == "run"], sources, credentials, **kw)
+    return done + [{"workbook_name": r["workbook_name"], "status": "missed", "tables": []} for r in due if r["action"] == "missed"]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewright.operators.control import public_view, registry_state
+from lakewright.operators.control import check_schedule, public_view, registry_state
 from lakewright.sinks.tables import ensure_namespace, list_tables, namespace_location
 
 LOG_SCHEMA = T.StructType([
@@ -34,6 +34,10 @@ LOG_SCHEMA = T.StructType([
     T.StructField("tables", T.ArrayType(T.StringType())),
     T.StructField("table_filter", T.ArrayType(T.StringType())),
     T.StructField("declared_types", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("declared_by_table", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))),
+    T.StructField("sniff", T.StringType()),
+    T.StructField("collapse_midnight", T.BooleanType()),
+    T.StructField("partitioning", T.StringType()),
     T.StructField("connection_details", T.MapType(T.StringType(), T.StringType())),
     T.StructField("enable_scheduled_refresh", T.BooleanType()),
     T.StructField("refresh_interval_minutes", T.IntegerType()),
@@ -44,7 +48,8 @@ LOG_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 REGISTER_ATTRS = ["file_name", "container_name", "workspace_id", "namespace", "data_mode", "source_type",
-                  "tables", "table_filter", "declared_types", "connection_details",
+                  "tables", "table_filter", "declared_types", "declared_by_table", "sniff", "collapse_midnight",
+                  "partitioning", "connection_details",
                   "enable_scheduled_refresh", "refresh_interval_minutes", "downstream_id",
                   "migration_type", "has_secret"]
 PATCH_ATTRS = ["tables", "enable_scheduled_refresh", "refresh_interval_minutes", "downstream_id"]
@@ -143,6 +148,7 @@ class ControlLog:
         unknown = set(attrs) - set(REGISTER_ATTRS)
         if unknown:
             raise ValueError(f"unknown registry fields: {sorted(unknown)}")
+        check_schedule(attrs.get("enable_scheduled_refresh"), attrs.get("refresh_interval_minutes"))
         attrs.setdefault("migration_type", "workbook")
         self._append(workbook, "register", has_secret=bool(secret_supplied), **attrs)
 
@@ -156,8 +162,12 @@ class ControlLog:
         bad = set(attrs) - set(PATCH_ATTRS)
         if bad:
             raise ValueError(f"not patchable: {sorted(bad)}")
-        if not known and self.get(workbook) is None:
-            raise KeyError(f"No registry record for '{workbook}'")
+        schedule = ("enable_scheduled_refresh", "refresh_interval_minutes")
+        record = self.get(workbook) if not known or set(schedule) & set(attrs) else {}
+        if record is None:
+            raise KeyError(f"'{workbook}' is not registered")
+        if set(schedule) & set(attrs):
+            check_schedule(*[attrs[a] if attrs.get(a) is not None else record.get(a) for a in schedule])
         self._append(workbook, "patch", **attrs)
 
     def delete(self, workbook: str) -> bool:

@@ -10,6 +10,7 @@ Credentials are passed in by the caller and never written to tables or logs.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,6 +131,13 @@ class LiveSource:
     def __init__(self, spark: SparkSession, jdbc: JdbcSource, partitioning: dict | None = None):
         self.spark, self.jdbc, self.partitioning = spark, jdbc, dict(partitioning or {})
 
+    def probe(self) -> None:
+        """One trivial query; a connection that fails is an error before anything is written."""
+        try:
+            self.jdbc.probe(self.spark)
+        except Exception as e:
+            raise ValueError(f"the {self.jdbc.source_type} source does not answer: {str(e).splitlines()[0]}") from e
+
     def list_tables(self) -> list[str]:
         """Base-table names (one small row each)."""
         return [r[0] for r in self.jdbc.list_tables(self.spark).collect()]
@@ -138,6 +146,20 @@ class LiveSource:
         return self.jdbc.read(self.spark, table, **self.partitioning.get(table, {}))
 
 
+def source_from_record(spark: SparkSession, record: dict, credentials: dict | None = None):
+    """The source a stored record describes: a live connection (with its stored partitioning and the caller's
+    ``credentials``) or the directory of an unpacked extract."""
+    details = dict(record.get("connection_details") or {})
+    if record.get("data_mode") == "live":
+        creds = credentials or {}
+        return LiveSource(spark, source_for(record["source_type"], details, user=creds.get("user"), password=creds.get("password")),
+                          partitioning=json.loads(record["partitioning"]) if record.get("partitioning") else None)
+    if details.get("extract_root"):
+        from lakewright.sources.catalog import DirectorySource
+        return DirectorySource(spark, details["extract_root"])
+    raise ValueError(f"the record of '{record.get('workbook_name')}' names no source; pass one")
+
+
 def source_for(source_type: str, params: dict, user: str | None = None, password: str | None = None,
                **extra) -> JdbcSource:
     """Dispatch by source type; unknown types are an error."""

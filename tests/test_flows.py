@@ -221,6 +221,13 @@ def test_migrate_workbook_live(spark, tmp_path, monkeypatch):
     from lakewright.plans.ingest import migrate_workbook
 
     class StandIn(J.JdbcSource):
+        alive = True
+
+        def probe(self, spark):
+            if not self.alive:
+                raise RuntimeError("refused")
+            return True
+
         def list_tables(self, spark):
             return spark.createDataFrame([("orders",), ("nation",), ("region",)], "TABLE_NAME string")
 
@@ -250,3 +257,59 @@ def test_migrate_workbook_live(spark, tmp_path, monkeypatch):
     assert spark.table("t_mig_live.orders").count() == 1500
     rec = control.get("Live")
     assert rec["data_mode"] == "live" and rec["source_type"] == "sqlserver" and rec["has_secret"]
+    assert rec["table_filter"] is None and rec["tables"] == ["orders", "nation"]
+    # a filter that names nothing is an error, not everything
+    with pytest.raises(ValueError, match="none of the requested"):
+        migrate_workbook(spark, str(wbdir), "t_mig_none", tables=["NOPE"], control=control)
+    monkeypatch.setattr(StandIn, "alive", False)
+    with pytest.raises(ValueError, match="does not answer"):
+        migrate_workbook(spark, str(wbdir), "t_mig_none", control=control)
+    assert not spark.catalog.databaseExists("t_mig_none")
+    # refreshed by name alone, from the stored record: a table new at the source is loaded
+    res = refresh(spark, control, "Live", credentials={"password": "pw2"})
+    assert made[-1][3] == "pw2" and res["added"] == ["region"] and spark.table("t_mig_live.region").count() == 5
+    assert sorted(control.get("Live")["tables"]) == ["nation", "orders", "region"]
+
+
+def test_refresh_replays_types_and_filter(spark, tmp_path):
+    """Per-table types and sniffing are applied again; a user's filter also holds for tables new at the source."""
+    rows = spark.createDataFrame([("1", "2024-01-01"), ("2", "2024-01-02")], "a string, d string")
+    control = ControlLog(spark, "t_ctl_replay", location=str(tmp_path / "ctl"))
+    ingest(spark, FrameSource({"t": rows, "u": rows}), "t_replay", workbook="w", declared={"t": {"a": "integer"}}, sniff="none",
+           tables=["t", "v"], control=control)
+    types = dict(spark.table("t_replay.t").dtypes)
+    res = refresh(spark, control, "w", FrameSource({"t": rows, "u": rows, "v": rows}))
+    assert dict(spark.table("t_replay.t").dtypes) == types == {"a": "bigint", "d": "string"}
+    assert res["added"] == ["v"] and dict(spark.table("t_replay.v").dtypes) == {"a": "string", "d": "string"}
+    assert "u" not in [t.name for t in spark.catalog.listTables("t_replay")]
+    # failed tables are not registered; an error of the flow itself leaves an event
+    class Broken(FrameSource):
+        def read(self, table):
+            raise RuntimeError("gone")
+    ingest(spark, Broken({"x": rows}), "t_replay_b", workbook="b", control=control)
+    assert control.get("b")["tables"] == []
+    with pytest.raises(ValueError, match="names no source"):
+        refresh(spark, control, "w")
+    assert control.get("w")["last_refresh_status"] == "failed"
+
+
+def test_schedules_are_checked_where_they_enter(spark, tmp_path):
+    import datetime
+
+    from lakewright.plans.refresh import refresh_due
+    control = ControlLog(spark, "t_ctl_sched", location=str(tmp_path / "ctl"))
+    src = FrameSource({"t": spark.range(3)})
+    with pytest.raises(ValueError, match="at least 5"):
+        control.register("w", enable_scheduled_refresh=True, refresh_interval_minutes=1)
+    with pytest.raises(ValueError, match="required"):
+        ingest(spark, src, "t_sched", workbook="w", control=control, register={"enable_scheduled_refresh": True})
+    ingest(spark, src, "t_sched", workbook="w", control=control)
+    with pytest.raises(ValueError, match="required"):
+        control.patch("w", enable_scheduled_refresh=True)
+    control.patch("w", enable_scheduled_refresh=True, refresh_interval_minutes=5)
+    now = datetime.datetime.now(datetime.timezone.utc)
+    assert refresh_due(spark, control, now, sources={"w": src}) == []
+    out = refresh_due(spark, control, now + datetime.timedelta(minutes=7), sources={"w": src})
+    assert [r["status"] for r in out] == ["success"]
+    out = refresh_due(spark, control, now + datetime.timedelta(minutes=60), sources={"w": src})
+    assert [r["status"] for r in out] == ["missed"]
