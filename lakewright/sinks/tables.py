@@ -5,11 +5,13 @@ Overwrite safety (Spark refuses to overwrite a table it reads, and a plain
 Parquet overwrite is not atomic): the frame is written to a fresh version
 folder ``<namespace>/_versions/<table>/<id>`` first, with an ``Observation``
 counting rows and new nulls during that same write. Only a non-empty version
-replaces the target, and the swap is catalog metadata only: the table entry is
-dropped and re-created over the new folder, then the previous version's folder
-is deleted. No data is renamed or copied (a directory rename is a full copy on
-object stores). Versions live in the target namespace, i.e. on the shared
-lakehouse storage, so a lost executor only re-runs its tasks.
+replaces the target, and the swap is catalog metadata only. Where the schema stays, the
+table entry is pointed at the new folder. Otherwise a new entry is made and checked under another
+name, and the two entries change names; an error on the way puts the old one back.
+The version before the current one is kept until the next write, so queries that run during a
+swap finish; a failed write leaves no folder behind. No data is renamed or copied (a directory
+rename is a full copy on object stores). Versions live in the target namespace, i.e. on the
+shared lakehouse storage, so a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
@@ -83,16 +85,16 @@ def _delete(spark: SparkSession, uri: str) -> None:
         fs.delete(path, True)
 
 
-def _delete_other_versions(spark: SparkSession, db: str, table: str, keep: str) -> None:
-    """Remove version folders of ``db.table`` other than ``keep`` (left by a session whose
-    catalog is gone, or by a write that died before the swap)."""
+def _delete_other_versions(spark: SparkSession, db: str, table: str, *keep: str) -> None:
+    """Remove version folders of ``db.table`` other than ``keep`` (retired ones, or left by a session whose
+    catalog is gone or by a write that died before the swap)."""
     root, fs = _fs_path(spark, versions_root(spark, db, table))
     if not fs.exists(root):
         return
-    keep_q = _qualified(spark, keep)
+    kept = {_qualified(spark, k) for k in keep}
     for st in fs.listStatus(root):
         p = st.getPath()
-        if str(p.toString()).rstrip("/") != keep_q:
+        if str(p.toString()).rstrip("/") not in kept:
             fs.delete(p, True)
 
 
@@ -157,6 +159,52 @@ def drop_tables(spark: SparkSession, db: str, names) -> list[dict]:
     return out
 
 
+def _ddl(spark: SparkSession, schema) -> str:
+    return spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json()).toDDL()
+
+
+def _plain(schema) -> list:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def _swap(spark: SparkSession, db: str, table: str, version: str, schema, fmt: str, partition_by) -> str | None:
+    """Point ``db.table`` at ``version``; returns the location it had. Readers find the old or the new table, and
+    an error leaves the old one."""
+    target = _ident(db, table)
+    old = table_location(spark, db, table)
+    if old is not None and not partition_by and _is_version_of(spark, old, db, table):
+        info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+        if "# Partition Information" not in info and info.get("Provider", "").lower() == fmt.lower() \
+                and _plain(spark.table(target).schema) == _plain(schema):
+            spark.sql(f"ALTER TABLE {target} SET LOCATION '{_sql_text(version)}'")
+            return old
+    fresh, spare = _ident(db, f"__new_{uuid.uuid4().hex}"), _ident(db, f"__old_{uuid.uuid4().hex}")
+    parts = f" PARTITIONED BY ({', '.join(_ident(p) for p in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {fresh} ({_ddl(spark, schema)}) USING {fmt}{parts} LOCATION '{_sql_text(version)}'")
+    try:
+        if partition_by:
+            spark.catalog.recoverPartitions(fresh)
+        spark.table(fresh).limit(1).collect()
+        if old is not None:
+            spark.sql(f"ALTER TABLE {target} RENAME TO {spare}")
+        try:
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
+        except Exception:
+            if old is not None:
+                spark.sql(f"ALTER TABLE {spare} RENAME TO {target}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    if old is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {spare}")   # a managed target takes its folder with it
+    return old
+
+
+def _sql_text(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "overwrite",
                 fmt: str = "parquet", truncate_on_empty: bool = False, partition_by=None) -> dict:
     """Write ``data`` (DataFrame or TypedTable) into ``db.table``.
@@ -195,26 +243,21 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
         w = frame.write.mode("overwrite").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(version)
-        m = obs.get
-        rows = int(m.get("rows", 0) or 0)
-        if rows == 0 and not truncate_on_empty:
-            _delete(spark, version)
-            status = "skipped_empty"
-        else:
-            old = table_location(spark, db, table)
-            spark.sql(f"DROP TABLE IF EXISTS {target}")       # a managed target takes its folder with it
-            clear_orphan_location(spark, db, table)
-            if partition_by:
-                spark.catalog.createTable(target, path=version, source=fmt)
-                spark.catalog.recoverPartitions(target)
+        try:
+            w.save(version)
+            m = obs.get
+            rows = int(m.get("rows", 0) or 0)
+            if rows == 0 and not truncate_on_empty:
+                _delete(spark, version)
+                status = "skipped_empty"
             else:
-                spark.catalog.createTable(target, path=version, source=fmt, schema=frame.schema)
-            if _is_version_of(spark, old, db, table) and _qualified(spark, old) != _qualified(spark, version):
-                _delete(spark, old)
-            elif old is None:                   # no table pointed at earlier versions: orphans
-                _delete_other_versions(spark, db, table, version)
-            status = "success" if rows else "skipped_empty"
+                clear_orphan_location(spark, db, table)
+                old = _swap(spark, db, table, version, frame.schema, fmt, partition_by)
+                _delete_other_versions(spark, db, table, version, *([old] if old else []))
+                status = "success" if rows else "skipped_empty"
+        except Exception:
+            _delete(spark, version)
+            raise
     else:
         raise ValueError(f"unsupported write mode {mode!r}")
 

@@ -49,9 +49,19 @@ def test_overwrite_swaps_version_folders(spark):
     second = table_location(spark, "t_sink", "ver")
     assert first != second and spark.table("t_sink.ver").count() == 6
     root, fs = _fs(spark, versions_root(spark, "t_sink", "ver"))
-    assert len(fs.listStatus(root)) == 1                     # the old version folder is gone
+    assert len(fs.listStatus(root)) == 2                     # the current version and the one before it
+    reader = spark.table("t_sink.ver")                       # opened before the swap, finishes after it
     write_table(spark, spark.range(3).withColumn("p", F.col("id") % 2), "t_sink", "ver", partition_by=["p"])
-    assert spark.table("t_sink.ver").count() == 3 and len(fs.listStatus(root)) == 1
+    assert reader.count() == 6
+    assert spark.table("t_sink.ver").count() == 3 and len(fs.listStatus(root)) == 2
+    # an empty partitioned version keeps its schema
+    write_table(spark, spark.range(0).withColumn("p", F.col("id") % 2), "t_sink", "ver", partition_by=["p"], truncate_on_empty=True)
+    assert spark.table("t_sink.ver").count() == 0 and spark.table("t_sink.ver").columns == ["id", "p"]
+    # a failed write leaves the table and no folder
+    before = {str(s.getPath()) for s in fs.listStatus(root)}
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        write_table(spark, spark.range(3).select((F.lit(1) / (F.col("id") - 1)).alias("x")), "t_sink", "ver")
+    assert {str(s.getPath()) for s in fs.listStatus(root)} == before and spark.table("t_sink.ver").columns == ["id", "p"]
     drop_tables(spark, "t_sink", ["ver"])
     assert not fs.exists(root)
     # a version folder no table points at (e.g. from a session whose catalog is gone) is cleared
@@ -60,6 +70,29 @@ def test_overwrite_swaps_version_folders(spark):
     assert len(fs.listStatus(root)) == 1 and spark.table("t_sink.ver").count() == 5
 
 
+@pytest.mark.parametrize("step", ["CREATE TABLE", "RENAME TO `t_sink`.`__old", "RENAME TO `t_sink`.`safe`"])
+def test_failed_swap_keeps_the_old_table(spark, monkeypatch, step):
+    from lakewright.sinks.tables import versions_root
+    ensure_namespace(spark, "t_sink")
+    write_table(spark, spark.range(4), "t_sink", "safe")
+    root, fs = _fs(spark, versions_root(spark, "t_sink", "safe"))
+    before = {str(s.getPath()) for s in fs.listStatus(root)}
+    run, failed = type(spark).sql, []
+
+    def sql(self, text, *a, **kw):
+        if step in text and not failed:
+            failed.append(text)
+            raise RuntimeError("catalog down")
+        return run(self, text, *a, **kw)
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError, match="catalog down"):
+        write_table(spark, spark.range(2).withColumn("x", F.lit("new")), "t_sink", "safe")
+    monkeypatch.undo()
+    assert failed and spark.table("t_sink.safe").columns == ["id"] and spark.table("t_sink.safe").count() == 4
+    assert {str(s.getPath()) for s in fs.listStatus(root)} == before
+    assert not [t for t in list_tables(spark, "t_sink") if t.startswith("__")]
+
+
 def test_append_after_versioned_overwrite(spark):
     ensure_namespace(spark, "t_sink")
     write_table(spark, spark.range(3), "t_sink", "ver_app")
