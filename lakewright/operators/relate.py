@@ -6,11 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.operators.skew import hot_keys, is_hot
-
+from lakewright.session import scratch_path
 
 SALTABLE_JOINS = ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "left_anti", "leftanti")
 RIGHT_KEEPING_JOINS = {"right": "inner", "right_outer": "inner", "rightouter": "inner",
                        "full": "left", "full_outer": "left", "fullouter": "left", "outer": "left"}
+LEFT_ONLY_JOINS = ("left_semi", "leftsemi", "left_anti", "leftanti")
+#: Plan nodes that make evaluating a side twice dear.
+DEAR = ("Join", "Aggregate", "Window", "Sort", "Repartition", "Generate", "MapInPandas", "MapInArrow", "Distinct")
+
+
+def _read_once(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is a scan with projections and filters, else landed once in the shared scratch folder."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not any(node in plan for node in DEAR):
+        return df
+    path = scratch_path(df.sparkSession, "relate", unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _position(df: DataFrame, name: str) -> int:
+    at = [i for i, c in enumerate(df.columns) if c == name] or [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if len(at) != 1:
+        raise ValueError(f"column '{name}' is not one of {df.columns}" if not at else f"column '{name}' is ambiguous")
+    return at[0]
 
 
 def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_column: str,
@@ -18,39 +38,45 @@ def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_c
                        salt_buckets: int = 32) -> DataFrame:
     """Equi-join along a relationship (left.from_column = right.to_column).
 
+    Both sides get column names of their own inside, so a table may be joined with itself and names may hold
+    any character; the result has the left's columns, then the right's (left only for semi and anti joins).
+
     Skew: a key holding at least 1/hot_share of the left rows is hot; at most hot_share
     such keys exist (a proven bound) and they are found by one scan of the key with a
-    bounded frequent-items aggregate (no shuffle, see ``skew.hot_keys``).
-    Hot keys' left rows are spread over ``salt_buckets`` partitions by a deterministic
-    row hash, and their right rows are replicated per salt with a generator (no cross
-    join); other keys keep salt 0. Right / full outer joins cannot be salted directly
+    bounded frequent-items aggregate (no shuffle, see ``skew.hot_keys``); a left side that is more than a scan
+    is landed once, so it does not run twice. Rows of hot and of null keys are spread over ``salt_buckets`` by
+    the partition that holds them: equal rows spread too, and a retried task salts alike. Hot keys' right rows are
+    replicated per salt with a generator (no cross join); null keys match nothing, so nothing is replicated for
+    them; other keys keep salt 0. Right / full outer joins cannot be salted directly
     (replicated right rows would be emitted once per salt), so they are composed: the
     salted inner (right) or left (full) join, plus the right rows without a left
     partner, found by an anti join against the left's distinct keys (which partial
     aggregation collapses map-side). AQE could not split a skewed full outer join.
     """
     how_l = how.lower()
+    fk, pk = _position(left, from_column), _position(right, to_column)
+    own, other = [f"__l{i}" for i in range(len(left.columns))], [f"__r{i}" for i in range(len(right.columns))]
+    l, r = left.toDF(*own), right.toDF(*other)
+    names = left.columns if how_l in LEFT_ONLY_JOINS else left.columns + right.columns
     if skew_safe and how_l in RIGHT_KEEPING_JOINS:
-        kw = {"hot_share": hot_share, "salt_buckets": salt_buckets}
-        matched = apply_relationship(left, right, from_column, to_column, RIGHT_KEEPING_JOINS[how_l], **kw)
-        left_keys = left.select(F.col(from_column).alias("__lk")).distinct()
-        right_only = apply_relationship(right, left_keys, to_column, "__lk", "left_anti", **kw)
-        pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
-        return matched.union(right_only.select(*pad, *[F.col(f"`{c}`") for c in right.columns]))
+        l = _read_once(l)
+        options = {"hot_share": hot_share, "salt_buckets": salt_buckets}
+        matched = _salted(l, r, own[fk], other[pk], RIGHT_KEEPING_JOINS[how_l], **options)
+        alone = _salted(r, l.select(F.col(own[fk]).alias("__key")).distinct(), other[pk], "__key", "left_anti", **options)
+        pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in l.schema.fields]
+        return matched.union(alone.select(*pad, *other)).toDF(*names)
     if not skew_safe or how_l not in SALTABLE_JOINS:
-        return left.join(right, left[from_column] == right[to_column], how)
-    key = F.col(from_column)
-    hot = hot_keys(left, from_column, hot_share)
-    lsalt = F.when(is_hot(key, hot),
-                   F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salt_buckets)).cast("int")) \
-        .otherwise(F.lit(0))
-    l2 = left.withColumn("__salt_l", lsalt)
-    r2 = right.withColumn("__salt_r", F.explode(
-        F.when(is_hot(F.col(to_column), hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-        .otherwise(F.array(F.lit(0)))))
-    cond = (l2[from_column] == r2[to_column]) & (l2["__salt_l"] == r2["__salt_r"])
-    out = l2.join(r2, cond, how)
-    return out.drop("__salt_l", "__salt_r")
+        return l.join(r, l[own[fk]] == r[other[pk]], how).toDF(*names)
+    return _salted(_read_once(l), r, own[fk], other[pk], how, hot_share=hot_share, salt_buckets=salt_buckets).toDF(*names)
+
+
+def _salted(l: DataFrame, r: DataFrame, fk: str, pk: str, how: str, *, hot_share: int, salt_buckets: int) -> DataFrame:
+    hot = hot_keys(l, fk, hot_share)
+    part = F.pmod(F.spark_partition_id(), F.lit(salt_buckets))
+    l = l.withColumn("__salt_l", F.when(F.col(fk).isNull() | is_hot(F.col(fk), hot), part).otherwise(F.lit(0)))
+    r = r.withColumn("__salt_r", F.explode(
+        F.when(is_hot(F.col(pk), hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))))
+    return l.join(r, (F.col(fk) == F.col(pk)) & (F.col("__salt_l") == F.col("__salt_r")), how).drop("__salt_l", "__salt_r")
 
 
 def relationship_orphans(left: DataFrame, right: DataFrame, from_column: str, to_column: str,

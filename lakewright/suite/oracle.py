@@ -387,8 +387,10 @@ SELECT workbook, 'invalid XML' AS error FROM wb WHERE NOT wellformed
 """
 
 Q["relationship_join"] = """
+WITH o AS (SELECT o_orderkey, o_totalprice, CASE o_orderkey % 3 WHEN 1 THEN NULL WHEN 2 THEN 1 ELSE o_custkey END AS o_custkey FROM orders),
+two AS (SELECT * FROM o UNION ALL SELECT * FROM o WHERE o_custkey = 1)
 SELECT o_orderkey, o_custkey, c_name, c_mktsegment, o_totalprice
-FROM orders JOIN customer ON o_custkey = c_custkey
+FROM two LEFT JOIN customer ON o_custkey = c_custkey
 """
 
 Q["relationship_orphans"] = """

@@ -389,9 +389,13 @@ def workbook_parse_errors(spark, sf_dir):
 
 # ---------------------------------------------------------------- relationships on data
 def relationship_join(spark, sf_dir):
-    """Orders -> customer along o_custkey = c_custkey."""
+    """E3 as a left join: orders -> customer along o_custkey = c_custkey, a third of the keys null, a third one customer's,
+    and that customer's orders held twice."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    j = apply_relationship(o, c, "o_custkey", "c_custkey")
+    key = F.when(F.col("o_orderkey") % 3 == 1, F.lit(None)).when(F.col("o_orderkey") % 3 == 2, F.lit(1)).otherwise(F.col("o_custkey"))
+    o = o.withColumn("o_custkey", key.cast(o.schema["o_custkey"].dataType))
+    o = o.unionByName(o.where("o_custkey = 1"))
+    j = apply_relationship(o, c, "o_custkey", "c_custkey", "left")
     return j.select("o_orderkey", "o_custkey", "c_name", "c_mktsegment", "o_totalprice")
 
 

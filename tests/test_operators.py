@@ -1,6 +1,8 @@
 """Dedupe, catalog diff, relationships, control-table state, roll-ups."""
 import datetime as dt
 
+import pytest
+
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -226,3 +228,35 @@ def test_current_tables_keeps_source_list_and_filter(spark):
     diff = catalog_diff(src, reg)
     assert sorted(r.table_name for r in current_tables(diff).collect()) == ["B", "a", "c"]
     assert sorted(r.table_name for r in current_tables(diff, ["a", "B"]).collect()) == ["B", "a"]
+
+
+def test_relationship_on_awkward_inputs(spark):
+    """A map column, a table joined with itself, dotted names, null and repeated hot keys, every join type."""
+    staff = spark.createDataFrame([(1, None, {"a": 1}), (2, 1, {}), (3, 1, None), (4, 9, {})], "id int, `boss.id` int, tags map<string,int>")
+    out = apply_relationship(staff, staff, "boss.id", "id", "left")
+    assert out.columns == ["id", "boss.id", "tags"] * 2
+    assert sorted((r[0], r[3]) for r in out.collect()) == [(1, None), (2, 1), (3, 1), (4, None)]
+    left = spark.createDataFrame([(None if i % 3 == 0 else 7 if i % 3 == 1 else i,) for i in range(300)], "k int").repartition(6)
+    right = spark.createDataFrame([(7, "x"), (8, "y"), (1000, "z"), (None, "n")], "k int, v string")
+    for how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        got = apply_relationship(left, right, "k", "k", how, hot_share=4)
+        want = left.toDF("a").join(right.toDF("b", "v"), F.col("a") == F.col("b"), how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.toDF(*got.columns).collect())), how
+    with pytest.raises(ValueError, match="is not one of"):
+        apply_relationship(left, right, "nope", "k")
+
+
+def test_hot_and_null_keys_spread(spark):
+    """Neither null keys nor repeated rows of a hot key end in one task."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in (F.lit(None).cast("long"), F.lit(5).cast("long")):
+            left = spark.range(0, 8000, 1, 8).select(F.when(F.col("id") % 2 == 0, key).otherwise(F.col("id") % 100).alias("k"))
+            out = apply_relationship(left, spark.range(100).toDF("k"), "k", "k", "left")
+            sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+            assert max(sizes) < 3000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
