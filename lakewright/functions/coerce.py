@@ -28,7 +28,7 @@ INFINITY_RE = r"(?i)^[+-]?(inf|infinity)$"
 NAN_RE = r"(?i)^[+-]?nan$"
 LONG_LIMIT = 9.223372036854775807e18
 
-# Date / timestamp text shapes accepted by the sniffer and by declared dates.
+# Date / timestamp text shapes accepted by the sniffer and, with the layouts below, by declared dates.
 DATE_SHAPES = {
     1: r"(\d{4})-(\d{1,2})-(\d{1,2})",   # 2024-01-05, 2024-1-5
     2: r"(\d{4})/(\d{1,2})/(\d{1,2})",   # 2024/1/5
@@ -45,35 +45,6 @@ def _c(x) -> Column:
 # ---------------------------------------------------------------------------
 # numbers
 # ---------------------------------------------------------------------------
-def text_number_parts(s) -> tuple[Column, Column, Column]:
-    """(trimmed text, looks like a finite number, looks like +-infinity)."""
-    t = F.trim(_c(s))
-    return t, t.rlike(NUMBER_RE), t.rlike(INFINITY_RE)
-
-
-def text_to_double(s) -> Column:
-    """Text -> double; bad text and NaN -> null; 'inf' -> Infinity."""
-    t, num_ok, inf_ok = text_number_parts(s)
-    d = F.when(num_ok | inf_ok, t.try_cast("double"))
-    return F.when(~F.isnan(d), d)
-
-
-def text_integer_value(s) -> Column:
-    """D4 value: bigint-first parse (keeps 2^53+ digits), then via double for '1e3' / '12.0'."""
-    t, num_ok, _ = text_number_parts(s)
-    d = F.when(num_ok, t.try_cast("double"))
-    return F.when(num_ok, F.coalesce(F.when(t.rlike(INTEGER_RE), t.try_cast("bigint")),
-                                     F.when(F.abs(d) < F.lit(LONG_LIMIT), d.try_cast("bigint"))))
-
-
-def text_integer_blocker(s) -> Column:
-    """D4 gate, per value: true when the value would stop the whole column from becoming integer
-    (a fraction, an infinity, or a magnitude beyond bigint)."""
-    t, num_ok, inf_ok = text_number_parts(s)
-    d = F.when(num_ok, t.try_cast("double"))
-    return inf_ok | (d.isNotNull() & ((F.abs(d) >= F.lit(LONG_LIMIT)) | ((d % 1) != 0)))
-
-
 def float_integer_blocker(x) -> Column:
     """D4 gate for float/double/decimal sources."""
     c = _c(x).cast("double")
@@ -131,6 +102,30 @@ BODY_RE = r"^[0-9/-]+(?:[ T][0-9:.]+)?"
 PARSE_FORMAT = "yyyy-M-d[ H:m[:s][.SSSSSSSSS]]"
 
 
+# Layouts accepted for declared dates only; each starts a text and may be followed by a time of day.
+DAY_TIME = r"(?:[ T](?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{1,9})?)?(?: ?[AaPp][Mm])?)?"
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+MONTH_NAME = "(?i:(" + "|".join(MONTHS) + ")[a-z]*)"
+YEAR_FIRST = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + DAY_TIME + "$"            # 2024.01.05, 2024-01-05 10:00 AM
+YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + DAY_TIME + "$"             # 01/05/2024
+NAME_FIRST = "^" + MONTH_NAME + r"\.? (\d{1,2}),? (\d{4})" + DAY_TIME + "$"      # Jan 5, 2024
+DAY_FIRST = r"^(\d{1,2})[- ]" + MONTH_NAME + r"[- ,]{1,2}(\d{4})" + DAY_TIME + "$"  # 05-Jan-2024
+
+
+def _written_date(t: Column, day_first: bool) -> Column:
+    """``yyyy-M-d`` text of a date in one of the declared-only layouts, else null."""
+    def part(pattern, group):
+        return F.regexp_extract(t, pattern, group)
+
+    def month(pattern, group):
+        return F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(part(pattern, group))).cast("string")
+    first, second = (2, 1) if day_first else (1, 2)
+    return (F.when(t.rlike(YEAR_FIRST), F.concat_ws("-", part(YEAR_FIRST, 1), part(YEAR_FIRST, 2), part(YEAR_FIRST, 3)))
+            .when(t.rlike(YEAR_LAST), F.concat_ws("-", part(YEAR_LAST, 3), part(YEAR_LAST, first), part(YEAR_LAST, second)))
+            .when(t.rlike(NAME_FIRST), F.concat_ws("-", part(NAME_FIRST, 3), month(NAME_FIRST, 1), part(NAME_FIRST, 2)))
+            .when(t.rlike(DAY_FIRST), F.concat_ws("-", part(DAY_FIRST, 3), month(DAY_FIRST, 2), part(DAY_FIRST, 1))))
+
+
 class Stages:
     """Helper columns added in successive projections.
 
@@ -157,9 +152,6 @@ class Stages:
                 df = df.select("*", *cols)
         return df
 
-    def names(self) -> list[str]:
-        return [c._jc.toString().split(" AS ")[-1].strip("`") for lv in self.levels for c in lv]
-
 
 class TextNumber:
     """Numeric text pieces (D4/D5) as helper columns."""
@@ -194,10 +186,12 @@ class TemporalText:
     """Date/timestamp text under the accepted shapes (D7, D11, D12) as helper columns.
 
     One regex tests the shape, one splits off the zone suffix, one
-    ``try_to_timestamp`` parses the wall-clock part (invalid calendar dates fail).
+    ``try_to_timestamp`` parses the wall-clock part (invalid calendar dates fail). ``declared`` also takes the layouts
+    that only declared dates may have; in an all-number date that ends in the year the month comes first, or the
+    day with ``day_first``.
     """
 
-    def __init__(self, s, st: Stages):
+    def __init__(self, s, st: Stages, declared: bool = False, day_first: bool = False):
         t = st.add(0, F.trim(_c(s)), "t")
         m = st.add(1, t.rlike(SHAPE_RE), "m")
         body = st.add(2, F.when(m, F.regexp_extract(t, BODY_RE, 0)), "b")     # only for values of a date shape
@@ -215,10 +209,15 @@ class TemporalText:
         self.wall = wall
         self.ok = m & wall.isNotNull()
         self.midnight = (F.hour(wall) == 0) & (F.minute(wall) == 0) & (F.second(wall) == 0)
+        self.other = None
+        if declared:
+            written = st.add(4, F.when(~m, _written_date(t, day_first)), "d")
+            self.other = st.add(5, F.to_date(F.try_to_timestamp(written, F.lit("yyyy-M-d"))), "o")
 
     @property
     def date(self) -> Column:
-        return F.when(self.ok, F.to_date(self.wall))
+        own = F.when(self.ok, F.to_date(self.wall))
+        return own if self.other is None else F.coalesce(own, self.other)
 
     @property
     def timestamp(self) -> Column:
@@ -230,40 +229,6 @@ def shape_has_zone(shape: int) -> bool:
     return (shape - 1) % 2 == 1
 
 
-class ParsedTemporal:
-    """Single-expression form of ``TemporalText`` (for ad-hoc use on a few values)."""
-
-    def __init__(self, s):
-        t = F.trim(_c(s))
-        m = t.rlike(SHAPE_RE)
-        body = F.regexp_extract(t, BODY_RE, 0)
-        sep = F.substring(t, 5, 1)
-        kind = F.when(sep == "-", F.lit(1)).when(sep == "/", F.lit(2)).otherwise(F.lit(3))
-        has_time = body.contains(" ") | body.contains("T")
-        has_zone = F.length(t) > F.length(body)
-        compact = F.concat(F.substring(body, 1, 4), F.lit("-"), F.substring(body, 5, 2), F.lit("-"),
-                           F.substring(body, 7, 64))
-        norm = F.translate(F.when(kind == 3, compact).otherwise(body), "T/", " -")
-        self.shape = F.when(m, (kind - 1) * 4 + 1 + has_time.cast("int") * 2 + has_zone.cast("int")).otherwise(F.lit(0))
-        self.has_zone = m & has_zone
-        self.wall = F.when(m, F.try_to_timestamp(norm, F.lit(PARSE_FORMAT)))
-        self.ok = m & self.wall.isNotNull()
-        self.midnight = (F.hour(self.wall) == 0) & (F.minute(self.wall) == 0) & (F.second(self.wall) == 0)
-
-    @property
-    def date(self) -> Column:
-        return F.when(self.ok, F.to_date(self.wall))
-
-    @property
-    def timestamp(self) -> Column:
-        return F.when(self.ok & ~self.has_zone, self.wall)
-
-
-def text_to_date(s) -> Column:
-    """D7 for text: per value; values outside the accepted shapes or invalid -> null."""
-    return ParsedTemporal(s).date
-
-
 def temporal_to_date(x) -> Column:
     """D7 for date / timestamp sources: calendar date, time dropped."""
     return F.to_date(_c(x))

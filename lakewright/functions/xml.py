@@ -26,7 +26,3 @@ def xpath_list(xml, path: str) -> Column:
 def xpath_first(xml, path: str) -> Column:
     """First value selected by ``path`` or null."""
     return F.nullif(F.xpath_string(_c(xml), F.lit(path)), F.lit(""))
-
-
-def xpath_exists(xml, path: str) -> Column:
-    return F.xpath_boolean(_c(xml), F.lit(path))

@@ -67,7 +67,7 @@ def _q(name: str) -> Column:
 
 
 def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff: str = "undeclared",
-                 collapse_midnight: bool = False, null_tokens=None) -> TypedTable:
+                 collapse_midnight: bool = False, null_tokens=None, day_first: bool = False) -> TypedTable:
     """Plan and profile the typed projection of ``df``.
 
     ``declared`` maps column name (exact) -> workbook datatype. ``sniff`` picks which
@@ -75,6 +75,9 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
     columns not declared ``string``), ``all`` (also declared strings, the
     write-time behaviour of the original service) or ``none``.
 
+    A declared date in text takes more layouts than the sniffer (see ``coerce.TemporalText``); ``day_first``
+    settles 01/05/2024. Values that no layout fits become null and are counted as new nulls.
+
     Cost: one aggregate over the helper columns (skipped when no column needs a
     column-wide decision), then a single projection.
     """
@@ -110,7 +113,7 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
             plan["kind"] = "bool"
         elif d == "date":
             if _is_text(dt):
-                plan["kind"], plan["temporal"] = "date_text", C.TemporalText(c, st)
+                plan["kind"], plan["temporal"] = "date_text", C.TemporalText(c, st, declared=True, day_first=day_first)
             else:
                 plan["kind"] = ("date_temporal" if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType))
                                 else "keep_unsupported")

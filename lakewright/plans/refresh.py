@@ -23,14 +23,14 @@ def name_diff(source: list[str], registered: list[str]) -> tuple[list[str], list
 
 
 def refresh(spark: SparkSession, control, workbook: str, source=None, *, credentials: dict | None = None,
-            sniff: str | None = None, allow_drop_all: bool = False, parallel: int = 1) -> dict:
+            tables: list[str] | None = None, sniff: str | None = None, allow_drop_all: bool = False, parallel: int = 1) -> dict:
     """Refresh one registered workbook, by name alone or from a given ``source``.
 
     Without ``source`` it is rebuilt from the stored record (``credentials`` are the caller's; none are stored).
     Schema sync compares the source catalog with the registered tables (case folded), drops targets that left the
     source, and loads the source's tables, narrowed by the user's stored filter: tables new at the source
     are loaded too. Types and sniffing stored at registration are applied again. If discovery fails the
-    registered list is used. A source listing zero tables is refused unless ``allow_drop_all``. Any error is
+    registered list is used. ``tables`` reloads just those registered tables, without schema sync. A source listing zero tables is refused unless ``allow_drop_all``. Any error is
     recorded as a failed refresh before it is raised.
     """
     rec = control.get(workbook)
@@ -38,23 +38,24 @@ def refresh(spark: SparkSession, control, workbook: str, source=None, *, credent
         raise KeyError(f"'{workbook}' is not registered")
     try:
         return _refresh(spark, control, rec, source if source is not None else source_from_record(spark, rec, credentials),
-                        sniff=sniff, allow_drop_all=allow_drop_all, parallel=parallel)
+                        tables=tables, sniff=sniff, allow_drop_all=allow_drop_all, parallel=parallel)
     except Exception as e:
         control.record_refresh(workbook, "failed", str(e).split("\n")[0])
         raise
 
 
-def _refresh(spark, control, rec: dict, source, *, sniff, allow_drop_all, parallel) -> dict:
+def _refresh(spark, control, rec: dict, source, *, tables, sniff, allow_drop_all, parallel) -> dict:
     started = time.time()
     workbook, db = rec["workbook_name"], rec["namespace"]
     registered = list(rec.get("tables") or [])
     wanted = set(rec.get("table_filter") or [])
     try:
-        source_tables = list(source.list_tables())
+        source_tables = list(source.list_tables()) if tables is None else None
     except Exception:  # noqa: BLE001 - discovery failure falls back to the registered list
         source_tables = None
 
-    added, removed, dropped, current = [], [], [], registered
+    added, removed, dropped = [], [], []
+    current = registered if tables is None else [t for t in registered if t in set(tables)]
     if source_tables is not None:
         if not source_tables and registered and not allow_drop_all:
             control.record_refresh(workbook, "failed", "source lists no tables; refusing to drop every target")
@@ -70,7 +71,7 @@ def _refresh(spark, control, rec: dict, source, *, sniff, allow_drop_all, parall
                         parallel=parallel)
     known = {t.lower() for t in registered}
     loaded = [r["table_name"] for r in results if r["status"] != "failed" or r["table_name"].lower() in known]
-    if sorted(loaded) != sorted(registered):
+    if tables is None and sorted(loaded) != sorted(registered):
         control.patch(workbook, known=True, tables=loaded)
     summary = summarize(results, flow="refresh")
     control.record_refresh(workbook, summary["status"], summary["error_summary"])

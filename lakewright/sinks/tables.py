@@ -28,7 +28,7 @@ from lakewright.operators.typing import TypedTable
 VERSIONS_DIR = "_versions"
 
 
-def _ident(*parts: str) -> str:
+def ident(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
@@ -36,7 +36,7 @@ def ensure_namespace(spark: SparkSession, name: str) -> dict:
     """Get-or-create; catalog names are case-insensitive. Reports ``created``."""
     existed = spark.catalog.databaseExists(name)
     if not existed:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident(name)}")
     return {"namespace": name, "created": not existed}
 
 
@@ -50,7 +50,7 @@ def list_tables(spark: SparkSession, db: str) -> list[str]:
 
 def table_exists(spark: SparkSession, db: str, table: str) -> bool:
     try:
-        return spark.catalog.tableExists(f"{_ident(db, table)}")
+        return spark.catalog.tableExists(f"{ident(db, table)}")
     except Exception:
         return False
 
@@ -75,11 +75,11 @@ def table_location(spark: SparkSession, db: str, table: str) -> str | None:
     if not table_exists(spark, db, table):
         return None
     # a command result is local: filtering it on the driver starts no job
-    rows = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(db, table)}").collect() if r["col_name"] == "Location"]
+    rows = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {ident(db, table)}").collect() if r["col_name"] == "Location"]
     return rows[0]["data_type"].rstrip("/") if rows else None
 
 
-def _delete(spark: SparkSession, uri: str) -> None:
+def delete_path(spark: SparkSession, uri: str) -> None:
     path, fs = _fs_path(spark, uri)
     if fs.exists(path):
         fs.delete(path, True)
@@ -136,10 +136,10 @@ def write_batch_partition(df: DataFrame, db: str, table: str, batch_column: str)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         if table_exists(spark, db, table):
-            df.write.mode("overwrite").insertInto(_ident(db, table))
+            df.write.mode("overwrite").insertInto(ident(db, table))
         else:
             clear_orphan_location(spark, db, table)
-            df.write.mode("overwrite").format("parquet").partitionBy(batch_column).saveAsTable(_ident(db, table))
+            df.write.mode("overwrite").format("parquet").partitionBy(batch_column).saveAsTable(ident(db, table))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
@@ -150,9 +150,9 @@ def drop_tables(spark: SparkSession, db: str, names) -> list[dict]:
     for n in sorted(set(names)):
         try:
             loc = table_location(spark, db, n)
-            spark.sql(f"DROP TABLE IF EXISTS {_ident(db, n)}")
+            spark.sql(f"DROP TABLE IF EXISTS {ident(db, n)}")
             if _is_version_of(spark, loc, db, n):      # our version folders are external: remove the data too
-                _delete(spark, versions_root(spark, db, n))
+                delete_path(spark, versions_root(spark, db, n))
             out.append({"table_name": n, "status": "dropped", "error": None})
         except Exception as e:  # noqa: BLE001 - isolation per table
             out.append({"table_name": n, "status": "failed", "error": str(e)})
@@ -170,38 +170,50 @@ def _plain(schema) -> list:
 def _swap(spark: SparkSession, db: str, table: str, version: str, schema, fmt: str, partition_by) -> str | None:
     """Point ``db.table`` at ``version``; returns the location it had. Readers find the old or the new table, and
     an error leaves the old one."""
-    target = _ident(db, table)
+    target = ident(db, table)
     old = table_location(spark, db, table)
     if old is not None and not partition_by and _is_version_of(spark, old, db, table):
         info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
         if "# Partition Information" not in info and info.get("Provider", "").lower() == fmt.lower() \
                 and _plain(spark.table(target).schema) == _plain(schema):
-            spark.sql(f"ALTER TABLE {target} SET LOCATION '{_sql_text(version)}'")
+            spark.sql(f"ALTER TABLE {target} SET LOCATION '{sql_text(version)}'")
             return old
-    fresh, spare = _ident(db, f"__new_{uuid.uuid4().hex}"), _ident(db, f"__old_{uuid.uuid4().hex}")
-    parts = f" PARTITIONED BY ({', '.join(_ident(p) for p in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {fresh} ({_ddl(spark, schema)}) USING {fmt}{parts} LOCATION '{_sql_text(version)}'")
+    fresh = ident(db, f"__new_{uuid.uuid4().hex}")
+    create_entry(spark, fresh, schema, fmt, version, partition_by)
     try:
         if partition_by:
             spark.catalog.recoverPartitions(fresh)
         spark.table(fresh).limit(1).collect()
-        if old is not None:
-            spark.sql(f"ALTER TABLE {target} RENAME TO {spare}")
-        try:
-            spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
-        except Exception:
-            if old is not None:
-                spark.sql(f"ALTER TABLE {spare} RENAME TO {target}")
-            raise
+        exchange_entry(spark, db, table, fresh)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         raise
-    if old is not None:
-        spark.sql(f"DROP TABLE IF EXISTS {spare}")   # a managed target takes its folder with it
     return old
 
 
-def _sql_text(text: str) -> str:
+def create_entry(spark: SparkSession, name: str, schema, fmt: str, location: str, partition_by=None) -> None:
+    """An external table entry with an explicit schema (so an empty one has it too)."""
+    parts = f" PARTITIONED BY ({', '.join(ident(p) for p in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({_ddl(spark, schema)}) USING {fmt}{parts} LOCATION '{sql_text(location)}'")
+
+
+def exchange_entry(spark: SparkSession, db: str, table: str, fresh: str) -> None:
+    """Give the entry ``fresh`` the name ``db.table``; an error puts the old entry back."""
+    target, spare = ident(db, table), ident(db, f"__old_{uuid.uuid4().hex}")
+    old = table_exists(spark, db, table)
+    if old:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {spare}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
+    except Exception:
+        if old:
+            spark.sql(f"ALTER TABLE {spare} RENAME TO {target}")
+        raise
+    if old:
+        spark.sql(f"DROP TABLE IF EXISTS {spare}")   # a managed target takes its folder with it
+
+
+def sql_text(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
@@ -222,7 +234,7 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
     else:
         frame = data.observe(obs, F.count(F.lit(1)).alias("rows"))
     ncols = len(frame.columns)
-    target = _ident(db, table)
+    target = ident(db, table)
 
     if mode == "append":
         if table_exists(spark, db, table):
@@ -248,7 +260,7 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
             m = obs.get
             rows = int(m.get("rows", 0) or 0)
             if rows == 0 and not truncate_on_empty:
-                _delete(spark, version)
+                delete_path(spark, version)
                 status = "skipped_empty"
             else:
                 clear_orphan_location(spark, db, table)
@@ -256,7 +268,7 @@ def write_table(spark: SparkSession, data, db: str, table: str, *, mode: str = "
                 _delete_other_versions(spark, db, table, version, *([old] if old else []))
                 status = "success" if rows else "skipped_empty"
         except Exception:
-            _delete(spark, version)
+            delete_path(spark, version)
             raise
     else:
         raise ValueError(f"unsupported write mode {mode!r}")

@@ -1,8 +1,8 @@
-"""Change notices (M2): ``{workbook_name, tables, ts}`` events -> one refresh per
-workbook within the lateness allowance.
+"""Change notices (M2): ``{workbook_name, tables, ts}`` events -> refreshes of the named tables.
 
-``dropDuplicatesWithinWatermark`` keeps state per workbook only until the
-watermark passes, so state stays bounded by the notices of the last few minutes.
+A notice counts once per workbook and table within the lateness allowance: a second notice that names other
+tables is not dropped. ``dropDuplicatesWithinWatermark`` keeps state only until the watermark passes, so state
+stays bounded by the notices of the last few minutes.
 """
 
 from __future__ import annotations
@@ -17,23 +17,46 @@ from lakewright.sinks.tables import ensure_namespace, write_batch_partition
 
 
 def dedupe_notices(notices: DataFrame, lateness: str = f"{LATE_START_SECONDS} seconds") -> DataFrame:
-    """First notice per workbook within the watermark delay. On a batch frame (no
-    watermark there) the earliest notice per workbook is kept."""
+    """(workbook_name, table, ts): the first notice per workbook and table within the watermark delay; a notice without
+    tables has one row with a null table, meaning all. On a batch frame the earliest one is kept."""
+    one = notices.select("workbook_name", F.explode_outer("tables").alias("table"), "ts")
     if not notices.isStreaming:
-        return first_wins(notices, ["workbook_name"], ["ts"])
-    return notices.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["workbook_name"])
+        return first_wins(one, ["workbook_name", "table"], ["ts"])
+    return one.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["workbook_name", "table"])
+
+
+def merged(accepted: DataFrame) -> DataFrame:
+    """(workbook_name, tables, ts): accepted notices per workbook; ``tables`` null if one asks for all."""
+    return accepted.groupBy("workbook_name").agg(
+        F.when(F.count_if(F.col("table").isNull()) == 0, F.sort_array(F.collect_set("table"))).alias("tables"), F.min("ts").alias("ts"))
+
+
+def refresh_named(spark: SparkSession, control, sources: dict | None = None, credentials: dict | None = None):
+    """An ``on_batch`` that refreshes the tables each accepted notice names; a failed one is recorded and the rest go on."""
+    from lakewright.plans.refresh import refresh_many
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        for row in batch.toLocalIterator():
+            refresh_many(spark, control, [row["workbook_name"]], sources, credentials, tables=row["tables"])
+    return on_batch
 
 
 def start_notice_stream(spark: SparkSession, notices: DataFrame, db: str, table: str = "refresh_notices", *,
                         on_batch=None, trigger: dict | None = None, checkpoint: str | None = None):
-    """Deduplicate a notice stream and record each accepted notice; ``on_batch(df, epoch)``
-    may start the refreshes (e.g. ``plans.refresh.refresh`` per distinct workbook)."""
+    """Deduplicate a notice stream and record what each batch accepts, one row a workbook; ``on_batch(df, epoch)``
+    may start the refreshes (see ``refresh_named``)."""
     ensure_namespace(spark, db)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        write_batch_partition(batch.withColumn("__batch", F.lit(int(epoch_id)).cast("long")), db, table, "__batch")
+        batch = merged(batch)
         if on_batch is not None:
-            on_batch(batch, epoch_id)
+            batch = batch.persist()
+        try:
+            write_batch_partition(batch.withColumn("__batch", F.lit(int(epoch_id)).cast("long")), db, table, "__batch")
+            if on_batch is not None:
+                on_batch(batch, epoch_id)
+        finally:
+            batch.unpersist()
 
     ckpt = checkpoint or scratch_path(spark, "streams", f"{db}.{table}")
     return (dedupe_notices(notices).writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)

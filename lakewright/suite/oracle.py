@@ -205,7 +205,11 @@ FROM r
 Q["coerce_date"] = """
 SELECT o_orderkey,
   CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
-    WHEN 2 THEN 'not a date' WHEN 3 THEN strftime(o_orderdate, '%Y/%-m/%-d') ELSE strftime(o_orderdate, '%Y%m%d') END AS raw,
+    WHEN 2 THEN 'not a date' WHEN 3 THEN strftime(o_orderdate, '%Y/%-m/%-d')
+    ELSE CASE (o_orderkey // 5) % 7 WHEN 0 THEN strftime(o_orderdate, '%m/%d/%Y') WHEN 1 THEN strftime(o_orderdate, '%b %-d, %Y')
+      WHEN 2 THEN strftime(o_orderdate, '%d-%b-%Y') WHEN 3 THEN strftime(o_orderdate, '%Y.%m.%d')
+      WHEN 4 THEN strftime(o_orderdate, '%Y-%m-%d %I:%M %p') WHEN 5 THEN strftime(o_orderdate, '%-m/%-d/%Y %-H:%M')
+      ELSE strftime(o_orderdate, '%Y%m%d') END END AS raw,
   CASE WHEN o_orderkey % 5 = 2 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS value,
   'date' AS result_type
 FROM orders
@@ -411,10 +415,7 @@ SELECT 'orders.o_custkey->customer.c_custkey', 'to', count(*), CAST(COALESCE(sum
 FROM ck WHERE k NOT IN (SELECT k FROM ok)
 """
 
-Q["workbook_listing"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS file_stem, true AS non_empty FROM (SELECT count(*) FROM {t})"
-    for t in ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem",
-              "nation", "orders", "pages", "part", "region", "supplier"))
+Q["workbook_listing"] = "SELECT count(*) AS workbooks, count(*) AS paths, count(*) AS readable FROM nation"
 
 Q["ingest_flow"] = """
 SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey,
@@ -428,11 +429,14 @@ FROM customer
 """
 
 Q["refresh_stream"] = f"""
-SELECT event_id, strftime(ts, {TS}) AS ts, user_id, event_type, value, props FROM events
+SELECT event_id, strftime(ts, {TS}) AS ts, user_id, event_type, CASE WHEN event_id % 10 = 7 THEN NULL ELSE value END AS value, props,
+       CASE WHEN event_id % 10 = 7 THEN 'v' || event_id END AS misfit
+FROM events
 """
 
 Q["notice_dedupe_stream"] = """
-SELECT DISTINCT 'wb_' || CAST(user_id AS VARCHAR) AS workbook_name FROM events
+SELECT 'wb_' || CAST(user_id AS VARCHAR) AS workbook_name, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tables
+FROM events GROUP BY user_id
 """
 
 ORACLE_SQL = Q

@@ -30,6 +30,7 @@ from lakewright.session import scratch_path
 from lakewright.sinks.tables import ensure_namespace, write_table
 from lakewright.sources.catalog import DirectorySource, FrameSource
 from lakewright.sources.files import read_table_file
+from lakewright.sources.workbooks import list_workbook_files
 from lakewright.suite.inputs import (customer_workbooks, date_text, events_as_control_log, pick, table,
                                      ts_text)
 
@@ -204,9 +205,14 @@ def _date_text_variants(o: DataFrame):
 
 
 def coerce_date(spark, sf_dir):
-    """Declared date, four text layouts plus junk; each value parsed on its own."""
+    """Declared date, ten text layouts plus junk; each value parsed on its own."""
     o = table(spark, sf_dir, "orders")
-    raw = _date_text_variants(o)
+    d, k = F.col("o_orderdate"), F.floor(F.col("o_orderkey") / 5) % 7
+    more = (F.when(k == 0, F.date_format(d, "MM/dd/yyyy")).when(k == 1, F.date_format(d, "MMM d, yyyy"))
+            .when(k == 2, F.date_format(d, "dd-MMM-yyyy")).when(k == 3, F.date_format(d, "yyyy.MM.dd"))
+            .when(k == 4, F.date_format(d, "yyyy-MM-dd hh:mm a")).when(k == 5, F.date_format(d, "M/d/yyyy H:mm"))
+            .otherwise(F.date_format(d, "yyyyMMdd")))
+    raw = F.when(F.col("o_orderkey") % 5 == 4, more).otherwise(_date_text_variants(o))
     typed = coerce_table(o.select("o_orderkey", raw.alias("raw"), raw.alias("value")), {"value": "date"}, sniff="none")
     return typed.df.select("o_orderkey", "raw", date_text("value").alias("value"),
                            F.lit(_typed_type(typed, "value")).alias("result_type"))
@@ -410,11 +416,14 @@ def relationship_orphans_q(spark, sf_dir):
 
 # ---------------------------------------------------------------- files
 def workbook_listing(spark, sf_dir):
-    """Files by suffix (case-insensitive), stem, non-empty check; content not read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
-             .select("path", "length"))
-    files = files.where(N.file_suffix_is("path", ".parquet"))
-    return files.select(N.file_stem("path").alias("file_stem"), (F.col("length") > 0).alias("non_empty"))
+    """Workbook files written from ``nation``, one a row, beside files of another kind; content not read."""
+    root = scratch_path(spark, "suite_files", unique=True)
+    docs = table(spark, sf_dir, "nation").select(F.format_string("<workbook><column name='%s'/></workbook>", F.col("n_name")).alias("xml"))
+    docs.write.option("extension", "twb").option("quote", "").option("maxRecordsPerFile", "1").csv(f"{root}/books")
+    docs.write.parquet(f"{root}/other")
+    listed = list_workbook_files(spark, root)
+    return listed.agg(F.count(F.lit(1)).alias("workbooks"), F.countDistinct("path").alias("paths"),
+                      F.count_if((F.col("length") > 0) & F.col("error").isNull()).alias("readable"))
 
 
 # ---------------------------------------------------------------- flows
@@ -461,19 +470,26 @@ def refresh_flow(spark, sf_dir):
 
 
 def refresh_stream(spark, sf_dir):
-    """M1: events as a file stream (availableNow) -> typed micro-batches -> table."""
+    """M1: events, as text in four files with values that do not fit late in the stream, loaded file by file;
+    a second run with a lost checkpoint loads nothing twice. Typed values and kept misfits."""
     from lakewright.streaming.refresh_stream import start_refresh_stream
-    schema = table(spark, sf_dir, "events").schema
+    landing = scratch_path(spark, "suite_stream", unique=True)
+    ev = table(spark, sf_dir, "events")
+    late = F.col("event_id") % 10 == 7
+    text = ev.withColumn("value", F.when(late, F.concat(F.lit("v"), F.col("event_id").cast("string"))).otherwise(F.col("value").cast("string")))
+    text.repartitionByRange(4, "event_id").write.parquet(landing)
     name = f"events_stream_{uuid.uuid4().hex[:8]}"
-    q = start_refresh_stream(spark, sf_dir, schema, SUITE_DB, name, fmt="parquet",
-                             declared={"value": "real"}, path_glob="events.parquet")
-    q.awaitTermination()
+    for _ in range(2):
+        q = start_refresh_stream(spark, landing, text.schema, SUITE_DB, name, declared={"value": "real"}, max_files_per_trigger=1,
+                                 checkpoint=scratch_path(spark, "suite_stream", unique=True))
+        q.awaitTermination()
     t = spark.table(f"{SUITE_DB}.{name}")
-    return t.select("event_id", ts_text("ts").alias("ts"), "user_id", "event_type", "value", "props")
+    return t.select("event_id", ts_text("ts").alias("ts"), "user_id", "event_type", "value", "props",
+                    F.col("__misfits")["value"].alias("misfit"))
 
 
 def notice_dedupe_stream(spark, sf_dir):
-    """M2: events as change notices; one accepted notice per workbook within the watermark."""
+    """M2: events as change notices; accepted notices per workbook with all tables that they name."""
     from lakewright.streaming.notices import start_notice_stream
     schema = table(spark, sf_dir, "events").schema
     ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -482,7 +498,7 @@ def notice_dedupe_stream(spark, sf_dir):
     name = f"notices_{uuid.uuid4().hex[:8]}"
     q = start_notice_stream(spark, notices, SUITE_DB, name)
     q.awaitTermination()
-    return spark.table(f"{SUITE_DB}.{name}").select("workbook_name").distinct()
+    return spark.table(f"{SUITE_DB}.{name}").select("workbook_name", F.array_join("tables", ",").alias("tables"))
 
 
 QUERIES = {
