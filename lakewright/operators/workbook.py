@@ -1,61 +1,106 @@
 """Workbook corpus -> metadata tables (L7: A10, J35, J36, C3-C5, E2, G2-G4).
 
-Input: a DataFrame with ``workbook`` and ``xml`` (see ``sources.workbooks``).
+Input: a DataFrame with ``workbook`` and ``content`` bytes (see ``sources.workbooks``) or ``xml`` text.
 Output: four tables - columns, tables, connections, relationships - plus the
-documents that could not be parsed. Each document is parsed where it lives
-(one row, one task); nothing is gathered per corpus.
+documents that could not be parsed. Each document is parsed once, from its bytes, where it lives
+(one row, one task); nothing is gathered per corpus. The tables are exploded from the parsed arrays.
 """
 
 from __future__ import annotations
 
+import xml.etree.ElementTree as ET
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewright.functions import names as N
-from lakewright.functions.xml import xml_is_wellformed, xpath_first, xpath_list
 from lakewright.operators.dedupe import first_wins, first_wins_casefold
+from lakewright.session import scratch_path
 
-# Workbook XML paths, filters and connection classes.
-COLUMN_PATH = "//column[@name!='' and @datatype!='']"
+# Workbook XML names, filters and connection classes.
 INTERNAL_COLUMN_PREFIX = "[__tableau"
 TABLE_DATATYPE = "table"
-RELATION_PATH = "//relation[@type='table']/@table"
-NAMED_CONNECTION = "//named-connection/connection"
-REL_CONTAINER = "(//datasource/object-graph/relationships)[1]"
-REL_PATH = (REL_CONTAINER + "/relationship[expression[1]/expression[1]/@op and expression[1]/expression[2]/@op"
-            " and first-end-point/@object-id and second-end-point/@object-id]")
 # Connection classes in precedence order; each family maps to one source type.
 CONNECTION_CLASSES = ["snowflake", "sqlserver", "azure_sqldb", "databricks", "spark"]
-NO_CONNECTION_ERROR = ("No supported live connection found in this workbook. "
-                       "Supported: Snowflake, SQL Server, Azure SQL, Databricks.")
-
-
-def _guarded(corpus: DataFrame) -> DataFrame:
-    """Spread the corpus over all cores when it has fewer partitions (XML parsing is CPU
-    heavy per row and binaryFile packs many small files per partition), then flag
-    well-formed documents.
-
-    Callers gate their xpath generators with ``__ok`` (``posexplode(when(__ok, ...))``)
-    instead of filtering on it: Catalyst pushes a deterministic filter below the
-    round-robin exchange, which would run the guard's parse in the few tasks that
-    built the corpus, before the spread."""
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    if corpus.rdd.getNumPartitions() < cores:
-        corpus = corpus.repartition(cores)
-    return corpus.withColumn("__ok", xml_is_wellformed("xml"))
+CONNECTION_ATTRS = ["server", "dbname", "schema", "warehouse", "username", "v-http-path", "catalog", "database"]
+NO_CONNECTION_ERROR = "the workbook holds no live connection of a known class: " + ", ".join(CONNECTION_CLASSES)
+
+PARSED = T.StructType([
+    T.StructField("columns", T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("datatype", T.StringType())]))),
+    T.StructField("relations", T.ArrayType(T.StringType())),
+    T.StructField("connections", T.ArrayType(T.StructType([T.StructField("class", T.StringType()),
+                                                           T.StructField("attrs", T.MapType(T.StringType(), T.StringType()))]))),
+    T.StructField("relationships", T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in "lrab"]))),
+    T.StructField("parse_error", T.StringType()),
+])
+
+
+def _key_pairs(expression: ET.Element):
+    """(left, right) operands of ``=(left, right)``, or of every pair under an AND."""
+    inner = expression.findall("expression")
+    if (expression.get("op") or "").upper() == "AND":
+        for e in inner:
+            yield from _key_pairs(e)
+    elif len(inner) >= 2 and inner[0].get("op") is not None and inner[1].get("op") is not None:
+        yield inner[0].get("op"), inner[1].get("op")
+
+
+def _end(relationship: ET.Element, tag: str) -> str | None:
+    return next((e.get("object-id") for e in relationship.findall(tag) if e.get("object-id") is not None), None)
+
+
+def parse_document(data: bytes | None, encoding: str | None = None) -> dict:
+    """What the four metadata tables need of one document; ``parse_error`` if it is no well-formed XML.
+
+    Bytes are read as XML does: a byte order mark and a declared encoding hold, text or a second root after
+    the first is an error. ``encoding`` overrides the declaration (for text that was decoded before)."""
+    if data is None or not data.strip():
+        return {"parse_error": "no document" if data is None else "empty document"}
+    try:
+        root = ET.fromstring(data, ET.XMLParser(encoding=encoding))
+    except (ET.ParseError, LookupError, ValueError):
+        return {"parse_error": "invalid XML"}
+    known = set(CONNECTION_ATTRS)
+    graph = next((r for s in root.iter("datasource") for g in s.findall("object-graph") for r in g.findall("relationships")), [])
+    return {
+        "columns": [{"name": c.get("name"), "datatype": c.get("datatype")} for c in root.iter("column") if c.get("name") and c.get("datatype")],
+        "relations": [r.get("table") for r in root.iter("relation") if r.get("type") == "table" and r.get("table") is not None],
+        "connections": [{"class": c.get("class"), "attrs": [(k, v) for k, v in c.attrib.items() if k in known]}
+                        for n in root.iter("named-connection") for c in n.findall("connection")],
+        "relationships": [{"l": left, "r": right, "a": _end(r, "first-end-point"), "b": _end(r, "second-end-point")}
+                          for r in (graph if len(graph) else []) if r.tag == "relationship" and r.find("expression") is not None
+                          and _end(r, "first-end-point") is not None and _end(r, "second-end-point") is not None
+                          for left, right in _key_pairs(r.find("expression"))],
+    }
 
 
-def _if_ok(value):
-    """``value`` for a well-formed document, else null (a generator over it yields no rows)."""
-    return F.when(F.col("__ok"), value)
+def parse_workbooks(corpus: DataFrame) -> DataFrame:
+    """Each document parsed once, where it lies: ``corpus`` (workbook, ``content`` bytes or ``xml`` text, any more columns)
+    with the arrays of ``PARSED`` in place of the document. A parsed corpus is returned as it is."""
+    if "parse_error" in corpus.columns:
+        return corpus
+    text = "content" not in corpus.columns
+    kept = [c for c in corpus.columns if c not in ("content", "xml")]
+    document = F.col("xml").cast("binary") if text else F.col("content")
+    source = corpus.select(*kept, document.alias("content"))
+    schema = T.StructType([*source.schema.fields[:-1], *PARSED.fields])
+    encoding = "utf-8" if text else None
+
+    def run(batches):
+        import pyspark.sql.pandas.types as arrow
+        parsed = arrow.to_arrow_schema(PARSED)
+        for batch in batches:
+            rows = [parse_document(d.as_py(), encoding) for d in batch.column(batch.num_columns - 1)]
+            extra = [pa.array([r.get(f.name) for r in rows], f.type) for f in parsed]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *extra], names=schema.names)
+    return source.mapInArrow(run, schema)
 
 
 def parse_errors(corpus: DataFrame) -> DataFrame:
     """Documents that are null, blank or not well-formed XML."""
-    g = _guarded(corpus)
-    err = (F.when(F.col("xml").isNull(), "no document")
-           .when(F.trim("xml") == "", "empty document").otherwise("invalid XML"))
-    return g.select("workbook", F.explode(F.when(~F.col("__ok"), F.array(err))).alias("error"))
+    return parse_workbooks(corpus).where("parse_error IS NOT NULL").select("workbook", F.col("parse_error").alias("error"))
 
 
 def workbook_columns(corpus: DataFrame) -> DataFrame:
@@ -65,10 +110,7 @@ def workbook_columns(corpus: DataFrame) -> DataFrame:
     dropped (C3); brackets stripped (J4); the type is lower-cased; the last
     declaration of a name wins (G4) while the name keeps its first position.
     """
-    g = _guarded(corpus)
-    pairs = F.arrays_zip(xpath_list("xml", COLUMN_PATH + "/@name").alias("name"),
-                         xpath_list("xml", COLUMN_PATH + "/@datatype").alias("datatype"))
-    ex = g.select("workbook", F.posexplode(_if_ok(pairs)).alias("pos", "p"))
+    ex = parse_workbooks(corpus).select("workbook", F.posexplode("columns").alias("pos", "p"))
     ex = ex.select("workbook", "pos", F.col("p.name").alias("raw"), F.col("p.datatype").alias("datatype"))
     ex = ex.where(~F.col("raw").startswith(INTERNAL_COLUMN_PREFIX) & (F.col("datatype") != TABLE_DATATYPE))
     ex = ex.select("workbook", "pos", N.strip_brackets("raw").alias("column"), F.lower("datatype").alias("dt"))
@@ -79,49 +121,27 @@ def workbook_columns(corpus: DataFrame) -> DataFrame:
 def workbook_tables(corpus: DataFrame) -> DataFrame:
     """Table names: (workbook, table, pos). ``[schema].[table]`` -> table (J5); blanks, names with
     a dot or a space dropped (C4); first spelling wins case-insensitively (G2)."""
-    g = _guarded(corpus)
-    ex = g.select("workbook", F.posexplode(_if_ok(xpath_list("xml", RELATION_PATH))).alias("pos", "raw"))
+    ex = parse_workbooks(corpus).select("workbook", F.posexplode("relations").alias("pos", "raw"))
     ex = ex.where(F.col("raw") != "").select("workbook", "pos", N.last_name_part("raw").alias("table"))
     ex = ex.where((F.col("table") != "") & ~F.col("table").contains(".") & ~F.col("table").contains(" "))
     return first_wins_casefold(ex, "table", ["pos"], group=["workbook"]).select(
         "workbook", "table", F.col("pos").cast("int").alias("pos"))
 
 
-CONNECTION_ATTRS = ["server", "dbname", "schema", "warehouse", "username", "v-http-path", "catalog", "database"]
-# Attributes each connection class's descriptor uses (each xpath re-parses the document,
-# so a document only pays for the attributes of its own class).
-_DBX_ATTRS = ["server", "v-http-path", "catalog", "database", "schema", "dbname"]
-_SQL_ATTRS = ["server", "dbname", "username"]
-CLASS_ATTRS = {"snowflake": ["server", "dbname", "schema", "warehouse", "username"],
-               "sqlserver": _SQL_ATTRS, "azure_sqldb": _SQL_ATTRS, "databricks": _DBX_ATTRS, "spark": _DBX_ATTRS}
+def _of_class(name: str):
+    return lambda c: c["class"] == name
 
 
 def workbook_connections(corpus: DataFrame) -> DataFrame:
     """Connection descriptor (C5, J7-J9): (workbook, connection_class, source_type, params, error).
 
     The first connection of the first class present in precedence order is used.
-    One xpath lists the classes; then only the attributes the chosen class uses are
-    read, each once (a CASE evaluates just the matching branch).
     """
-    g = _guarded(corpus)
-    g = g.select("workbook", "xml", F.explode(_if_ok(F.array(xpath_list("xml", f"{NAMED_CONNECTION}/@class"))))
-                 .alias("__classes"))
-    cls = None
-    for c in CONNECTION_CLASSES:
-        hit = F.array_contains("__classes", c)
-        cls = F.when(hit, F.lit(c)) if cls is None else cls.when(hit, F.lit(c))
-    g = g.withColumn("connection_class", cls)
+    g = parse_workbooks(corpus).where("parse_error IS NULL")
+    first = F.coalesce(*[F.get(F.filter("connections", _of_class(c)), F.lit(0)) for c in CONNECTION_CLASSES])
+    g = g.select("workbook", first.alias("c")).select(
+        "workbook", F.col("c.class").alias("connection_class"), *[F.nullif(F.col("c.attrs")[a], F.lit("")).alias(f"__a_{a}") for a in CONNECTION_ATTRS])
     cc = F.col("connection_class")
-    attrs = {}
-    for a in CONNECTION_ATTRS:
-        e = None
-        for c in CONNECTION_CLASSES:
-            if a not in CLASS_ATTRS[c]:
-                continue
-            v = xpath_first("xml", f"({NAMED_CONNECTION}[@class='{c}'])[1]/@{a}")
-            e = F.when(cc == c, v) if e is None else e.when(cc == c, v)
-        attrs[a] = e
-    g = g.select("workbook", "connection_class", *[attrs[a].alias(f"__a_{a}") for a in CONNECTION_ATTRS])
     A = {a: F.col(f"`__a_{a}`") for a in CONNECTION_ATTRS}
 
     def m(**kv):
@@ -148,15 +168,9 @@ def workbook_relationships(corpus: DataFrame) -> DataFrame:
     """Relationships of the first object graph (E2, G3): (workbook, fromTable, fromColumn, toTable, toColumn, pos).
 
     Our reading of the usual ``=(left, right)`` shape: fromColumn = left operand,
-    toColumn = right operand; tables drop only a ``_<32 hex>`` object suffix.
+    toColumn = right operand; keys joined by AND give a row each; tables drop only a ``_<32 hex>`` object suffix.
     """
-    g = _guarded(corpus)
-    z = F.arrays_zip(
-        xpath_list("xml", REL_PATH + "/expression[1]/expression[1]/@op").alias("l"),
-        xpath_list("xml", REL_PATH + "/expression[1]/expression[2]/@op").alias("r"),
-        xpath_list("xml", REL_PATH + "/first-end-point/@object-id").alias("a"),
-        xpath_list("xml", REL_PATH + "/second-end-point/@object-id").alias("b"))
-    ex = g.select("workbook", F.posexplode(_if_ok(z)).alias("pos", "x"))
+    ex = parse_workbooks(corpus).select("workbook", F.posexplode("relationships").alias("pos", "x"))
     ex = ex.select("workbook", "pos",
                    N.relationship_table("x.a").alias("fromTable"), N.relationship_column("x.l").alias("fromColumn"),
                    N.relationship_table("x.b").alias("toTable"), N.relationship_column("x.r").alias("toColumn"),
@@ -168,8 +182,14 @@ def workbook_relationships(corpus: DataFrame) -> DataFrame:
 
 
 def extract_metadata(corpus: DataFrame) -> dict[str, DataFrame]:
-    """The four metadata tables and the parse errors of a workbook corpus."""
+    """The four metadata tables and the parse errors of a workbook corpus, which is read and parsed once:
+    the parsed arrays (not the documents) are landed in the shared scratch folder."""
+    parsed = parse_workbooks(corpus)
+    path = scratch_path(corpus.sparkSession, "workbooks", unique=True)
+    parsed.write.parquet(path)
+    corpus = corpus.sparkSession.read.schema(parsed.schema).parquet(path)
     return {
+        "parsed": corpus,
         "columns": workbook_columns(corpus),
         "tables": workbook_tables(corpus),
         "connections": workbook_connections(corpus),

@@ -1,7 +1,6 @@
 """Ingest flow (L1, L6): catalog -> filter -> read -> land -> profile -> typed write -> record.
 
-Per table, one profile job and one write job (plus one landing job for sources
-that cannot be re-read cheaply, e.g. JDBC). Tables are isolated: one failing
+Per table, one landing job (but for directories of table files), one profile job and one write job. Tables are isolated: one failing
 table is reported and the rest continue.
 """
 
@@ -13,7 +12,6 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +20,7 @@ from lakewright.operators.typing import coerce_table
 from lakewright.plans.registry import RUN_LOG_SCHEMA
 from lakewright.session import in_pool, remove_path, scratch_path
 from lakewright.sinks.tables import ensure_namespace, write_table
+from lakewright.sources.catalog import DirectorySource
 from lakewright.sources.jdbc import LiveSource
 
 
@@ -35,28 +34,27 @@ def select_tables(available: list[str], requested: list[str] | None) -> list[str
     return keep
 
 
-def land(spark: SparkSession, df: DataFrame, label: str, spread: int | None = None,
-         path: str | None = None) -> DataFrame:
+#: Row groups of a landed copy, so that later reads split it whatever the source's partitions were.
+LANDED_ROW_GROUP = 16 << 20
+
+
+def land(spark: SparkSession, df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write the raw source once to the shared scratch folder and read it back.
 
     Cuts lineage (a lost executor re-reads landed files, not the source) and
-    makes the profile and the write see exactly the same rows. ``spread``
-    round-robins a source with too few partitions over that many files, so the
-    CPU-heavy parse runs on every core. The caller removes ``path`` when done."""
+    makes the profile and the write see exactly the same rows. The caller removes ``path`` when done."""
     path = path or scratch_path(spark, "landing", label, unique=True)
-    (df.repartition(spread) if spread else df).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").option("parquet.block.size", str(LANDED_ROW_GROUP)).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def prepare_source(spark: SparkSession, source, df: DataFrame, land_mode, label: str):
-    """Decide how the profile and the write read the source. Returns (frame, release).
+    """The one snapshot that both the profile and the write read. Returns (frame, release).
 
-    ``True``: land to the shared scratch folder (removed after the write). ``auto``: land JDBC sources (read
-    once); spread a source with fewer partitions than the cluster has cores over
-    all cores (repartition + persist, rebuilt from lineage if an executor is lost)
-    so the CPU-heavy parse uses every core; read large file sources in place.
+    ``auto`` lands every source but a directory of table files, whose file listing is taken once, when the frame is
+    made; ``True`` lands those too, for files that may be replaced meanwhile; ``False`` lands nothing.
     """
-    if land_mode is True or (land_mode == "auto" and isinstance(source, LiveSource)):
+    if land_mode is True or (land_mode == "auto" and not isinstance(source, DirectorySource)):
         path = scratch_path(spark, "landing", label, unique=True)
         try:
             landed = land(spark, df, label, path=path)
@@ -65,11 +63,6 @@ def prepare_source(spark: SparkSession, source, df: DataFrame, land_mode, label:
             raise
         # the landed copy is removed once the table is written (or has failed)
         return landed, lambda: remove_path(spark, path)
-    if land_mode == "auto":
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            spread = df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-            return spread, spread.unpersist
     return df, None
 
 
@@ -208,18 +201,13 @@ def migrate_workbook(spark: SparkSession, workbook_path: str, db: str, *, extrac
     from lakewright.sources.jdbc import source_for
     from lakewright.sources.workbooks import read_workbooks
 
-    files = read_workbooks(spark, workbook_path)
-    # only names, flags and errors come to the driver; the document stays in the DataFrame
-    heads = files.select("workbook", "path", "has_extract", "error").collect()
+    meta = extract_metadata(read_workbooks(spark, workbook_path))
+    heads = meta["parsed"].select("workbook", "path", "has_extract", "error", "parse_error").collect()
     if len(heads) != 1:
         raise ValueError(f"expected one workbook at {workbook_path}, found {len(heads)}")
     wb = heads[0]
-    if wb["error"]:
-        raise ValueError(f"workbook '{wb['workbook']}': {wb['error']}")
-    meta = extract_metadata(files.select("workbook", "xml"))
-    errors = meta["errors"].collect()
-    if errors:
-        raise ValueError(f"workbook '{wb['workbook']}': {errors[0]['error']}")
+    if wb["error"] or wb["parse_error"]:
+        raise ValueError(f"workbook '{wb['workbook']}': {wb['error'] or wb['parse_error']}")
     declared = declared_types_of(meta["columns"], wb["workbook"])
     wb_tables = [r["table"] for r in meta["tables"].orderBy("pos").collect()]
     conn = meta["connections"].first()

@@ -26,7 +26,7 @@ EXTRACT_SUFFIX = ".hyper"
 WORKBOOK_SCHEMA = T.StructType([
     T.StructField("workbook", T.StringType()),
     T.StructField("path", T.StringType()),
-    T.StructField("xml", T.StringType()),
+    T.StructField("content", T.BinaryType()),
     T.StructField("has_extract", T.BooleanType()),
     T.StructField("error", T.StringType()),
 ])
@@ -76,17 +76,17 @@ def _unpack(batches):
                         if member is None:
                             err = f"no {WORKBOOK_SUFFIX} member in '{name}'"
                         else:
-                            xml = zf.read(member).decode("utf-8", errors="replace")
+                            xml = zf.read(member)
                 except zipfile.BadZipFile:
                     err = "not a zip archive"
             else:
-                xml = data.decode("utf-8", errors="replace")
+                xml = data
             out.append((wb, path, xml, has_extract, err))
         yield pd.DataFrame(out, columns=[f.name for f in WORKBOOK_SCHEMA.fields])
 
 
 def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
-    """A10: one row per workbook file: (workbook, path, xml, has_extract, error)."""
+    """A10: one row per workbook file: (workbook, path, content, has_extract, error); ``content`` is the document as it lies there."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
     low = F.lower("path")
     files = files.where(low.endswith(WORKBOOK_SUFFIX) | low.endswith(PACKAGED_SUFFIX)).select("path", "content")

@@ -66,9 +66,9 @@ def _attr(name: str, value: Column) -> Column:
 
 
 def customer_workbooks(customer: DataFrame) -> DataFrame:
-    """One workbook document per customer row: (workbook, xml).
+    """One workbook document per customer row, as bytes: (workbook, content).
 
-    Every 11th key gives a truncated (malformed) document, every 13th a document
+    Every 7th key's document starts with a byte order mark, every 17th has a second root. Every 11th key gives a truncated (malformed) document, every 13th a document
     whose only connection class is unsupported; every 4th carries an extra
     ``spark`` connection ahead of the main one (precedence test).
     """
@@ -113,4 +113,6 @@ def customer_workbooks(customer: DataFrame) -> DataFrame:
                    F.lit("<object-graph><relationships>"), rel0, rel0, rel2, rel3,
                    F.lit("</relationships></object-graph></datasource></datasources></workbook>"))
     doc = F.when(k % 11 == 0, F.substring(doc, 1, 60)).otherwise(doc)
-    return customer.select(F.col("c_name").alias("workbook"), doc.alias("xml"))
+    doc = F.when(k % 17 == 0, F.concat(doc, F.lit("<workbook/>"))).otherwise(doc)
+    mark = F.when(k % 7 == 0, F.unhex(F.lit("EFBBBF"))).otherwise(F.lit(b""))
+    return customer.select(F.col("c_name").alias("workbook"), F.concat(mark, F.encode(doc, "UTF-8")).alias("content"))

@@ -64,7 +64,7 @@ wb AS (
     CASE WHEN c_custkey % 13 = 0 THEN 'unknownclass'
          ELSE ['snowflake', 'sqlserver', 'azure_sqldb', 'databricks', 'spark'][c_nationkey % 5 + 1] END AS main_cls,
     c_custkey % 4 = 0 AS has_extra,
-    c_custkey % 11 <> 0 AS wellformed
+    c_custkey % 11 <> 0 AND c_custkey % 17 <> 0 AS wellformed
   FROM customer)
 """
 
@@ -373,7 +373,7 @@ SELECT workbook, cls AS connection_class,
   CASE WHEN cls IS NULL OR cls IN ('sqlserver', 'azure_sqldb') OR use_extra THEN NULL ELSE seg END AS schema_name,
   CASE WHEN cls = 'snowflake' THEN 'acct' || CAST(n AS VARCHAR) END AS account,
   CASE WHEN cls IN ('databricks', 'spark') AND NOT use_extra THEN '/sql/1.0/' || CAST(n AS VARCHAR) END AS http_path,
-  CASE WHEN cls IS NULL THEN 'No supported live connection found in this workbook. Supported: Snowflake, SQL Server, Azure SQL, Databricks.' END AS error
+  CASE WHEN cls IS NULL THEN 'the workbook holds no live connection of a known class: snowflake, sqlserver, azure_sqldb, databricks, spark' END AS error
 FROM m
 """
 

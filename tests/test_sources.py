@@ -49,8 +49,8 @@ def test_workbook_files(spark, tmp_path):
     assert file_status(spark, str(tmp_path / "missing.twb"))["error"] == "file not found"
     assert file_status(spark, str(tmp_path / "plain.twb"))["length"] == len(DOC)
     wbs = {r.workbook: r for r in read_workbooks(spark, str(tmp_path)).collect()}
-    assert wbs["plain"].xml == DOC and wbs["plain"].has_extract is False
-    assert wbs["Packed"].xml == DOC and wbs["Packed"].has_extract is True
+    assert bytes(wbs["plain"].content) == DOC.encode() and wbs["plain"].has_extract is False
+    assert bytes(wbs["Packed"].content) == DOC.encode() and wbs["Packed"].has_extract is True
     assert wbs["nowb"].error.startswith("no .twb member") and wbs["broken"].error == "not a zip archive"
     assert "empty" not in wbs
 

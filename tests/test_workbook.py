@@ -75,7 +75,7 @@ def test_connection_precedence_and_types(spark):
     assert got["azure"].source_type == "azuresql" and got["azure"].params["is_azure"] == "true"
     assert got["sql_first"].params["server"] == "onprem"          # class precedence before document order
     assert got["dbx"].params == {"server_hostname": "h", "http_path": "/p", "catalog": "cat", "schema": "sch"}
-    assert got["none"].source_type is None and got["none"].error.startswith("No supported live connection")
+    assert got["none"].source_type is None and got["none"].error == W.NO_CONNECTION_ERROR
 
 
 def test_bad_documents_do_not_fail_the_job(spark):
@@ -84,5 +84,26 @@ def test_bad_documents_do_not_fail_the_job(spark):
     assert errs == {"bad": "invalid XML", "empty": "empty document", "null": "no document"}
     assert W.workbook_columns(c).count() == 2
     meta = W.extract_metadata(c)
-    assert set(meta) == {"columns", "tables", "connections", "relationships", "errors"}
+    assert set(meta) == {"parsed", "columns", "tables", "connections", "relationships", "errors"}
     assert W.declared_types_of(meta["columns"], "ok") == {"ORDER_ID": "integer", "REVENUE": "string"}
+
+
+def test_documents_are_read_as_bytes(spark):
+    """Byte order marks and declared encodings hold; a second root or trailing text is that document's error."""
+    doc = '<workbook><column name="[Größe]" datatype="integer"/></workbook>'
+    rows = {"utf8": doc.encode(), "mark": b"\xef\xbb\xbf" + doc.encode(), "utf16": doc.encode("utf-16"),
+            "cp1252": ('<?xml version="1.0" encoding="cp1252"?>' + doc).encode("cp1252"),
+            "two": doc.encode() + b"<workbook/>", "tail": doc.encode() + b" tail", "odd": b'<?xml version="1.0" encoding="nope"?><a/>',
+            "bytes": b"\xff\x00\x80"}
+    c = spark.createDataFrame([(k, bytearray(v)) for k, v in rows.items()], "workbook string, content binary")
+    meta = W.extract_metadata(c)
+    assert {r.workbook: r.column for r in meta["columns"].collect()} == dict.fromkeys(["utf8", "mark", "utf16", "cp1252"], "Größe")
+    assert {r.workbook: r.error for r in meta["errors"].collect()} == dict.fromkeys(["two", "tail", "odd", "bytes"], "invalid XML")
+
+
+def test_keys_joined_by_and(spark):
+    pair = '<expression op="="><expression op="[{0}]"/><expression op="[{1}]"/></expression>'
+    doc = ("<w><datasource><object-graph><relationships><relationship><expression op='AND'>" + pair.format("A", "B") + pair.format("C", "D")
+           + "</expression><first-end-point object-id='X'/><second-end-point object-id='Y'/></relationship></relationships></object-graph></datasource></w>")
+    got = [tuple(r)[1:] for r in W.workbook_relationships(corpus(spark, {"w": doc})).orderBy("pos").collect()]
+    assert got == [("X", "A", "Y", "B", 0), ("X", "C", "Y", "D", 1)]
