@@ -169,6 +169,7 @@ def ingest(spark: SparkSession, source, db: str, *, workbook: str | None = None,
                          sniff=sniff, collapse_midnight=collapse_midnight, **(register or {}))
         control.log_runs([{**{k: v for k, v in r.items() if k in RUN_LOG_SCHEMA.fieldNames()},
                            "workbook_name": wb} for r in results])
+        control.compact_if_many()
     return {"workbook_name": wb, "namespace": ns, "status": summary["status"], "summary": summary,
             "message": summary["message_template"].replace("{wb}", wb),
             "tables": results, "duration_seconds": round(time.time() - started, 2)}

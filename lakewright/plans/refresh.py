@@ -76,6 +76,7 @@ def _refresh(spark, control, rec: dict, source, *, tables, sniff, allow_drop_all
     summary = summarize(results, flow="refresh")
     control.record_refresh(workbook, summary["status"], summary["error_summary"])
     control.log_runs([{**r, "workbook_name": workbook} for r in results])
+    control.compact_if_many()
     return {"workbook_name": workbook, "status": summary["status"], "summary": summary, "tables": results,
             "added": added, "removed": removed, "dropped": dropped,
             "duration_seconds": round(time.time() - started, 2)}

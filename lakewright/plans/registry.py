@@ -69,6 +69,10 @@ RUN_LOG_SCHEMA = T.StructType([
 ])
 
 
+#: Files of a log (one an append) beyond which the flows compact it.
+COMPACT_FILES = 200
+
+
 class _Versions:
     """A folder of numbered versions ``v00000, v00001, ...`` of one Parquet dataset.
 
@@ -100,6 +104,13 @@ class _Versions:
         v = self._versions()
         return f"{self.base}/v{v[-1]:05d}" if v else None
 
+    def files(self) -> int:
+        """Data files of the newest version (one listing, no job)."""
+        if self.current() is None:
+            return 0
+        _, fs = self._fs()
+        return sum(st.getPath().getName().startswith("part-") for st in fs.listStatus(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.current())))
+
     def append(self, df: DataFrame) -> None:
         v = self._versions()
         df.write.mode("append").parquet(f"{self.base}/v{(v[-1] if v else 0):05d}")
@@ -195,10 +206,14 @@ class ControlLog:
     def runs(self) -> DataFrame:
         return self._read(self.run_log, RUN_LOG_SCHEMA)
 
-    def compact(self, files: int = 1) -> dict:
+    def compact_if_many(self, most: int = COMPACT_FILES) -> dict | None:
+        """Compact when the logs have more than ``most`` files; called by the flows after their last event."""
+        return self.compact() if max(self.log.files(), self.run_log.files()) > most else None
+
+    def compact(self) -> dict:
         """Rewrite the log as a new version holding only events that still matter
-        (per workbook: its latest register and everything after it) and the run log in
-        ``files`` files. The state before and after is identical."""
+        (per workbook: its latest register and everything after it), and the run log, in as many files as
+        their size asks for. The state before and after is identical."""
         with ControlLog._lock:
             ev = self.events()
             last_reg = ev.where(F.col("op") == "register").groupBy("workbook_name") \
@@ -210,8 +225,9 @@ class ControlLog:
                 .observe(obs, F.count(F.lit(1)).alias("before"), F.count_if(kept).alias("after")) \
                 .where(kept).select(*LOG_SCHEMA.fieldNames())
             # the new version is written in full before the old one is removed
-            self.log.replace(keep.coalesce(files))
-            self.run_log.replace(self.runs().coalesce(files))
+            self.log.replace(keep)
+            # rebalanced by size: many small files become few, a long log stays in parallel
+            self.run_log.replace(self.runs().hint("rebalance"))
             m = obs.get
         return {"events_before": int(m.get("before") or 0), "events_after": int(m.get("after") or 0)}
 

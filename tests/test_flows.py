@@ -242,9 +242,13 @@ def test_control_log_compaction(spark, tmp_path):
              for r in control.state().collect()}
     assert before == after == {"w": (1, "success", ("a", "b"))}
     assert control.runs().count() == 1
+    assert control.compact_if_many(10) is None
     control.record_refresh("w", "success")                          # appends continue on the new version
     assert control.get("w")["refresh_count"] == 2
     assert sorted(p.name for p in (tmp_path / "ctl" / "control_log_events").iterdir()) == ["v00001"]
+    before = control.log.files()
+    assert before > 1 and control.compact_if_many(before - 1)["events_after"] == 5 and control.log.files() <= before
+    assert control.get("w")["refresh_count"] == 2
 
 
 def test_migrate_workbook_live(spark, tmp_path, monkeypatch):
