@@ -109,35 +109,47 @@ class Search:
             return
         with np.errstate(divide="ignore", invalid="ignore"):
             local = np.where((need[live] > 0) & (q.norms[live] > 0), need[live] / (q.norms[live] * b.norms[0]), 0.0)
-        rows = cols = None
-        tried = live[local > 0.3][:TRIED]
-        if len(tried) and len(tried) * 4 > min(TRIED, len(live)):
-            kept = np.mean([self._feasible(i, b, need[i]).mean() for i in tried])
-            if kept <= WORTH:
-                self.used["coordinate"] += len(live)
-                parts = [(i, np.flatnonzero(self._feasible(i, b, need[i]))) for i in live]
-                rows = np.concatenate([np.full(len(c), i) for i, c in parts])
-                cols = np.concatenate([c for _, c in parts])
-                scores = self._products(q.vectors[rows], b.vectors[cols], q.floats[rows], b.floats[cols], b, pairs=True)
-                own = q.uids[rows] == b.uids[cols]
-                rows, cols, scores = rows[~own], cols[~own], scores[~own]
-        if rows is None:
-            self.used["length"] += len(live)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                least = np.where((need[live] > 0) & (q.norms[live] > 0), need[live] / q.norms[live] * (1 - 1e-12) - 1e-6, 0.0)
-            reach_to = int(np.searchsorted(-b.norms, -least, side="right").max())
-            table = self._products(q.vectors[live], b.vectors[:reach_to], q.floats[live], b.floats[:reach_to], b)
-            common, x, y = np.intersect1d(q.uids[live], b.uids[:reach_to], return_indices=True)
-            table[x, y] = LEAST
-            bar = self.floor[live]
-            if reach_to > self.k:  # what is below the k best of the bucket itself can't be among the k best
-                bar = np.maximum(bar, np.partition(table, reach_to - self.k, axis=1)[:, reach_to - self.k])
-            rows, cols = np.nonzero((table >= bar[:, None]) & (table != LEAST))
-            scores = table[rows, cols]
-            rows = live[rows]
-        ids = b.vec_ids[cols]
-        good = (scores > self.floor[rows]) | ((scores == self.floor[rows]) & (ids <= self.floor_id[rows]))
-        self._merge(rows[good], scores[good], ids[good], b.uids[cols[good]])
+        picky = local >= self._least_picky(live, local, need, b)
+        for part, find in ((live[picky], self._by_coordinates), (live[~picky], self._by_length)):
+            if len(part):
+                rows, cols, scores = find(part, b, need)
+                ids = b.vec_ids[cols]
+                good = (scores > self.floor[rows]) | ((scores == self.floor[rows]) & (ids <= self.floor_id[rows]))
+                self._merge(rows[good], scores[good], ids[good], b.uids[cols[good]])
+
+    def _least_picky(self, live: np.ndarray, local: np.ndarray, need: np.ndarray, b: Bucket) -> float:
+        """The local threshold from which coordinates leave few enough vectors of this bucket, judged by a few queries."""
+        order = np.argsort(-local, kind="stable")
+        order = order[local[order] > 0]
+        least = np.inf
+        for k in order[np.unique(np.linspace(0, len(order) - 1, min(TRIED, len(order))).astype(np.int64))] if len(order) else ():
+            if self._feasible(live[k], b, need[live[k]]).mean() > WORTH:
+                break
+            least = local[k]
+        return least
+
+    def _by_coordinates(self, part: np.ndarray, b: Bucket, need: np.ndarray):
+        self.used["coordinate"] += len(part)
+        found = [np.flatnonzero(self._feasible(i, b, need[i])) for i in part]
+        rows, cols = np.repeat(part, [len(c) for c in found]), np.concatenate(found)
+        scores = self._products(self.q.vectors[rows], b.vectors[cols], self.q.floats[rows], b.floats[cols], b, pairs=True)
+        other = self.q.uids[rows] != b.uids[cols]
+        return rows[other], cols[other], scores[other]
+
+    def _by_length(self, part: np.ndarray, b: Bucket, need: np.ndarray):
+        q = self.q
+        self.used["length"] += len(part)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where((need[part] > 0) & (q.norms[part] > 0), need[part] / q.norms[part] * (1 - 1e-12) - 1e-6, 0.0)
+        reach = int(np.searchsorted(-b.norms, -least, side="right").max())
+        table = self._products(q.vectors[part], b.vectors[:reach], q.floats[part], b.floats[:reach], b)
+        _, x, y = np.intersect1d(q.uids[part], b.uids[:reach], return_indices=True)
+        table[x, y] = LEAST
+        bar = self.floor[part]
+        if reach > self.k:  # what is below the k best of the bucket itself can't be among the k best
+            bar = np.maximum(bar, np.partition(table, reach - self.k, axis=1)[:, reach - self.k])
+        rows, cols = np.nonzero((table >= bar[:, None]) & (table != LEAST))
+        return part[rows], cols, table[rows, cols]
 
     def _feasible(self, i: int, b: Bucket, need: float) -> np.ndarray:
         """Vectors whose largest query coordinates allow a product of ``need``."""
