@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.session import scratch_path
+from lakewright.session import remove_path, scratch_path
 
 #: A key with at least one row in HOT_PARTS is looked up map-side; there are at most HOT_PARTS such keys.
 HOT_PARTS = 200
@@ -22,18 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared scratch folder and read it back: cuts the lineage, survives the
-    loss of an executor, and is computed once. The shuffle files behind it are no longer needed; Spark
+    loss of an executor, and is computed once. The shuffle files behind earlier tables are no longer needed; Spark
     removes them when the driver's JVM collects their handles, which is asked for here."""
     spark = df.sparkSession
-    path = scratch_path(spark, "llm", name, unique=True)
-    (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd").parquet(path)
-    schema = df.schema
-    del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    path = scratch_path(spark, "llm", name, unique=True)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for t in tables:
+        remove_path(t.sparkSession, t.staged_path)
 
 
 @contextmanager
@@ -48,6 +54,15 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def least_hashed(ids: DataFrame, most: int, salt: str) -> DataFrame:
+    """At most ``most`` rows of the one-column ``ids``, those of least hash. A first filter at twice the needed
+    share keeps what each task hands on small, however many tasks there are."""
+    column = ids.columns[0]
+    draw = F.pmod(F.xxhash64(F.lit(salt), column), F.lit(1 << 30))
+    share = min(1.0, 2.0 * most / max(1, ids.count()))
+    return ids.where(draw < int(share * (1 << 30))).orderBy(draw, column).limit(most)
+
+
 def hex_long(column: Column, digits: int = 15) -> Column:
     """The first hex digits of a digest as a non-negative long."""
     return F.conv(F.substring(column, 1, digits), 16, 10).cast("long")
@@ -85,28 +100,29 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     Contraction: every node hangs on its smallest neighbour (a map-side combined minimum), the edges move
     to the parents, and loops and repeats go; each round at least halves the nodes of every component.
     The per-round parent tables, each smaller than the last, are then composed from the end.
-    No list of neighbours is ever built, so a node of any degree is fine.
+    No list of neighbours is ever built, so a node of any degree is fine: its edges meet one parent row in
+    a join whose large partitions Spark splits.
     """
     spark = edges.sparkSession
-    todo = staged(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                  .distinct(), f"{name}-edges")
+
+    def clean(pairs: DataFrame) -> DataFrame:
+        return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    todo = staged(clean(edges), f"{name}-edges")
     rounds = []
     while not todo.isEmpty():
         both = todo.select("a", "b").union(todo.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = staged(both.groupBy("a").agg(F.min("b").alias("m"))
                         .select(F.col("a").alias("node"), F.least("a", "m").alias("root")), f"{name}-parents")
         rounds.append(parent)
-        moved = spread_lookup(todo, parent, "node", "a").select(F.col("root").alias("a"), "b")
-        moved = staged(moved, f"{name}-moved")
-        moved = spread_lookup(moved, parent, "node", "b").select("a", F.col("root").alias("b"))
-        todo = staged(moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                      .distinct(), f"{name}-edges")
+        moved = (todo.join(parent.toDF("a", "pa"), "a").join(parent.toDF("b", "pb"), "b")
+                 .select(F.col("pa").alias("a"), F.col("pb").alias("b")))
+        todo = staged(clean(moved), f"{name}-edges")
     if not rounds:
         return spark.createDataFrame([], "node long, root long")
     final = rounds.pop()
     while rounds:
-        parent = rounds.pop().withColumnRenamed("root", "via")
-        last = final.select(F.col("node").alias("via"), "root")
-        final = staged(spread_lookup(parent, last, "via")
+        parent = rounds.pop().toDF("node", "via")
+        final = staged(parent.join(final.toDF("via", "root"), "via", "left")
                        .select("node", F.coalesce("root", "via").alias("root")), f"{name}-roots")
     return final
