@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.llm.common import least_hashed
+
 #: Bounds of the training sample: trusted positives and unlabelled documents, those of least hash.
 POSITIVES, UNLABELLED = 20_000, 20_000
 FOLDS, THRESHOLD = 5, 0.3
@@ -123,13 +125,14 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     if not share:
         return None
     prior = min(max(share, LEAST_PRIOR), 1 - LEAST_PRIOR)
-    good = trusted.where("quality = 1").select("doc_id").distinct().orderBy(F.xxhash64(F.lit("p"), "doc_id"), "doc_id").limit(positives)
-    web = docs.where(fold(F.col("doc_id")) != 0).select("doc_id").distinct().orderBy(F.xxhash64(F.lit("u"), "doc_id"), "doc_id").limit(unlabelled)
+    good = trusted.where("quality = 1").select("doc_id").distinct()
+    web = docs.where(fold(F.col("doc_id")) != 0).select("doc_id").distinct()
+    good, web = least_hashed(good, positives, "positive"), least_hashed(web, unlabelled, "unlabelled")
     picked = good.withColumn("p", F.lit(1)).unionByName(web.withColumn("p", F.lit(0)))
     picked = picked.groupBy("doc_id").agg(F.max("p").alias("p"), F.min("p").alias("u"))  # u = 0: in the unlabelled sample
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "p", "u", features_column(F.col("text")).alias("x"))
     got = rows.toPandas().sort_values("doc_id", kind="stable")
-    x = np.array(got["x"].tolist(), np.float64).reshape(len(got), -1)
+    x = np.array(got["x"].tolist(), np.float64).reshape(-1, N_FEATURES)
     xp, xu = x[got["p"].to_numpy() == 1], x[got["u"].to_numpy() == 0]
     return fit(xp, xu, prior) if len(xp) and len(xu) else None
 
@@ -140,7 +143,7 @@ def scored(docs: DataFrame, model: dict | None) -> Column:
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(predict(shared.value, np.array([features(t) for t in texts], np.float64).reshape(len(texts), -1)))
+        return pd.Series(predict(shared.value, np.array([features(t) for t in texts], np.float64).reshape(-1, N_FEATURES)))
     return run(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
 
 

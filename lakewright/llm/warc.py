@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm.common import spread_lookup, staged
+from lakewright.llm.common import least_hashed, spread_lookup, staged
 from lakewright.session import scratch_path
 
 # Fixed values of the formats.
@@ -105,7 +105,7 @@ def _write(root: str, dict_bytes: bytes, limit: int):
 
 def frames(stream, read_bytes: int = READ_BYTES):
     """Decoded records of an open archive, in order; the dictionary frame is loaded and left out."""
-    data = stream.read(read_bytes)
+    data = stream.read(max(8, read_bytes))
     shared = None
     if len(data) >= 4 and struct.unpack("<I", data[:4])[0] == SKIPPABLE:
         if len(data) < 8:
@@ -239,8 +239,9 @@ def write_archives(pages: DataFrame, least_shared: int = LEAST_SHARED, archive_b
               .agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")).where("n > 1 AND response IS NOT NULL").drop("n"))
     found = spread_lookup(rows, staged(shared, "warc-shared"), "digest")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("response")), F.col("response"))
-    samples = (pages.where(F.length("html") > 0).select(F.encode(F.substring("html", 1, SAMPLE_BYTES), "UTF-8").alias("s"), "page_id")
-               .orderBy(F.xxhash64("page_id"), "s").limit(SAMPLE_PAGES).collect())
+    picked = least_hashed(pages.select("page_id").distinct(), SAMPLE_PAGES, "dictionary")
+    samples = (pages.where(F.length("html") > 0).join(F.broadcast(picked), "page_id")
+               .select(F.encode(F.substring("html", 1, SAMPLE_BYTES), "UTF-8").alias("s")).limit(SAMPLE_PAGES).collect())
     root = scratch_path(spark, "llm", "warc", unique=True)
     root = root if "://" in root or root.startswith("file:") else f"file://{root}"
     filesystem, folder = fs.FileSystem.from_uri(root)
