@@ -72,7 +72,8 @@ def normal_line(line):
 def line_print(words):
     if len(words) == 1:
         return xxhash.xxh64_intdigest(words[0].encode(), 42)
-    return majority([xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42)) for a, b in zip(words, words[1:])])
+    pairs = [xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42)) for a, b in zip(words, words[1:])]
+    return majority(sorted(pairs, key=lambda h: h - (h >> 63 << 64))[:15])
 
 
 def dedup_lines(docs):

@@ -151,12 +151,11 @@ def test_line_dedup(spark, awkward, nothing):
     from lakewright.llm.linededup import dedup_lines, without_repeats
     rows = sorted(rows_of(awkward), key=lambda r: (r[0] is None, r[0] or 0))
     want = Counter(zip((r[0] for r in rows), brute.dedup_lines([r[:2] for r in rows])))
-    for limit in (16383, 20):  # beyond the limit bits are counted one by one
-        got = dedup_lines(awkward, lane_limit=limit).collect()
-        assert Counter(r.row.doc_id for r in got) == Counter(r[0] for r in rows)
-        # rows of one doc_id may stand in either order
-        alone = Counter(r[0] for r in rows)
-        assert {(r.row.doc_id, r.text) for r in got if alone[r.row.doc_id] == 1} == {x for x in want if alone[x[0]] == 1}
+    got = dedup_lines(awkward).collect()
+    alone = Counter(r[0] for r in rows)
+    assert Counter(r.row.doc_id for r in got) == alone
+    # rows of one doc_id may stand in either order
+    assert {(r.row.doc_id, r.text) for r in got if alone[r.row.doc_id] == 1} == {x for x in want if alone[x[0]] == 1}
     out = without_repeats(awkward)
     assert out.columns == awkward.columns and out.where("n_chars <> length(text)").count() == 0
     assert without_repeats(nothing).count() == 0
