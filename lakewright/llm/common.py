@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakewright.session import remove_path, scratch_path
@@ -94,6 +94,22 @@ def spread_lookup(left: DataFrame, right: DataFrame, key: str, left_key: str | N
     return out.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"_got.`{v}`").alias(v) for v in values])
 
 
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` as a staged table with ``pos``, the row's number from 0 in ``order`` (which should leave no ties).
+
+    Rows are dealt by ranges of ``order`` and sorted there; the row's number in its task and the sizes of the tasks
+    before it (a row a task) give its place, so no task sees more than its range.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = staged(ranged, name)
+    task = F.shiftright("_at", 33)
+    sizes = ranged.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    out = ranged.withColumn("_task", task).join(F.broadcast(before), "_task")
+    return out.withColumn("pos", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_task", "_at", "_before")
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges(a long, b long)``: (node, root), one row per node of an edge.
 

@@ -66,6 +66,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.sharding import shard
+    return shard(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_warc": op2_warc,
@@ -77,4 +82,5 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
+    "op13_sharding": op13_sharding,
 }
