@@ -53,4 +53,51 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
 
-ORACLE_SQL = {"op2_warc": OP2, "op3_top_k": OP3, "op7_exact_dedup": OP7, "op9_source_mix": OP9}
+
+
+def _crc32(text: str) -> str:
+    """DuckDB expression for the unsigned CRC-32 of an ASCII string."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)"
+    return f"xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split({text}, ''), lambda y: ascii(y)::UBIGINT)), lambda c, b: {step}), 4294967295)"
+
+
+def _tree(name: str, levels: int) -> str:
+    """CTEs for the levels above ``name0`` (g, i, d, n): runs of 8 are hashed while a tree has several nodes; ``l`` and ``r`` are the siblings."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}s{k} AS (SELECT g, i, n, coalesce(string_agg(d, '') OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(d, '') OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}),
+{name}{k + 1} AS (SELECT g, i // 8 AS i, CASE WHEN max(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i)) ELSE max(d) END AS d, (max(n) + 7) // 8 AS n FROM {name}{k} GROUP BY g, i // 8)""")
+    return ",\n".join(out)
+
+
+def _op11(low: int = 8, high: int = 4) -> str:
+    """Unrolled for up to 8^low documents a language and 8^high languages; smaller trees pass through the levels above their own."""
+    def field(f: str) -> str:
+        return f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')"
+    head = " || ".join(field(f) for f in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    joins = [(f"x{k}", f"JOIN a_s{k} x{k} ON x{k}.g = o.g AND x{k}.i = o.i // {8 ** k}") for k in range(low)]
+    joins += [(f"y{k}", f"JOIN b_s{k} y{k} ON y{k}.i = o.g // {8 ** k}") for k in range(high)]
+    names, steps, at = [x for x, _ in joins], [], "claim"
+    for x in names:
+        steps.append(f"CASE WHEN {x}.n > 1 THEN sha256({x}.l || {at} || {x}.r) ELSE {at} END AS {x}f")
+        at = f"{x}f"
+    return f"""
+WITH o AS (
+  SELECT doc_id, lang, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, sha256({head} || {field('text')}) AS leaf,
+         CASE WHEN coalesce({_crc32("coalesce(doc_id::VARCHAR, '')")} % 3 = 0, false) AND doc_id IS NOT NULL THEN sha256({head} || {field(lower)}) ELSE sha256({head} || {field('text')}) END AS claim
+  FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM o),
+a_0 AS (SELECT g, i, leaf AS d, n FROM p),
+{_tree('a_', low)},
+b_0 AS (SELECT 0 AS g, g AS i, d, count(*) OVER () AS n FROM a_{low}),
+{_tree('b_', high)},
+f AS (SELECT o.doc_id, o.leaf, t.d AS subroot, (SELECT d FROM b_{high}) AS root, sha256({' || '.join(f'{x}.l || {x}.r' for x in names)}) AS proof_sha256,
+  {', '.join(steps)}
+  FROM p o JOIN b_0 t ON t.i = o.g {' '.join(j[1] for j in joins)})
+SELECT doc_id, leaf, subroot, root, proof_sha256, {at} AS folded_root, {at} = root AS verified FROM f
+"""
+
+
+ORACLE_SQL = {"op11_merkle": _op11(), "op2_warc": OP2, "op3_top_k": OP3, "op7_exact_dedup": OP7, "op9_source_mix": OP9}

@@ -66,6 +66,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.merkle import tampered_third
+    return tampered_third(table(spark, sf_dir, "documents"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakewright.llm.sharding import shard
     return shard(table(spark, sf_dir, "documents"))
@@ -82,5 +87,6 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
     "op13_sharding": op13_sharding,
 }
