@@ -100,4 +100,56 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, {at} AS folded_root, {at} = ro
 """
 
 
-ORACLE_SQL = {"op11_merkle": _op11(), "op2_warc": OP2, "op3_top_k": OP3, "op7_exact_dedup": OP7, "op9_source_mix": OP9}
+def _op12() -> str:
+    """A forward DP row by row; v0 to v3 are the cheapest (cost, audit, lines) that end with nothing, a system, a user or an assistant row."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+    def known(c: str) -> str:
+        return f"coalesce({c}::VARCHAR, ' ')"
+
+    def edit(v: str, cost: str, letter: str, line: str | None) -> str:
+        lines = f"{v}['r']" if line is None else f"list_append({v}['r'], {line})"
+        return f"{{'c': ({v}['c'] + {cost})::BIGINT, 'a': {v}['a'] || {letter}, 'r': {lines}}}"
+
+    def best(*of: str) -> str:
+        return f"list_min([{', '.join(of)}])"
+
+    def start(cost: int) -> str:
+        return f"{{'c': {cost}::BIGINT, 'a': '', 'r': []::VARCHAR[]}}"
+    inserted = (f"SELECT *, {best('v2', *[edit(v, '2', chr(39) + 'I' + chr(39), chr(39) + 'user:' + chr(39)) for v in ('v0', 'v1', 'v3')])} AS u, "
+                f"{best('v3', edit('u', '2', chr(39) + 'I' + chr(39), chr(39) + 'assistant:' + chr(39)))} AS a")
+
+    def into(v: str, initial: str, name: str) -> str:
+        own = f"CASE WHEN initial = '{initial}'"
+        return edit(v, f"{own} THEN cut ELSE 2 + cut END", f"{own} THEN 'K' ELSE 'R' END", f"{own} THEN role ELSE '{name}' END || ':' || text")
+    gone = {v: edit(v, "3", "'D'", None) for v in ("v0", "v1", "u", "a")}
+    return f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, {known('role')} AS role, {known('text')} AS text, {_crc32(known('conv_id') + " || ':' || " + known('turn'))} % 20 AS kind FROM conversations),
+e AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(len(role) || ':' || role || text)) AS p, rtrim(text, {white}) AS bare FROM e),
+w AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again, left(role, 1) AS initial,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) || left(role, 1) AS pair FROM o),
+f AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             (bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?'))::INT AS cut FROM w),
+d AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS p, {start(0)} AS v0, {start(10 ** 9)} AS v1, {start(10 ** 9)} AS v2, {start(10 ** 9)} AS v3 FROM conversations
+  UNION ALL
+  SELECT d.conv_id, d.p + 1, {gone['v0']}, CASE WHEN fault NOT IN ('blank', 'duplicate') AND initial = 's' THEN {best(gone['v1'], edit('v0', 'cut', "'K'", "role || ':' || text"))} ELSE {gone['v1']} END,
+         CASE WHEN fault IN ('blank', 'duplicate') THEN {gone['u']} ELSE {best(gone['u'], *[into(v, 'u', 'user') for v in ('v0', 'v1', 'a')])} END,
+         CASE WHEN fault IN ('blank', 'duplicate') THEN {gone['a']} ELSE {best(gone['a'], into('u', 'a', 'assistant'))} END
+  FROM ({inserted} FROM d) d JOIN f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.p = d.p + 1),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+             count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM f GROUP BY conv_id)
+SELECT z.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, x['c'] AS cost, x['a'] AS audit, sha256(array_to_string(x['r'], chr(10))) AS repaired_sha256
+FROM (SELECT d.conv_id, gaps, blank, duplicate, truncated, illegal, {best('v0', 'a')} AS x
+      FROM ({inserted} FROM d) d LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM d.conv_id WHERE d.p = coalesce(n.n, 0)) z
+"""
+
+
+ORACLE_SQL = {"op12_conversations": _op12(), "op11_merkle": _op11(), "op2_warc": OP2, "op3_top_k": OP3, "op7_exact_dedup": OP7, "op9_source_mix": OP9}

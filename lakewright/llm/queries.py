@@ -71,6 +71,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_third(table(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakewright.llm.conversations import repair_damaged
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakewright.llm.sharding import shard
     return shard(table(spark, sf_dir, "documents"))
@@ -88,5 +93,6 @@ QUERIES = {
     "op9_source_mix": op9_source_mix,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op12_conversations": op12_conversations,
     "op13_sharding": op13_sharding,
 }
