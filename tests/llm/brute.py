@@ -1,7 +1,7 @@
 """Plain Python versions of the training-data operators, for small inputs."""
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
@@ -69,29 +69,31 @@ def normal_line(line):
     return re.sub(f"[{WHITE}]+", " ", line.lower()).strip(" ")
 
 
-def line_print(words):
-    if len(words) == 1:
-        return xxhash.xxh64_intdigest(words[0].encode(), 42)
-    pairs = [xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42)) for a, b in zip(words, words[1:])]
-    return majority(sorted(pairs, key=lambda h: h - (h >> 63 << 64))[:15])
+def similar_lines(a, b, similarity=0.8):
+    """The larger of the edit similarities over words and, for lines of under 32 words, over characters."""
+    def close(x, y):
+        most = max(len(x), len(y))
+        allowed = int(most * (1 - similarity) + 1e-9)
+        if abs(len(x) - len(y)) > allowed:
+            return False
+        runs = [Counter(zip(z, z[1:])) for z in (x, y)]  # an edit changes two neighbourhoods at most
+        if sum((runs[0] & runs[1]).values()) < most - 1 - 2 * allowed:
+            return False
+        return edit_distance(x, y) <= allowed
+    x, y = a.split(" "), b.split(" ")
+    return close(x, y) or len(x) < 32 and len(y) < 32 and close(a, b)
 
 
 def dedup_lines(docs):
-    """docs: (doc_id, text) in order of precedence; the kept text of each."""
+    """docs: (doc_id, text) in order of precedence; the kept text of each, by edit similarity alone."""
     first = {}
     for d, (_, text) in enumerate(docs):
         for n, line in enumerate((text or "").split("\n")):
             if normal_line(line):
                 first.setdefault(normal_line(line), (d, n))
-    lines = list(first)
-    prints = {x: line_print(x.split(" ")) for x in lines}
-
-    def linked(a, b):
-        x, y = a.split(" "), b.split(" ")
-        return near(prints[a], prints[b]) and edit_distance(x, y) <= int(max(len(x), len(y)) * 0.2 + 1e-9)
-    u = components(lines, linked)
+    u = components(list(first), similar_lines)
     keep = {}
-    for x in lines:
+    for x in first:
         r = u.find(x)
         keep[r] = min(keep.get(r, first[x]), first[x])
     out = []

@@ -147,36 +147,6 @@ def test_exact_duplicates(spark, awkward, nothing):
     assert folded.group_size == 4
 
 
-def test_line_dedup(spark, awkward, nothing):
-    from lakewright.llm.linededup import dedup_lines, without_repeats
-    rows = sorted(rows_of(awkward), key=lambda r: (r[0] is None, r[0] or 0))
-    want = Counter(zip((r[0] for r in rows), brute.dedup_lines([r[:2] for r in rows])))
-    got = dedup_lines(awkward).collect()
-    alone = Counter(r[0] for r in rows)
-    assert Counter(r.row.doc_id for r in got) == alone
-    # rows of one doc_id may stand in either order
-    assert {(r.row.doc_id, r.text) for r in got if alone[r.row.doc_id] == 1} == {x for x in want if alone[x[0]] == 1}
-    out = without_repeats(awkward)
-    assert out.columns == awkward.columns and out.where("n_chars <> length(text)").count() == 0
-    assert without_repeats(nothing).count() == 0
-
-
-def test_line_links_within_dense_groups(spark):
-    from lakewright.llm.linededup import dedup_lines
-    rng = np.random.default_rng(2)
-    vocab = ["w%d" % i for i in range(4000)]
-    docs = []
-    for base in range(3):
-        line = [vocab[i] for i in rng.integers(0, 4000, 60)]
-        for v in range(25):
-            own = list(line)
-            for _ in range(v % 4):
-                own[int(rng.integers(0, 60))] = vocab[int(rng.integers(0, 4000))]
-            docs.append((base * 100 + v, " ".join(own) + "\nx%d" % v))
-    got = {r.row.doc_id: r.text for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert [got[d] for d, _ in docs] == brute.dedup_lines(docs)
-
-
 def test_mixing(spark, awkward, nothing):
     from lakewright.llm.mixing import mix, repeat
     rows = rows_of(awkward)
