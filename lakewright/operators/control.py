@@ -24,7 +24,7 @@ from lakewright.functions.names import job_id, job_name
 from lakewright.operators.skew import hot_keys
 from lakewright.operators.skew import is_hot as hot_key
 
-OPS = ("register", "refresh", "patch", "delete")
+OPS = ("register", "refresh", "patch", "delete", "snapshot")
 # Smallest refresh interval (minutes) and the late-start allowance (seconds).
 MIN_INTERVAL_MINUTES = 5
 LATE_START_SECONDS = 300
@@ -34,22 +34,31 @@ DESCRIPTOR_KEYS_DROPPED = ["type", "tables", "column_types", "relationships"]
 
 def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[str] | None = None,
                    include_deleted: bool = False, salt_buckets: int = 32, hot_share: int = 64,
-                   skew_safe: bool = True) -> DataFrame:
+                   skew_safe: bool = True, marks_of_fold: bool = False) -> DataFrame:
     """Current record per workbook.
 
     ``register_attrs`` are copied from the latest register event; ``patch_attrs``
     (subset of them) may be overridden by later ``patch`` events carrying a
     non-null value. Refresh fields reset on register (count since then).
     A workbook whose latest register is older than its latest delete is gone.
+    A ``snapshot`` event (see ``fold``) stands for all events of its workbook up to its seq: register values as patched,
+    the refresh count and last refresh so far, and the seqs of register and delete. ``marks_of_fold`` adds what a snapshot needs.
     """
     patch_attrs = list(patch_attrs or [])
-    reg = F.struct(F.col("seq").alias("seq"), F.col("ts").alias("ts"),
+
+    def of_snapshot(c: str, kind: str, otherwise=None) -> Column:
+        there = F.col(c) if c in log.columns else F.lit(None).cast(kind)
+        return F.when(F.col("op") == "snapshot", there).otherwise(otherwise if otherwise is not None else F.lit(None).cast(kind)).alias(c)
+    base = F.struct(of_snapshot("last_refreshed_at", "timestamp").alias("ts"), of_snapshot("last_refresh_status", "string").alias("status"),
+                    of_snapshot("last_refresh_error", "string").alias("error"))
+    reg = F.struct(F.col("seq").alias("seq"), of_snapshot("reg_ts", dict(log.dtypes)["ts"], F.col("ts")).alias("ts"), of_snapshot("reg_seq", "bigint", F.col("seq")),
+                   of_snapshot("refresh_count", "bigint").alias("base_count"), base.alias("base"),
                    *[F.col(a).alias(a) for a in register_attrs])
-    is_reg = F.col("op") == "register"
+    is_reg = F.col("op").isin("register", "snapshot")
     is_later = F.col("op").isin("refresh", "patch")
     per_wb = log.groupBy("workbook_name").agg(
         F.max_by(F.when(is_reg, reg), F.when(is_reg, F.col("seq"))).alias("reg"),
-        F.max(F.when(F.col("op") == "delete", F.col("seq"))).alias("del_seq"),
+        F.max(of_snapshot("del_seq", "bigint", F.when(F.col("op") == "delete", F.col("seq")))).alias("del_seq"),
         F.count_if(is_later).alias("n_later"),
     ).where(F.col("reg").isNotNull())
 
@@ -63,16 +72,17 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
         is_hot = hot_key(F.col("workbook_name"), hot_keys(log.where(is_later), "workbook_name", hot_share))
     else:                                   # e.g. one workbook's events: nothing to spread
         is_hot = F.lit(False)
-    marks = per_wb.select("workbook_name", F.col("reg.seq").alias("reg_seq"),
+    marks = per_wb.select("workbook_name", F.col("reg.seq").alias("__reg_seq"),
                           F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
                                     .otherwise(F.array(F.lit(0)))).alias("__salt"))
     after = (log.where(is_later)
              .withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64("seq"), F.lit(salt_buckets)).cast("int"))
                          .otherwise(F.lit(0)))
              .join(marks, ["workbook_name", "__salt"])
-             .where(F.col("seq") > F.col("reg_seq")))
+             .where(F.col("seq") > F.col("__reg_seq")))
     aggs = [
         F.count_if(F.col("op") == "refresh").alias("refresh_count"),
+        F.max("seq").alias("later_seq"),
         F.max_by(F.when(F.col("op") == "refresh", F.struct("seq", "ts", "status", "error")),
                  F.when(F.col("op") == "refresh", F.col("seq"))).alias("last_refresh"),
     ]
@@ -83,7 +93,10 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
     later = after.groupBy("workbook_name").agg(*aggs)
 
     st = per_wb.join(later, "workbook_name", "left")
-    live = F.col("del_seq").isNull() | (F.col("del_seq") < F.col("reg.seq"))
+    live = F.col("del_seq").isNull() | (F.col("del_seq") < F.col("reg.reg_seq"))
+
+    def last(part: str) -> Column:
+        return F.when(F.col("last_refresh").isNotNull(), F.col(f"last_refresh.{part}")).otherwise(F.col(f"reg.base.{part}"))
     cols = [F.col("workbook_name")]
     for a in register_attrs:
         if a in patch_attrs:
@@ -92,16 +105,29 @@ def registry_state(log: DataFrame, register_attrs: list[str], patch_attrs: list[
             cols.append(F.col(f"reg.{a}").alias(a))
     cols += [
         F.col("reg.ts").alias("last_migrated_at"),
-        F.col("last_refresh.ts").alias("last_refreshed_at"),
-        F.col("last_refresh.status").alias("last_refresh_status"),
-        F.col("last_refresh.error").alias("last_refresh_error"),
-        F.coalesce(F.col("refresh_count"), F.lit(0)).cast("long").alias("refresh_count"),
+        last("ts").alias("last_refreshed_at"),
+        last("status").alias("last_refresh_status"),
+        last("error").alias("last_refresh_error"),
+        (F.coalesce("refresh_count", F.lit(0)) + F.coalesce("reg.base_count", F.lit(0))).cast("long").alias("refresh_count"),
         live.alias("live"),
     ]
+    if marks_of_fold:
+        cols += [F.col("reg.reg_seq").alias("reg_seq"), F.col("del_seq"), F.greatest("reg.seq", F.coalesce("later_seq", F.lit(0))).alias("seq")]
     out = st.select(*cols)
     return out if include_deleted else out.where("live").drop("live")
 
 
+def fold(log: DataFrame, register_attrs: list[str], patch_attrs: list[str] | None = None) -> DataFrame:
+    """One ``snapshot`` event a registered workbook that stands for all its events so far, deleted ones included.
+
+    Later events fold onto it: ``registry_state`` of the snapshots and later events equals that of all events, wherever the
+    log is cut in order of seq. Events of workbooks that were never registered are dropped, as the state ignores them.
+    """
+    st = registry_state(log, register_attrs, patch_attrs, include_deleted=True, marks_of_fold=True)
+    return st.select("workbook_name", "seq", F.lit("snapshot").alias("op"), F.col("last_migrated_at").alias("ts"), *register_attrs, "reg_seq",
+                     F.col("last_migrated_at").alias("reg_ts"), "del_seq", "refresh_count", "last_refreshed_at", "last_refresh_status", "last_refresh_error")
+
+
 def public_view(state: DataFrame, secret_flag: str = "has_secret", descriptor: str | None = None) -> DataFrame:
     """No secret material; ``has_stored_credentials`` flag; descriptor keys filtered."""
     out = state.withColumn("has_stored_credentials", F.coalesce(F.col(secret_flag), F.lit(False)))
@@ -172,7 +198,7 @@ def run_rollup(run_log: DataFrame, run_key: str = "run_id", table_col: str = "ta
     list is per run and a run has one row per table of its workbook, so the
     collected list is bounded by the catalog, not by the data.
     """
-    ok = F.count_if(F.col("status").isin("success", "skipped_empty")).alias("n_success")
+    ok = F.count_if(F.col("status").isin("success", "skipped_empty", "unchanged")).alias("n_success")
     bad = F.count_if(F.col("status") == "failed").alias("n_failed")
     errs = F.collect_list(F.when(F.col("status") == "failed",
                                  F.struct(F.col(pos_col).alias("pos"),

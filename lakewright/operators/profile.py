@@ -22,6 +22,19 @@ def profile_row(df: DataFrame, aggs: dict[str, Column]) -> dict:
     return row.asDict() if row is not None else {}
 
 
+#: How a fact of ``coerce_table`` merges with that of other rows, by the letters of its name; a null fact (no value seen) merges as nothing.
+MERGES = {"b": F.bool_or, "m": F.bool_and, "mid": F.bool_and, "lo": F.min, "hi": F.max}
+
+
+def merged(states: DataFrame, names: list[str]) -> dict:
+    """Facts over the union of the rows behind ``states``, which has a map ``facts`` of integers per part of them."""
+    def one(name: str) -> Column:
+        how = MERGES[name.rstrip("0123456789")]
+        fact = F.col("facts")[name]
+        return how(fact == 1) if how in (F.bool_or, F.bool_and) else how(fact)
+    return profile_row(states, {n: one(n) for n in names})
+
+
 def is_midnight(c: Column, dt: T.DataType) -> Column:
     """F4 per value: hour, minute and second all zero (fraction ignored)."""
     if isinstance(dt, T.DateType):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewright.operators.skew import hot_keys, is_hot
 from lakewright.session import scratch_path
@@ -104,3 +105,134 @@ def relationship_orphans(left: DataFrame, right: DataFrame, from_column: str, to
         F.struct(F.lit("to").alias("side"), F.col("to_keys").alias("orphan_keys"),
                  F.col("to_rows").alias("orphan_rows")))).alias("x")) \
         .select("relationship", "x.side", "x.orphan_keys", "x.orphan_rows")
+
+
+def _comparable(df: DataFrame, column: str):
+    """A key as text that is equal exactly if the values are, with the kind of its type; numbers of any type compare as numbers."""
+    field = df.schema.fields[_position(df, column)]
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.NumericType):
+        exact = isinstance(field.dataType, (T.IntegralType, T.DecimalType))
+        return "number", (c.cast("decimal(38,10)").cast("string") if exact else F.coalesce(F.expr(f"try_cast(`{field.name}` AS decimal(38,10))").cast("string"), c.cast("string")))
+    kind = "time" if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) else field.dataType.simpleString()
+    return kind, c.cast("string")
+
+
+def all_orphans(tables: dict[str, DataFrame], relationships: list[tuple[str, str, str, str]]) -> DataFrame:
+    """E4 for many relationships (from_table, from_column, to_table, to_column) at once: (relationship, side, orphan_keys, orphan_rows).
+
+    Every table is read once, whatever the number of its relationships: each row gives a (value, column) entry per related column. One shuffle brings
+    together, per value, how many rows each column has it in: an inverted index from which all relationships are answered. A value that
+    fills a third of a column is one entry a task before the shuffle. Null keys relate to nothing. The number of columns is that of the relationships.
+    """
+    columns: dict[tuple[str, str], int] = {}
+    for a, b, c, d in relationships:
+        kinds = [_comparable(tables[t], x)[0] for t, x in ((a, b), (c, d))]
+        if kinds[0] != kinds[1]:
+            raise ValueError(f"{a}.{b} ({kinds[0]}) and {c}.{d} ({kinds[1]}) do not compare")
+        columns.setdefault((a, b), len(columns))
+        columns.setdefault((c, d), len(columns))
+    entries = None
+    for name in dict.fromkeys(t for t, _ in columns):
+        own = [(n, _comparable(tables[name], x)) for (t, x), n in columns.items() if t == name]
+        each = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.concat(F.lit(kind + ":"), value).alias("k")) for n, (kind, value) in own]))
+        part = tables[name].select(each.alias("e")).select("e.n", "e.k").where("k IS NOT NULL")
+        entries = part if entries is None else entries.unionByName(part)
+    index = entries.groupBy("k").agg(*[F.count_if(F.col("n") == n).alias(f"c{n}") for n in columns.values()])
+    sums, labels = [], []
+    for i, (a, b, c, d) in enumerate(relationships):
+        f, t = F.col(f"c{columns[a, b]}"), F.col(f"c{columns[c, d]}")
+        sums += [F.count_if((f > 0) & (t == 0)).alias(f"fk{i}"), F.coalesce(F.sum(F.when(t == 0, f)), F.lit(0)).alias(f"fr{i}"),
+                 F.count_if((t > 0) & (f == 0)).alias(f"tk{i}"), F.coalesce(F.sum(F.when(f == 0, t)), F.lit(0)).alias(f"tr{i}")]
+        name = F.lit(f"{a}.{b}->{c}.{d}").alias("relationship")
+        labels += [F.struct(name, F.lit(s).alias("side"), F.col(f"{s[0]}k{i}").alias("orphan_keys"), F.col(f"{s[0]}r{i}").cast("long").alias("orphan_rows")) for s in ("from", "to")]
+    return index.agg(*sums).select(F.explode(F.array(*labels)).alias("x")).select("x.*")
+
+
+def _unique(df: DataFrame, column: str) -> bool:
+    """Whether no non-null value of ``column`` repeats; a value is one row a task before the shuffle."""
+    c = F.col(f"`{df.columns[_position(df, column)]}`")
+    return not df.where(c.isNotNull()).groupBy(c.alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+
+
+def _bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def join_plan(tables: dict[str, DataFrame], relationships: list[tuple[str, str, str, str]]) -> tuple[str, list[tuple[str, str, str, str]]]:
+    """The table from which all others are looked up, and the hops (from_table, from_column, to_table, to_column) in the order to take them.
+
+    The relationships, taken without direction, must form a tree over ``tables``: a cycle or a table that none of them reaches is refused, as two ways between
+    tables, or none, give no single frame. Along every hop the far key must be unique (many to one), so a row of the first table
+    stays one row; a graph without such a table is refused. Smaller tables are joined first.
+    """
+    edges = list(dict.fromkeys(relationships))
+    near: dict[str, list[tuple[str, str, str]]] = {t: [] for t in tables}
+    group = {t: t for t in tables}
+
+    def root(t: str) -> str:
+        while group[t] != t:
+            t = group[t]
+        return t
+    for a, b, c, d in edges:
+        if a not in tables or c not in tables:
+            raise ValueError(f"relationship {a}.{b}->{c}.{d} names a table that is not there")
+        if root(a) == root(c):
+            raise ValueError(f"relationship {a}.{b}->{c}.{d} closes a cycle")
+        group[root(a)] = root(c)
+        near[a].append((b, c, d))
+        near[c].append((d, a, b))
+    apart = {root(t) for t in tables}
+    if len(apart) > 1:
+        raise ValueError(f"tables without a relationship between them: {sorted(apart)}")
+    known: dict[tuple[str, str], bool] = {}
+
+    def one(t: str, c: str) -> bool:
+        if (t, c) not in known:
+            known[t, c] = _unique(tables[t], c)
+        return known[t, c]
+
+    def hops(start: str):
+        """(from, column, to, column) of the tree seen from ``start``, or None if a far key repeats."""
+        out, seen, todo = [], {start}, [start]
+        while todo:
+            t = todo.pop()
+            for own, other, far in near[t]:
+                if other not in seen:
+                    if not one(other, far):
+                        return None
+                    seen.add(other)
+                    todo.append(other)
+                    out.append((t, own, other, far))
+        return out
+    size = {t: _bytes(df) for t, df in tables.items()}
+    for start in sorted(tables, key=lambda t: (-size[t], t)):  # the table with the most rows is the likeliest
+        way = hops(start)
+        if way is not None:
+            break
+    else:
+        raise ValueError("no table from which all others are looked up: keys repeat on both sides of some relationship")
+    ordered, joined = [], {start}
+    while way:
+        ready = [x for x in way if x[0] in joined]
+        hop = min(ready, key=lambda x: (size[x[2]], x[2]))
+        way.remove(hop)
+        joined.add(hop[2])
+        ordered.append(hop)
+    return start, ordered
+
+
+def join_graph(tables: dict[str, DataFrame], relationships: list[tuple[str, str, str, str]], **options) -> DataFrame:
+    """E3 over a workbook's whole relationship graph: one frame with a row per row of the table that ``join_plan`` starts from, columns named
+    ``table.column``; rows without a partner keep nulls. ``options`` go to ``apply_relationship``."""
+    def named(t: str) -> DataFrame:
+        return tables[t].toDF(*[f"{t}.{c}" for c in tables[t].columns])
+
+    def column(t: str, c: str) -> str:
+        return f"{t}.{tables[t].columns[_position(tables[t], c)]}"
+    start, ordered = join_plan(tables, relationships)
+    out = named(start)
+    for a, b, c, d in ordered:
+        out = apply_relationship(out, named(c), column(a, b), column(c, d), "left", **options)
+    return out

@@ -67,7 +67,7 @@ def _q(name: str) -> Column:
 
 
 def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff: str = "undeclared",
-                 collapse_midnight: bool = False, null_tokens=None, day_first: bool = False) -> TypedTable:
+                 collapse_midnight: bool = False, null_tokens=None, day_first: bool = False, profiler=None) -> TypedTable:
     """Plan and profile the typed projection of ``df``.
 
     ``declared`` maps column name (exact) -> workbook datatype. ``sniff`` picks which
@@ -79,7 +79,8 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
     settles 01/05/2024. Values that no layout fits become null and are counted as new nulls.
 
     Cost: one aggregate over the helper columns (skipped when no column needs a
-    column-wide decision), then a single projection.
+    column-wide decision), then a single projection. ``profiler(prepare, aggs, stage)`` may answer that aggregate otherwise,
+    for instance from kept profiles of files (see ``plans.profiles``): all of its parts merge (``profile.merged``).
     """
     if sniff not in SNIFF_MODES:
         raise ValueError(f"sniff must be one of {SNIFF_MODES}")
@@ -97,11 +98,11 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
             elif _is_text(dt):
                 plan["kind"] = "int_text"
                 plan["num"] = C.TextNumber(c, st, integer=True)
-                aggs[f"b{i}"] = F.coalesce(F.bool_or(plan["num"].integer_blocker), F.lit(False))
+                aggs[f"b{i}"] = F.bool_or(plan["num"].integer_blocker)
                 plan["sniff_if_kept"] = sniff != "none"     # sniffed only if the column stays text
             elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
                 plan["kind"] = "int_float"
-                aggs[f"b{i}"] = F.coalesce(F.bool_or(C.float_integer_blocker(c)), F.lit(False))
+                aggs[f"b{i}"] = F.bool_or(C.float_integer_blocker(c))
             else:
                 plan["kind"] = "keep_unsupported"
         elif d == "real":
@@ -126,13 +127,13 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
             if _is_text(dt) and sniff != "none":
                 plan["text_after"] = c
         if plan["kind"] == "none" and isinstance(dt, T.TimestampNTZType) and collapse_midnight:
-            aggs[f"m{i}"] = F.coalesce(F.bool_and(F.when(c.isNotNull(), is_midnight(c, dt))), F.lit(False))
+            aggs[f"m{i}"] = F.bool_and(F.when(c.isNotNull(), is_midnight(c, dt)))
         if plan["text_after"] is not None:
             _sniff_aggs(plan, st, aggs)
         plans.append(plan)
 
     prepared = st.apply(df)
-    prof = profile_row(prepared, aggs)
+    prof = profile_row(prepared, aggs) if profiler is None else profiler(st.apply, aggs, 1)
 
     # Rare second pass: declared-integer text columns the gate kept as text are sniffed too.
     kept = [p for p in plans if p.get("sniff_if_kept") and prof.get(f"b{p['i']}")]
@@ -143,7 +144,7 @@ def coerce_table(df: DataFrame, declared: dict[str, str] | None = None, *, sniff
             p["text_after"] = _q(p["name"])
             _sniff_aggs(p, st2, aggs2)
         prepared = st2.apply(prepared)
-        prof.update(profile_row(prepared, aggs2))
+        prof.update(profile_row(prepared, aggs2) if profiler is None else profiler(lambda d: st2.apply(st.apply(d)), aggs2, 2))
 
     exprs, names, decisions, flags = [], [], [], {}
     for plan in plans:
@@ -219,7 +220,7 @@ def _sniff_aggs(plan: dict, st, aggs: dict) -> None:
     shape = F.when(nn, F.when(p.ok, p.shape).otherwise(F.lit(0)))
     aggs[f"lo{i}"] = F.min(shape)
     aggs[f"hi{i}"] = F.max(shape)
-    aggs[f"mid{i}"] = F.coalesce(F.bool_and(F.when(nn & p.ok, p.midnight)), F.lit(False))
+    aggs[f"mid{i}"] = F.bool_and(F.when(nn & p.ok, p.midnight))
 
 
 def declared_lookup(table_columns: DataFrame, workbook_columns: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.operators.control import due_jobs, jobs
-from lakewright.plans.ingest import load_many, summarize
+from lakewright.plans.ingest import Tracker, load_many, summarize
 from lakewright.session import in_pool
 from lakewright.sinks.tables import drop_tables
 from lakewright.sources.jdbc import source_from_record
@@ -30,7 +30,7 @@ def refresh(spark: SparkSession, control, workbook: str, source=None, *, credent
     Schema sync compares the source catalog with the registered tables (case folded), drops targets that left the
     source, and loads the source's tables, narrowed by the user's stored filter: tables new at the source
     are loaded too. Types and sniffing stored at registration are applied again. If discovery fails the
-    registered list is used. ``tables`` reloads just those registered tables, without schema sync. A source listing zero tables is refused unless ``allow_drop_all``. Any error is
+    registered list is used. A workbook registered with ``track_changes`` has only changed tables and partitions written. ``tables`` reloads just those registered tables, without schema sync. A source listing zero tables is refused unless ``allow_drop_all``. Any error is
     recorded as a failed refresh before it is raised.
     """
     rec = control.get(workbook)
@@ -68,7 +68,7 @@ def _refresh(spark, control, rec: dict, source, *, tables, sniff, allow_drop_all
 
     results = load_many(spark, source, current, db, declared=rec.get("declared_by_table") or rec.get("declared_types") or {},
                         sniff=sniff or rec.get("sniff") or "undeclared", collapse_midnight=bool(rec.get("collapse_midnight")),
-                        parallel=parallel)
+                        parallel=parallel, partition_by=rec.get("partition_by"), tracker=Tracker(control, workbook) if rec.get("track_changes") else None)
     known = {t.lower() for t in registered}
     loaded = [r["table_name"] for r in results if r["status"] != "failed" or r["table_name"].lower() in known]
     if tables is None and sorted(loaded) != sorted(registered):

@@ -12,12 +12,13 @@ import threading
 import time
 import uuid
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewright.operators.control import check_schedule, public_view, registry_state
+from lakewright.operators.control import check_schedule, fold, public_view, registry_state
 from lakewright.sinks.tables import ensure_namespace, list_tables, namespace_location
 
 LOG_SCHEMA = T.StructType([
@@ -38,6 +39,8 @@ LOG_SCHEMA = T.StructType([
     T.StructField("sniff", T.StringType()),
     T.StructField("collapse_midnight", T.BooleanType()),
     T.StructField("partitioning", T.StringType()),
+    T.StructField("partition_by", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
+    T.StructField("track_changes", T.BooleanType()),
     T.StructField("connection_details", T.MapType(T.StringType(), T.StringType())),
     T.StructField("enable_scheduled_refresh", T.BooleanType()),
     T.StructField("refresh_interval_minutes", T.IntegerType()),
@@ -46,10 +49,18 @@ LOG_SCHEMA = T.StructType([
     T.StructField("has_secret", T.BooleanType()),
     T.StructField("status", T.StringType()),
     T.StructField("error", T.StringType()),
+    # of a ``snapshot``, the fold of all earlier events of its workbook
+    T.StructField("reg_seq", T.LongType()),
+    T.StructField("reg_ts", T.TimestampType()),
+    T.StructField("del_seq", T.LongType()),
+    T.StructField("refresh_count", T.LongType()),
+    T.StructField("last_refreshed_at", T.TimestampType()),
+    T.StructField("last_refresh_status", T.StringType()),
+    T.StructField("last_refresh_error", T.StringType()),
 ])
 REGISTER_ATTRS = ["file_name", "container_name", "workspace_id", "namespace", "data_mode", "source_type",
                   "tables", "table_filter", "declared_types", "declared_by_table", "sniff", "collapse_midnight",
-                  "partitioning", "connection_details",
+                  "partitioning", "partition_by", "track_changes", "connection_details",
                   "enable_scheduled_refresh", "refresh_interval_minutes", "downstream_id",
                   "migration_type", "has_secret"]
 PATCH_ATTRS = ["tables", "enable_scheduled_refresh", "refresh_interval_minutes", "downstream_id"]
@@ -66,6 +77,10 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("new_nulls", T.MapType(T.StringType(), T.LongType())),
     T.StructField("started_at", T.TimestampType()),
     T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("fingerprint", T.StringType()),
+    T.StructField("partitions_written", T.LongType()),
+    T.StructField("partitions_kept", T.LongType()),
+    T.StructField("partitions_dropped", T.LongType()),
 ])
 
 
@@ -73,6 +88,11 @@ RUN_LOG_SCHEMA = T.StructType([
 COMPACT_FILES = 200
 
 
+def _folder(name: str) -> str:
+    """A folder name for any workbook or table name."""
+    return quote(name, safe="") or "_"
+
+
 class _Versions:
     """A folder of numbered versions ``v00000, v00001, ...`` of one Parquet dataset.
 
@@ -137,6 +157,7 @@ class ControlLog:
         self.spark, self.db = spark, db
         ensure_namespace(spark, db)
         root = (location or namespace_location(spark, db)).rstrip("/")
+        self.root = root
         self.log = _Versions(spark, f"{root}/control_log_events")
         self.run_log = _Versions(spark, f"{root}/run_log_events")
 
@@ -190,8 +211,9 @@ class ControlLog:
 
     def log_runs(self, rows: list[dict]) -> None:
         if rows:
+            names = RUN_LOG_SCHEMA.fieldNames()
             with ControlLog._lock:
-                self.run_log.append(self.spark.createDataFrame(rows, RUN_LOG_SCHEMA))
+                self.run_log.append(self.spark.createDataFrame([{n: r.get(n) for n in names} for r in rows], RUN_LOG_SCHEMA))
 
     # ---------------------------------------------------------------- reads
     def _read(self, versions: _Versions, schema) -> DataFrame:
@@ -211,25 +233,34 @@ class ControlLog:
         return self.compact() if max(self.log.files(), self.run_log.files()) > most else None
 
     def compact(self) -> dict:
-        """Rewrite the log as a new version holding only events that still matter
-        (per workbook: its latest register and everything after it), and the run log, in as many files as
-        their size asks for. The state before and after is identical."""
+        """Fold the log into one ``snapshot`` event a registered workbook, in a new version, so its size follows the workbooks and not
+        the refreshes; the state before and after is identical. The run log is rewritten in as many files as its size asks for."""
         with ControlLog._lock:
             ev = self.events()
-            last_reg = ev.where(F.col("op") == "register").groupBy("workbook_name") \
-                .agg(F.max("seq").alias("__reg"))
-            kept = F.col("seq") >= F.col("__reg")          # null (never registered) -> dropped
-            # both counts are taken while the new version is written (no extra scans)
+            before = ev.count()
             obs = Observation(f"compact_{uuid.uuid4().hex}")
-            keep = ev.join(last_reg, "workbook_name", "left") \
-                .observe(obs, F.count(F.lit(1)).alias("before"), F.count_if(kept).alias("after")) \
-                .where(kept).select(*LOG_SCHEMA.fieldNames())
+            folded = fold(ev, REGISTER_ATTRS, PATCH_ATTRS).observe(obs, F.count(F.lit(1)).alias("after"))
             # the new version is written in full before the old one is removed
-            self.log.replace(keep)
+            self.log.replace(folded.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in folded.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                             for f in LOG_SCHEMA.fields]))
             # rebalanced by size: many small files become few, a long log stays in parallel
             self.run_log.replace(self.runs().hint("rebalance"))
             m = obs.get
-        return {"events_before": int(m.get("before") or 0), "events_after": int(m.get("after") or 0)}
+        return {"events_before": before, "events_after": int(m.get("after") or 0)}
+
+    def prints(self, workbook: str) -> dict[str, dict]:
+        """By table: fingerprint, rows and columns of the last run that left one (one row a table reaches the driver)."""
+        last = self.runs().where((F.col("workbook_name") == workbook) & F.col("fingerprint").isNotNull()) \
+            .groupBy("table_name").agg(F.max_by(F.struct("fingerprint", "rows", "columns"), "started_at").alias("r"))
+        return {r["table_name"]: r["r"].asDict() for r in last.collect()}
+
+    def profile_store(self, workbook: str, table: str) -> _Versions:
+        """Where the profiles of a source table's files are kept."""
+        return _Versions(self.spark, f"{self.root}/file_profiles/{_folder(workbook)}/{_folder(table)}")
+
+    def partition_store(self, workbook: str, table: str) -> _Versions:
+        """Where the fingerprints of a target's partitions are kept."""
+        return _Versions(self.spark, f"{self.root}/partition_prints/{_folder(workbook)}/{_folder(table)}")
 
     def state(self, include_deleted: bool = False) -> DataFrame:
         """K2: current records."""
@@ -258,6 +289,10 @@ class ControlLog:
                              .otherwise(F.coalesce(F.size("tables"), F.lit(0))))
 
     def export_json(self) -> str:
-        """The state as one JSON object keyed by workbook (inverse of ``load_registry_json``)."""
+        """The state as one JSON object keyed by workbook (inverse of ``load_registry_json``), for a registry that a person would read; see ``write_json``."""
         rows = self.state().collect()
         return json.dumps({r["workbook_name"]: r.asDict(recursive=True) for r in rows}, default=str)
+
+    def write_json(self, path: str) -> None:
+        """The state as JSON lines, one record a line, written by the executors: a registry of any size."""
+        self.state().write.mode("overwrite").option("ignoreNullFields", "false").json(path)

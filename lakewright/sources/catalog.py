@@ -3,7 +3,11 @@ sources, and composed sources used by flows and tests)."""
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class CatalogSource:
@@ -56,3 +60,42 @@ class DirectorySource:
             if r["clean_name"] == table:
                 return read_table_file(self.spark, r["table_path"], r["format"])
         raise KeyError(f"table '{table}' not found at source")
+
+    def _row(self, table: str):
+        for r in self._rows:
+            if r["clean_name"] == table:
+                return r
+        raise KeyError(f"table '{table}' not found at source")
+
+    def files(self, table: str) -> list[tuple[str, int, int]]:
+        """(uri, bytes, modification time) of the files of a table, from one listing."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._row(table)["table_path"])
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found, out = fs.listFiles(path, True), []
+        while found.hasNext():
+            st = found.next()
+            if not st.getPath().getName().startswith(("_", ".")):
+                out.append((plain_uri(st.getPath().toUri().toString()), st.getLen(), st.getModificationTime()))
+        return sorted(out)
+
+    def read_files(self, table: str, uris: list[str], file_column: str) -> DataFrame:
+        """Rows of some files of a table, with the uri of each row's file."""
+        whole = self.read(table)
+        raw = self.spark.read.format(self._row(table)["format"])
+        fields = raw.load(self._row(table)["table_path"]).schema
+        df = read_table_files(self.spark, uris, self._row(table)["format"], fields)
+        return df.toDF(*whole.columns, file_column)
+
+
+def plain_uri(uri: str) -> str:
+    """One spelling of a uri, whatever the number of slashes behind its scheme."""
+    return re.sub(r"^([A-Za-z][\w+.-]*):/+", r"\1:/", uri)
+
+
+def read_table_files(spark: SparkSession, uris: list[str], fmt: str, schema) -> DataFrame:
+    reader = spark.read.format(fmt).schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", "true")
+    file = F.regexp_replace(F.col("_metadata.file_path"), r"^([A-Za-z][\w+.-]*):/+", "$1:/")
+    # paths are given decoded: the reader takes them as paths, not as uris
+    return reader.load([unquote(u) for u in uris]).select("*", file.alias("__file"))

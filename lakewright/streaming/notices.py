@@ -7,13 +7,15 @@ stays bounded by the notices of the last few minutes.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.operators.control import LATE_START_SECONDS
 from lakewright.operators.dedupe import first_wins
 from lakewright.session import scratch_path
-from lakewright.sinks.tables import ensure_namespace, write_batch_partition
+from lakewright.sinks.tables import _fs_path, ensure_namespace, write_batch_partition
 
 
 def dedupe_notices(notices: DataFrame, lateness: str = f"{LATE_START_SECONDS} seconds") -> DataFrame:
@@ -41,23 +43,40 @@ def refresh_named(spark: SparkSession, control, sources: dict | None = None, cre
     return on_batch
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name that lives and dies with the checkpoint: a restart from it has the same one, a new or emptied checkpoint another."""
+    path, fs = _fs_path(spark, f"{checkpoint.rstrip('/')}/lakewright_stream_id")
+    jvm = spark.sparkContext._jvm
+    if not fs.exists(path):
+        out = fs.create(path)
+        out.write(bytearray(uuid.uuid4().hex.encode()))
+        out.close()
+    stream = fs.open(path)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
 def start_notice_stream(spark: SparkSession, notices: DataFrame, db: str, table: str = "refresh_notices", *,
                         on_batch=None, trigger: dict | None = None, checkpoint: str | None = None):
     """Deduplicate a notice stream and record what each batch accepts, one row a workbook; ``on_batch(df, epoch)``
-    may start the refreshes (see ``refresh_named``)."""
+    may start the refreshes (see ``refresh_named``). A batch is a partition named by the stream's id and the epoch: a retried one
+    replaces its earlier attempt, and a stream with another checkpoint adds to the table."""
     ensure_namespace(spark, db)
+    ckpt = checkpoint or scratch_path(spark, "streams", f"{db}.{table}")
+    name = stream_id(spark, ckpt)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         batch = merged(batch)
         if on_batch is not None:
             batch = batch.persist()
         try:
-            write_batch_partition(batch.withColumn("__batch", F.lit(int(epoch_id)).cast("long")), db, table, "__batch")
+            write_batch_partition(batch.withColumn("__batch", F.lit(f"{name}-{epoch_id:09d}")), db, table, "__batch")
             if on_batch is not None:
                 on_batch(batch, epoch_id)
         finally:
             batch.unpersist()
 
-    ckpt = checkpoint or scratch_path(spark, "streams", f"{db}.{table}")
     return (dedupe_notices(notices).writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -7,7 +7,8 @@ counted into the run log; ``retype`` applies the batch rules to a whole target l
 
 Exactly once on plain Parquet: each batch is written once, to a folder of its own, and becomes visible as one
 catalog partition. A ledger names the source files of each visible folder, and files that it names are not
-loaded again, whatever became of the checkpoint. Folders are merged when there are many.
+loaded again, whatever became of the checkpoint; a ledger that can't be read fails the batch. When there are many folders the batch that
+adds the last of them merges them, and the ledger is rewritten without what it said of folders that are gone.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from lakewright.functions import coerce as C
 from lakewright.operators.typing import coerce_table
+from lakewright.plans.registry import _Versions
 from lakewright.session import scratch_path
 from lakewright.sinks.tables import (create_entry, delete_path, ensure_namespace, exchange_entry, ident, namespace_location,
                                      sql_text, table_exists, write_table)
@@ -28,7 +30,7 @@ from lakewright.sinks.tables import (create_entry, delete_path, ensure_namespace
 BATCH_COLUMN, FILE_COLUMN, MISFITS = "__batch", "__file", "__misfits"
 OWN = (FILE_COLUMN, MISFITS, BATCH_COLUMN)
 LEDGER = "batch string, file string"
-#: Folders of a target that are merged into one when a stream starts.
+#: Folders of a target that are merged into one, by the batch that reaches this number or when a stream starts.
 MAX_BATCHES = 100
 
 
@@ -82,16 +84,17 @@ def typed_batch(batch: DataFrame, declared: dict[str, str]) -> tuple[DataFrame,
 class _BatchWriter:
     """foreachBatch sink of one target."""
 
-    def __init__(self, spark: SparkSession, db: str, table: str, declared: dict[str, str], control=None, workbook: str = ""):
+    def __init__(self, spark: SparkSession, db: str, table: str, declared: dict[str, str], control=None, workbook: str = "", max_batches: int = MAX_BATCHES):
         self.spark, self.db, self.table, self.declared = spark, db, table, declared
-        self.control, self.workbook = control, workbook
+        self.control, self.workbook, self.max_batches = control, workbook, max_batches
         self.root = f"{namespace_location(spark, db)}/_streams/{table.lower()}"
 
+    def ledger(self, spark) -> _Versions:
+        return _Versions(spark, f"{self.root}/ledger")
+
     def _ledger(self, spark) -> DataFrame:
-        try:
-            return spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
-        except Exception:  # noqa: BLE001 - no batch yet
-            return spark.createDataFrame([], LEDGER)
+        path = self.ledger(spark).current()
+        return spark.createDataFrame([], LEDGER) if path is None else spark.read.schema(LEDGER).parquet(path)
 
     def loaded(self, spark) -> DataFrame:
         """Files of visible batches."""
@@ -113,7 +116,8 @@ class _BatchWriter:
             delete_path(spark, folder)
             return
         done = spark.read.schema(typed.schema).parquet(folder)
-        done.select(F.lit(name).alias("batch"), F.col(FILE_COLUMN).alias("file")).distinct().write.mode("append").parquet(f"{self.root}/ledger")
+        named = done.select(F.lit(name).alias("batch"), F.col(FILE_COLUMN).alias("file")).distinct()
+        self.ledger(spark).append(named)
         if not table_exists(spark, self.db, self.table):
             schema = T.StructType([*typed.schema.fields, T.StructField(BATCH_COLUMN, T.StringType())])
             create_entry(spark, ident(self.db, self.table), schema, "parquet", f"{self.root}/none", [BATCH_COLUMN])
@@ -124,6 +128,8 @@ class _BatchWriter:
             self.control.log_runs([{"run_id": name, "workbook_name": self.workbook, "table_name": self.table, "pos": 0, "rows": rows,
                                     "columns": len(typed.columns) - 2, "status": "success", "error": None, "new_nulls": lost,
                                     "started_at": started, "duration_seconds": (datetime.now(timezone.utc) - started).total_seconds()}])
+        if len(batches(spark, self.db, self.table)) >= self.max_batches:
+            merge_batches(spark, self.db, self.table)
 
 
 def batches(spark: SparkSession, db: str, table: str) -> list[str]:
@@ -134,15 +140,18 @@ def batches(spark: SparkSession, db: str, table: str) -> list[str]:
 
 
 def merge_batches(spark: SparkSession, db: str, table: str) -> str:
-    """Rewrite a stream target as one batch and exchange the table entries; rows and loaded files stay the same."""
+    """Rewrite a stream target as one batch and exchange the table entries; rows and loaded files stay the same.
+
+    The ledger's next version names the visible files under the old batches and under the new one, so it holds whichever of the two entries a
+    crash leaves; what it said of batches merged before is gone."""
     writer = _BatchWriter(spark, db, table, {})
     name = uuid.uuid4().hex
     folder = f"{writer.root}/data/{name}"
     source = spark.table(ident(db, table))
     old = batches(spark, db, table)
     source.drop(BATCH_COLUMN).write.parquet(folder)
-    files = writer.loaded(spark).select(F.lit(name).alias("batch"), "file")
-    files.write.mode("append").parquet(f"{writer.root}/ledger")
+    kept = writer._ledger(spark).join(F.broadcast(spark.createDataFrame([(b,) for b in old], "batch string")), "batch", "left_semi")
+    writer.ledger(spark).replace(kept.unionByName(writer.loaded(spark).select(F.lit(name).alias("batch"), "file")).hint("rebalance"))
     fresh = ident(db, f"__new_{name}")
     create_entry(spark, fresh, source.schema, "parquet", f"{writer.root}/none", [BATCH_COLUMN])
     spark.sql(f"ALTER TABLE {fresh} ADD PARTITION ({BATCH_COLUMN}='{name}') LOCATION '{sql_text(folder)}'")
@@ -177,6 +186,6 @@ def start_refresh_stream(spark: SparkSession, path: str, schema: T.StructType, d
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(path).select("*", F.col("_metadata.file_path").alias(FILE_COLUMN))
     ckpt = checkpoint or scratch_path(spark, "streams", f"{db}.{table}")
-    writer = _BatchWriter(spark, db, table, declared or {}, control, workbook)
+    writer = _BatchWriter(spark, db, table, declared or {}, control, workbook, max_batches)
     return (stream.writeStream.foreachBatch(writer).option("checkpointLocation", ckpt)
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -415,7 +415,17 @@ SELECT 'orders.o_custkey->customer.c_custkey', 'to', count(*), CAST(COALESCE(sum
 FROM ck WHERE k NOT IN (SELECT k FROM ok)
 """
 
-Q["workbook_listing"] = "SELECT count(*) AS workbooks, count(*) AS paths, count(*) AS readable FROM nation"
+Q["workbook_listing"] = """
+SELECT CASE WHEN s_suppkey % 4 = 0 THEN s_name || '.v2' ELSE s_name END AS workbook, CAST(s_suppkey % 9 + 1 AS BIGINT) AS length, CAST(NULL AS VARCHAR) AS error
+FROM supplier WHERE s_suppkey % 3 < 2
+"""
+
+Q["workbook_read"] = f"""
+WITH {WB}
+SELECT workbook, k % 3 = 0 AND length(workbook) % 2 = 0 AS has_extract, CAST(NULL AS VARCHAR) AS error, true AS has_document,
+       CAST(CASE WHEN wellformed AND NOT (k % 3 = 0 AND k % 19 = 0) THEN 3 ELSE 0 END AS BIGINT) AS n_columns
+FROM wb
+"""
 
 Q["ingest_flow"] = """
 SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey,
@@ -439,4 +449,53 @@ SELECT 'wb_' || CAST(user_id AS VARCHAR) AS workbook_name, string_agg(DISTINCT e
 FROM events GROUP BY user_id
 """
 
+Q["change_only_refresh"] = """
+SELECT year(l_shipdate)::INTEGER AS year, count(*) AS rows,
+       CAST(sum(CAST(l_quantity + CASE WHEN year(l_shipdate) = 1994 THEN 1 ELSE 0 END AS DECIMAL(18, 2))) AS DOUBLE) AS quantity,
+       CAST(sum(l_orderkey) AS BIGINT) AS orderkeys, year(l_shipdate) NOT IN (1994, 1998) AS files_kept
+FROM lineitem WHERE year(l_shipdate) <> 1996 GROUP BY year(l_shipdate)
+"""
+
+Q["keyed_upsert"] = """
+WITH s AS (
+  SELECT o_orderkey, o_custkey, year(o_orderdate) BETWEEN 1993 AND 1995 AS some, year(o_orderdate)::INTEGER AS y, o_totalprice
+  FROM orders WHERE year(o_orderdate) <> 1992)
+SELECT o_orderkey, o_custkey, CASE WHEN some AND o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN some AND o_orderkey % 11 = 0 THEN 1999 ELSE y END AS year, NOT some AS files_kept
+FROM s WHERE NOT (some AND o_orderkey % 5 = 0)
+"""
+
+Q["registry_folded"] = Q["registry_state"]
+
+Q["profile_new_files"] = """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 10 <> 3) AS early FROM orders)
+SELECT ingest, "column", type, CASE ingest WHEN 1 THEN early ELSE n END AS rows, CASE ingest WHEN 1 THEN early ELSE n END AS "values"
+FROM n, (VALUES (1, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (1, 'o_totalprice', 'double'), (1, 'o_orderdate', 'date'), (1, 'o_orderpriority', 'string'),
+                (2, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'string'), (2, 'o_totalprice', 'double'), (2, 'o_orderdate', 'string'), (2, 'o_orderpriority', 'string'))
+  AS v(ingest, "column", type)
+"""
+
+_RELATED = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey")]
+_SHOWN = {"orders": "(SELECT * FROM orders WHERE o_orderkey % 4 <> 0)", "part": "(SELECT * FROM part WHERE p_partkey % 5 <> 0)",
+          "customer": "(SELECT * REPLACE (CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey END AS c_nationkey) FROM customer)"}
+
+
+def _orphans(name: str, side: str, table: str, column: str, other: str, far: str) -> str:
+    return f"""
+SELECT '{name}' AS relationship, '{side}' AS side, count(DISTINCT {column}) AS orphan_keys, count({column}) AS orphan_rows
+FROM {_SHOWN.get(table, table)} WHERE {column} NOT IN (SELECT {far} FROM {_SHOWN.get(other, other)} WHERE {far} IS NOT NULL)"""
+
+
+Q["relationship_orphans_all"] = "UNION ALL".join(
+    _orphans(f"{a}.{b}->{c}.{d}", side, *args) for a, b, c, d in _RELATED for side, args in (("from", (a, b, c, d)), ("to", (c, d, a, b))))
+
+Q["relationship_graph"] = """
+SELECT n_name AS nation, c_mktsegment AS segment, p_brand AS brand, count(*) AS rows, count(o_orderkey) AS with_order, count(s_suppkey) AS with_supplier,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS quantity
+FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 4 <> 0) ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
+LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+GROUP BY ALL
+"""
+
 ORACLE_SQL = Q

@@ -15,22 +15,24 @@ from pyspark.sql import functions as F
 
 from lakewright.functions import names as N
 from lakewright.functions.types import declared_spark_type, inferred_type_from_name
-from lakewright.operators.control import due_jobs, jobs, public_view, registry_state, run_rollup
+from lakewright.operators.control import due_jobs, fold, jobs, public_view, registry_state, run_rollup
 from lakewright.operators.dedupe import first_wins, first_wins_casefold, top_n_per_group
+from lakewright.operators.fingerprint import snapshot_changes
 from lakewright.operators.profile import column_profile
-from lakewright.operators.relate import apply_relationship, relationship_orphans
+from lakewright.operators.relate import all_orphans, apply_relationship, join_graph, relationship_orphans
 from lakewright.operators.sync import catalog_diff
 from lakewright.operators.typing import coerce_table
 from lakewright.operators.workbook import (parse_errors, workbook_columns, workbook_connections,
                                            workbook_relationships, workbook_tables)
 from lakewright.plans.ingest import ingest, select_tables, table_results_frame
+from lakewright.plans.incremental import upsert
 from lakewright.plans.refresh import refresh
 from lakewright.plans.registry import ControlLog
 from lakewright.session import scratch_path
-from lakewright.sinks.tables import ensure_namespace, write_table
+from lakewright.sinks.tables import drop_tables, ensure_namespace, write_table
 from lakewright.sources.catalog import DirectorySource, FrameSource
 from lakewright.sources.files import read_table_file
-from lakewright.sources.workbooks import list_workbook_files
+from lakewright.sources.workbooks import list_workbook_files, read_workbooks
 from lakewright.suite.inputs import (customer_workbooks, date_text, events_as_control_log, pick, table,
                                      ts_text)
 
@@ -415,15 +417,119 @@ def relationship_orphans_q(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- files
-def workbook_listing(spark, sf_dir):
-    """Workbook files written from ``nation``, one a row, beside files of another kind; content not read."""
+def profile_new_files(spark, sf_dir):
+    """Orders as text in a directory of files; a second batch of files, in which an integer column has fractions and a date column
+    other text, is ingested with the first batch's profiles kept. Per column: type after each ingest; the second profiled new files only."""
+    o = table(spark, sf_dir, "orders")
+    text = _text_copy(o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"))
+    late = F.col("o_orderkey").cast("long") % 10 == 3
+    root = scratch_path(spark, "suite_files", unique=True)
+    db, wb = f"{SUITE_DB}_profiles", "suite_profiles"
+    control = ControlLog(spark, f"{SUITE_DB}_control", location=scratch_path(spark, "suite_control", unique=True))
+    declared = {"o_orderkey": "integer", "o_custkey": "integer", "o_totalprice": "real"}
+    out = None
+    for n in range(2):
+        part = text.where(late if n else ~late)
+        if n:
+            part = part.withColumn("o_custkey", F.concat("o_custkey", F.lit(".5"))).withColumn("o_orderdate", F.concat("o_orderdate", F.lit(" or so")))
+        part.repartition(3).write.mode("append").parquet(f"{root}/data/orders.parquet")
+        res = ingest(spark, DirectorySource(spark, f"{root}/data"), db, workbook=wb, declared=declared, control=control, track_changes=True)
+        if res["status"] != "success" or res["tables"][0]["files_profiled"] != 3:
+            raise RuntimeError(f"ingest {n} did not profile three new files: {res['tables']}")
+        t = spark.table(f"{db}.orders")
+        types = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(d).alias("type"), F.count(F.lit(1)).alias("rows"), F.count(c).alias("values")) for c, d in t.dtypes])
+        found = t.agg(types.alias("x")).select(F.lit(n + 1).alias("ingest"), F.explode("x").alias("x")).select("ingest", "x.*")
+        out = spark.createDataFrame(found.collect(), found.schema) if out is None else out.unionByName(found)
+    return out
+
+
+def _write_files(root):
+    """Writes each (name, content) below ``root`` as a file of that name."""
+    def run(batches):
+        from pyarrow import fs
+        store, base = fs.FileSystem.from_uri(root)
+        for pdf in batches:
+            for name, content in zip(pdf["name"], pdf["content"]):
+                with store.open_output_stream(f"{base}/{name}") as f:
+                    f.write(content)
+            yield pdf[["name"]]
+    return run
+
+
+def _zipped(batches):
+    """Every ``packaged`` content as an archive that holds it as a member, some with an extract beside it."""
+    import io
+    import zipfile
+    for pdf in batches:
+        out = []
+        for name, content, packaged in zip(pdf["name"], pdf["content"], pdf["packaged"]):
+            if packaged:
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w") as z:
+                    if len(name) % 2:
+                        z.writestr("Data/Extract.hyper", b"x")
+                    z.writestr("book.twb", bytes(content))
+                content = buffer.getvalue()
+            out.append(content)
+        yield pdf[["name"]].assign(content=out)
+
+
+def _workbook_folder(spark, docs):
+    """``docs`` (name, content, packaged) written as files by the executors; the folder."""
     root = scratch_path(spark, "suite_files", unique=True)
-    docs = table(spark, sf_dir, "nation").select(F.format_string("<workbook><column name='%s'/></workbook>", F.col("n_name")).alias("xml"))
-    docs.write.option("extension", "twb").option("quote", "").option("maxRecordsPerFile", "1").csv(f"{root}/books")
-    docs.write.parquet(f"{root}/other")
-    listed = list_workbook_files(spark, root)
-    return listed.agg(F.count(F.lit(1)).alias("workbooks"), F.countDistinct("path").alias("paths"),
-                      F.count_if((F.col("length") > 0) & F.col("error").isNull()).alias("readable"))
+    root = root if "://" in root or root.startswith("file:") else f"file://{root}"
+    packed = docs.mapInPandas(_zipped, "name string, content binary")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    packed.mapInPandas(_write_files(root), "name string").agg(F.count(F.lit(1))).collect()
+    return root
+
+
+def workbook_listing(spark, sf_dir):
+    """One file a supplier under the supplier's name, two in three with a workbook suffix in either case; content not read."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    suffix = F.when(k % 3 == 0, ".twb").when(k % 3 == 1, ".TWBX").otherwise(".txt")
+    stem = F.when(k % 4 == 0, F.concat("s_name", F.lit(".v2"))).otherwise(F.col("s_name"))
+    docs = s.select(F.concat(stem, suffix).alias("name"), F.encode(F.repeat(F.lit("x"), (k % 9 + 1).cast("int")), "UTF-8").alias("content"), F.lit(False).alias("packaged"))
+    listed = list_workbook_files(spark, _workbook_folder(spark, docs.repartition(8)))
+    return listed.select("workbook", F.col("length").cast("long").alias("length"), "error")
+
+
+def workbook_read(spark, sf_dir):
+    """A2, A10: a customer's workbook a file, every third one packaged, every 19th without content: what each file holds, and how many columns it declares."""
+    corpus = customer_workbooks(table(spark, sf_dir, "customer")).withColumn("k", F.regexp_extract("workbook", "[0-9]+", 0).cast("long"))
+    packaged = F.col("k") % 3 == 0
+    content = F.when((F.col("k") % 19 == 0) & packaged, F.lit(b"")).otherwise(F.col("content"))
+    docs = corpus.select(F.concat("workbook", F.when(packaged, ".twbx").otherwise(".twb")).alias("name"), content.alias("content"), packaged.alias("packaged"))
+    read = read_workbooks(spark, _workbook_folder(spark, docs.repartition(8)))
+    columns = workbook_columns(read.where("error IS NULL").select("workbook", "content")).groupBy("workbook").agg(F.count(F.lit(1)).alias("n_columns"))
+    return read.join(columns, "workbook", "left").select("workbook", "has_extract", "error", F.col("content").isNotNull().alias("has_document"), F.coalesce("n_columns", F.lit(0)).alias("n_columns"))
+
+
+RELATIONSHIPS = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+                 ("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey")]
+
+
+def relationship_orphans_all(spark, sf_dir):
+    """E4 for a whole workbook: five relationships from one inverted index; some orders, parts and customers are left out."""
+    names = dict.fromkeys(t for r in RELATIONSHIPS for t in (r[0], r[2]))
+    tables = {n: table(spark, sf_dir, n) for n in names}
+    tables["orders"] = tables["orders"].where("o_orderkey % 4 <> 0")
+    tables["part"] = tables["part"].where("p_partkey % 5 <> 0")
+    tables["customer"] = tables["customer"].withColumn("c_nationkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_nationkey")))
+    return all_orphans(tables, RELATIONSHIPS)
+
+
+def relationship_graph(spark, sf_dir):
+    """E3 over a workbook's relationship graph: lineitem with its order, part, supplier, customer and nation as one frame."""
+    tables = {n: table(spark, sf_dir, n) for n in dict.fromkeys(t for r in RELATIONSHIPS for t in (r[0], r[2]))}
+    tables["orders"] = tables["orders"].where("o_orderkey % 4 <> 0")
+    j = join_graph(tables, [(c, d, a, b) if n % 2 else (a, b, c, d) for n, (a, b, c, d) in enumerate(RELATIONSHIPS)])
+    return j.groupBy(F.col("`nation.n_name`").alias("nation"), F.col("`customer.c_mktsegment`").alias("segment"), F.col("`part.p_brand`").alias("brand")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("`orders.o_orderkey`").alias("with_order"), F.count("`supplier.s_suppkey`").alias("with_supplier"),
+        F.sum(F.col("`lineitem.l_quantity`").cast("decimal(18,2)")).cast("double").alias("quantity"))
 
 
 # ---------------------------------------------------------------- flows
@@ -489,18 +595,84 @@ def refresh_stream(spark, sf_dir):
 
 
 def notice_dedupe_stream(spark, sf_dir):
-    """M2: events as change notices; accepted notices per workbook with all tables that they name."""
+    """M2: events as change notices, those of even and odd users through two streams with checkpoints of their own into
+    one table; accepted notices per workbook with all tables that they name."""
     from lakewright.streaming.notices import start_notice_stream
     schema = table(spark, sf_dir, "events").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    notices = ev.select(F.concat(F.lit("wb_"), F.col("user_id").cast("string")).alias("workbook_name"),
-                        F.array("event_type").alias("tables"), F.col("ts").cast("timestamp").alias("ts"))
     name = f"notices_{uuid.uuid4().hex[:8]}"
-    q = start_notice_stream(spark, notices, SUITE_DB, name)
-    q.awaitTermination()
+    for half in range(2):
+        ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).where(F.col("user_id") % 2 == half)
+        notices = ev.select(F.concat(F.lit("wb_"), F.col("user_id").cast("string")).alias("workbook_name"),
+                            F.array("event_type").alias("tables"), F.col("ts").cast("timestamp").alias("ts"))
+        start_notice_stream(spark, notices, SUITE_DB, name, checkpoint=scratch_path(spark, "suite_notices", unique=True)).awaitTermination()
     return spark.table(f"{SUITE_DB}.{name}").select("workbook_name", F.array_join("tables", ",").alias("tables"))
 
 
+def _year_files(spark, name):
+    """Per ship or order year of a partitioned target, a digest of its files' names."""
+    return spark.table(name).groupBy("year").agg(F.md5(F.array_join(F.sort_array(F.collect_set(F.input_file_name())), ",")).alias("files"))
+
+
+def change_only_refresh(spark, sf_dir):
+    """L2, L4, B1: lineitem by ship year, registered with change tracking; a refresh from equal rows writes nothing, one from a snapshot
+    in which 1994 changed, 1996 went and 1998 came rewrites 1994 and 1998 alone. Per year: content, and whether its files stayed."""
+    li = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    db, wb = f"{SUITE_DB}_changes", "suite_changes"
+    control = ControlLog(spark, f"{SUITE_DB}_control", location=scratch_path(spark, "suite_control", unique=True))
+    drop_tables(spark, db, ["lineitem"]) if spark.catalog.databaseExists(db) else None
+    first = li.where("year <> 1998")
+    declared = {"l_orderkey": "integer", "l_quantity": "real"}
+    ingest(spark, FrameSource({"lineitem": first}), db, workbook=wb, declared=declared, control=control, partition_by={"lineitem": ["year"]}, track_changes=True)
+    before = scratch_path(spark, "suite_files", unique=True)
+    _year_files(spark, f"{db}.lineitem").write.parquet(before)
+    again = refresh(spark, control, wb, FrameSource({"lineitem": first.repartition(3)}))
+    if [t["status"] for t in again["tables"]] != ["unchanged"]:
+        raise RuntimeError(f"an unchanged table was written: {again['tables']}")
+    second = li.where("year <> 1996").withColumn("l_quantity", F.when(F.col("year") == 1994, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    done = refresh(spark, control, wb, FrameSource({"lineitem": second}))
+    if done["status"] != "success":
+        raise RuntimeError(f"refresh failed: {done}")
+    now, was = _year_files(spark, f"{db}.lineitem"), spark.read.parquet(before).withColumnRenamed("files", "was")
+    content = spark.table(f"{db}.lineitem").groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"),
+                                                             F.sum("l_orderkey").alias("orderkeys"))
+    return content.join(now, "year").join(was, "year", "left").select("year", "rows", "quantity", "orderkeys", F.coalesce(F.col("files") == F.col("was"), F.lit(False)).alias("files_kept"))
+
+
+def keyed_upsert(spark, sf_dir):
+    """K1, B1 on a target: two snapshots of orders, compared by key, merged into the target of the first. Orders of 1993 to 1995 were
+    inserted, updated and deleted, some moved to 1999, all of 1992 went; other years keep their files."""
+    o = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    k, db, name = F.col("o_orderkey"), f"{SUITE_DB}_upsert", "orders"
+    ensure_namespace(spark, db)
+    drop_tables(spark, db, [name])
+    some = F.col("year").between(1993, 1995)
+    old = o.where(~(some & (k % 7 == 0)))
+    new = o.where("year <> 1992").where(~(some & (k % 5 == 0)))
+    new = new.withColumn("o_totalprice", F.when(some & (k % 3 == 0), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    new = new.withColumn("year", F.when(some & (k % 11 == 0), F.lit(1999)).otherwise(F.col("year")))
+    write_table(spark, old, db, name, partition_by=["year"])
+    before = scratch_path(spark, "suite_files", unique=True)
+    _year_files(spark, f"{db}.{name}").write.parquet(before)
+    changes = snapshot_changes(old, new, ["o_orderkey"]).withColumn("gone", F.col("change") == "delete").drop("change")
+    upsert(spark, changes, db, name, ["o_orderkey"], deleted="gone")
+    now, was = _year_files(spark, f"{db}.{name}"), spark.read.parquet(before).withColumnRenamed("files", "was")
+    kept = now.join(was, "year", "left").select("year", F.coalesce(F.col("files") == F.col("was"), F.lit(False)).alias("files_kept"))
+    return spark.table(f"{db}.{name}").join(kept, "year").select("o_orderkey", "o_custkey", "o_totalprice", "year", "files_kept")
+
+
+def registry_folded(spark, sf_dir):
+    """The events cut in three by time; each part is folded with the snapshots so far, and the state is that of all events."""
+    log = events_as_control_log(table(spark, sf_dir, "events"))
+    a, b = log.select(F.percentile_approx("seq", [0.33, 0.8]).alias("p")).first().p
+    folded = fold(log.where(F.col("seq") <= a), REG_ATTRS, PATCH_ATTRS)
+    folded = fold(folded.unionByName(log.where(F.col("seq").between(a + 1, b)), allowMissingColumns=True), REG_ATTRS, PATCH_ATTRS)
+    st = registry_state(folded.unionByName(log.where(F.col("seq") > b), allowMissingColumns=True), REG_ATTRS, PATCH_ATTRS)
+    return st.select("workbook_name", "source_type", "enable_scheduled_refresh", "refresh_interval_minutes",
+                     ts_text("last_migrated_at").alias("last_migrated_at"),
+                     ts_text("last_refreshed_at").alias("last_refreshed_at"),
+                     "last_refresh_status", "last_refresh_error", "refresh_count")
+
+
 QUERIES = {
     "scan_select_all": scan_select_all,
     "source_catalog_list": source_catalog_list,
@@ -541,4 +713,11 @@ QUERIES = {
     "refresh_flow": refresh_flow,
     "refresh_stream": refresh_stream,
     "notice_dedupe_stream": notice_dedupe_stream,
+    "change_only_refresh": change_only_refresh,
+    "keyed_upsert": keyed_upsert,
+    "registry_folded": registry_folded,
+    "workbook_read": workbook_read,
+    "profile_new_files": profile_new_files,
+    "relationship_orphans_all": relationship_orphans_all,
+    "relationship_graph": relationship_graph,
 }

@@ -99,3 +99,44 @@ def test_notices_keep_every_named_table(spark, tmp_path):
     assert {r.workbook_name: r.tables for r in spark.table("t_stream.notices").collect()} == {"a": ["x", "y"], "b": None}
     sizes = {f"{wb}.{n}": spark.table(f"t_notice_{wb}.{n}").count() for wb in ("a", "b") for n in ("x", "y", "z")}
     assert sizes == {"a.x": 2, "a.y": 2, "a.z": 1, "b.x": 2, "b.y": 2, "b.z": 2}
+
+
+def test_a_running_stream_merges_and_prunes(spark, stream):
+    """Batches are merged as they come; the ledger names no batch that is gone, and files still load once."""
+    from lakewright.streaming.refresh_stream import _BatchWriter
+    for i in range(7):
+        stream["add"]((str(i), "1", "2024-01-01", "a"))
+    assert stream["run"](max_batches=3).count() == 7
+    visible = batches(spark, "t_stream", stream["name"])
+    assert len(visible) <= 3
+    ledger = _BatchWriter(spark, "t_stream", stream["name"], {})._ledger(spark)
+    assert ledger.select("file").distinct().count() == 7 and ledger.count() <= 2 * 7 + 3
+    assert stream["run"](checkpoint="lost", max_batches=3).count() == 7
+
+
+def test_a_ledger_that_cannot_be_read_fails_the_batch(spark, stream):
+    from pathlib import Path
+
+    from lakewright.streaming.refresh_stream import _BatchWriter
+    stream["add"](("1", "1", "2024-01-01", "a"))
+    assert stream["run"]().count() == 1
+    path = Path(_BatchWriter(spark, "t_stream", stream["name"], {}).ledger(spark).current().removeprefix("file:"))
+    for f in path.glob("part-*"):
+        f.write_bytes(b"no parquet")
+    for f in path.glob(".part-*.crc"):
+        f.write_bytes(b"")
+    stream["add"](("2", "1", "2024-01-01", "a"))
+    with pytest.raises(Exception):
+        stream["run"](checkpoint="lost")
+    assert spark.table(f"t_stream.{stream['name']}").count() == 1
+
+
+def test_another_checkpoint_keeps_old_notices(spark, tmp_path):
+    t = dt.datetime(2024, 1, 1)
+    schema = "workbook_name string, tables array<string>, ts timestamp"
+    for n, wb in enumerate("ab"):
+        landing = str(tmp_path / f"n{n}")
+        spark.createDataFrame([(wb, ["x"], t)], schema).write.parquet(landing)
+        for _ in range(2):  # a restart from the checkpoint adds nothing
+            start_notice_stream(spark, spark.readStream.schema(schema).parquet(landing), "t_stream", "kept_notices", checkpoint=str(tmp_path / f"ck{n}")).awaitTermination()
+    assert sorted(r.workbook_name for r in spark.table("t_stream.kept_notices").collect()) == ["a", "b"]
