@@ -458,11 +458,11 @@ FROM lineitem WHERE year(l_shipdate) <> 1996 GROUP BY year(l_shipdate)
 
 Q["keyed_upsert"] = """
 WITH s AS (
-  SELECT o_orderkey, o_custkey, year(o_orderdate) BETWEEN 1993 AND 1995 AS some, year(o_orderdate)::INTEGER AS y, o_totalprice
+  SELECT o_orderkey, o_custkey, year(o_orderdate) BETWEEN 1993 AND 1995 AS touched, year(o_orderdate)::INTEGER AS y, o_totalprice
   FROM orders WHERE year(o_orderdate) <> 1992)
-SELECT o_orderkey, o_custkey, CASE WHEN some AND o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-       CASE WHEN some AND o_orderkey % 11 = 0 THEN 1999 ELSE y END AS year, NOT some AS files_kept
-FROM s WHERE NOT (some AND o_orderkey % 5 = 0)
+SELECT o_orderkey, o_custkey, CASE WHEN touched AND o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN touched AND o_orderkey % 11 = 0 THEN 2050 ELSE y END AS year, NOT touched AS files_kept
+FROM s WHERE NOT (touched AND o_orderkey % 5 = 0)
 """
 
 Q["registry_folded"] = Q["registry_state"]
@@ -471,7 +471,7 @@ Q["profile_new_files"] = """
 WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 10 <> 3) AS early FROM orders)
 SELECT ingest, "column", type, CASE ingest WHEN 1 THEN early ELSE n END AS rows, CASE ingest WHEN 1 THEN early ELSE n END AS "values"
 FROM n, (VALUES (1, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (1, 'o_totalprice', 'double'), (1, 'o_orderdate', 'date'), (1, 'o_orderpriority', 'string'),
-                (2, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'string'), (2, 'o_totalprice', 'double'), (2, 'o_orderdate', 'string'), (2, 'o_orderpriority', 'string'))
+                (2, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'double'), (2, 'o_totalprice', 'double'), (2, 'o_orderdate', 'string'), (2, 'o_orderpriority', 'string'))
   AS v(ingest, "column", type)
 """
 

@@ -421,7 +421,7 @@ def profile_new_files(spark, sf_dir):
     """Orders as text in a directory of files; a second batch of files, in which an integer column has fractions and a date column
     other text, is ingested with the first batch's profiles kept. Per column: type after each ingest; the second profiled new files only."""
     o = table(spark, sf_dir, "orders")
-    text = _text_copy(o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"))
+    text = _text_copy(o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")).withColumn("o_custkey", F.col("o_custkey").cast("double"))
     late = F.col("o_orderkey").cast("long") % 10 == 3
     root = scratch_path(spark, "suite_files", unique=True)
     db, wb = f"{SUITE_DB}_profiles", "suite_profiles"
@@ -431,7 +431,7 @@ def profile_new_files(spark, sf_dir):
     for n in range(2):
         part = text.where(late if n else ~late)
         if n:
-            part = part.withColumn("o_custkey", F.concat("o_custkey", F.lit(".5"))).withColumn("o_orderdate", F.concat("o_orderdate", F.lit(" or so")))
+            part = part.withColumn("o_custkey", F.col("o_custkey") + 0.5).withColumn("o_orderdate", F.concat("o_orderdate", F.lit(" or so")))
         part.repartition(3).write.mode("append").parquet(f"{root}/data/orders.parquet")
         res = ingest(spark, DirectorySource(spark, f"{root}/data"), db, workbook=wb, declared=declared, control=control, track_changes=True)
         if res["status"] != "success" or res["tables"][0]["files_profiled"] != 3:
@@ -610,7 +610,8 @@ def notice_dedupe_stream(spark, sf_dir):
 
 def _year_files(spark, name):
     """Per ship or order year of a partitioned target, a digest of its files' names."""
-    return spark.table(name).groupBy("year").agg(F.md5(F.array_join(F.sort_array(F.collect_set(F.input_file_name())), ",")).alias("files"))
+    files = spark.table(name).select("year", F.input_file_name().alias("file")).distinct()
+    return files.groupBy("year").agg(F.md5(F.array_join(F.sort_array(F.collect_list("file")), ",")).alias("files"))
 
 
 def change_only_refresh(spark, sf_dir):
@@ -640,7 +641,7 @@ def change_only_refresh(spark, sf_dir):
 
 def keyed_upsert(spark, sf_dir):
     """K1, B1 on a target: two snapshots of orders, compared by key, merged into the target of the first. Orders of 1993 to 1995 were
-    inserted, updated and deleted, some moved to 1999, all of 1992 went; other years keep their files."""
+    inserted, updated and deleted, some moved to 2050, all of 1992 went; other years keep their files."""
     o = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
     k, db, name = F.col("o_orderkey"), f"{SUITE_DB}_upsert", "orders"
     ensure_namespace(spark, db)
@@ -649,7 +650,7 @@ def keyed_upsert(spark, sf_dir):
     old = o.where(~(some & (k % 7 == 0)))
     new = o.where("year <> 1992").where(~(some & (k % 5 == 0)))
     new = new.withColumn("o_totalprice", F.when(some & (k % 3 == 0), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
-    new = new.withColumn("year", F.when(some & (k % 11 == 0), F.lit(1999)).otherwise(F.col("year")))
+    new = new.withColumn("year", F.when(some & (k % 11 == 0), F.lit(2050)).otherwise(F.col("year")))
     write_table(spark, old, db, name, partition_by=["year"])
     before = scratch_path(spark, "suite_files", unique=True)
     _year_files(spark, f"{db}.{name}").write.parquet(before)
