@@ -36,7 +36,7 @@ def _position(df: DataFrame, name: str) -> int:
 
 def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_column: str,
                        how: str = "inner", *, skew_safe: bool = True, hot_share: int = 64,
-                       salt_buckets: int = 32) -> DataFrame:
+                       salt_buckets: int = 32, keys_in: DataFrame | None = None) -> DataFrame:
     """Equi-join along a relationship (left.from_column = right.to_column).
 
     Both sides get column names of their own inside, so a table may be joined with itself and names may hold
@@ -45,7 +45,8 @@ def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_c
     Skew: a key holding at least 1/hot_share of the left rows is hot; at most hot_share
     such keys exist (a proven bound) and they are found by one scan of the key with a
     bounded frequent-items aggregate (no shuffle, see ``skew.hot_keys``); a left side that is more than a scan
-    is landed once, so it does not run twice. Rows of hot and of null keys are spread over ``salt_buckets`` by
+    is landed once, so it does not run twice, unless ``keys_in`` names a frame that holds the same keys as often and is
+    scanned in its place (left, inner, semi and anti joins). Rows of hot and of null keys are spread over ``salt_buckets`` by
     the partition that holds them: equal rows spread too, and a retried task salts alike. Hot keys' right rows are
     replicated per salt with a generator (no cross join); null keys match nothing, so nothing is replicated for
     them; other keys keep salt 0. Right / full outer joins cannot be salted directly
@@ -68,11 +69,14 @@ def apply_relationship(left: DataFrame, right: DataFrame, from_column: str, to_c
         return matched.union(alone.select(*pad, *other)).toDF(*names)
     if not skew_safe or how_l not in SALTABLE_JOINS:
         return l.join(r, l[own[fk]] == r[other[pk]], how).toDF(*names)
-    return _salted(_read_once(l), r, own[fk], other[pk], how, hot_share=hot_share, salt_buckets=salt_buckets).toDF(*names)
+    hot = None
+    if keys_in is not None:
+        hot = hot_keys(keys_in.toDF(*[f"__k{i}" for i in range(len(keys_in.columns))]), f"__k{_position(keys_in, from_column)}", hot_share)
+    return _salted(l if hot is not None else _read_once(l), r, own[fk], other[pk], how, hot_share=hot_share, salt_buckets=salt_buckets, hot=hot).toDF(*names)
 
 
-def _salted(l: DataFrame, r: DataFrame, fk: str, pk: str, how: str, *, hot_share: int, salt_buckets: int) -> DataFrame:
-    hot = hot_keys(l, fk, hot_share)
+def _salted(l: DataFrame, r: DataFrame, fk: str, pk: str, how: str, *, hot_share: int, salt_buckets: int, hot: list | None = None) -> DataFrame:
+    hot = hot_keys(l, fk, hot_share) if hot is None else hot
     part = F.pmod(F.spark_partition_id(), F.lit(salt_buckets))
     l = l.withColumn("__salt_l", F.when(F.col(fk).isNull() | is_hot(F.col(fk), hot), part).otherwise(F.lit(0)))
     r = r.withColumn("__salt_r", F.explode(
@@ -225,14 +229,23 @@ def join_plan(tables: dict[str, DataFrame], relationships: list[tuple[str, str,
 
 def join_graph(tables: dict[str, DataFrame], relationships: list[tuple[str, str, str, str]], **options) -> DataFrame:
     """E3 over a workbook's whole relationship graph: one frame with a row per row of the table that ``join_plan`` starts from, columns named
-    ``table.column``; rows without a partner keep nulls. ``options`` go to ``apply_relationship``."""
+    ``table.column``; rows without a partner keep nulls. ``options`` go to ``apply_relationship``.
+
+    Every table first gets those looked up from it, so a far table is joined to the table that names it, not to the rows of the first one; as a row
+    of a table stays one row, the hot keys of a hop are those of the table itself. Nothing between the hops is landed, and columns that
+    nobody reads are not shuffled."""
+    tables = {t: _read_once(df) for t, df in tables.items()}
+
     def named(t: str) -> DataFrame:
         return tables[t].toDF(*[f"{t}.{c}" for c in tables[t].columns])
 
     def column(t: str, c: str) -> str:
         return f"{t}.{tables[t].columns[_position(tables[t], c)]}"
     start, ordered = join_plan(tables, relationships)
-    out = named(start)
-    for a, b, c, d in ordered:
-        out = apply_relationship(out, named(c), column(a, b), column(c, d), "left", **options)
-    return out
+    order = [start, *[hop[2] for hop in ordered]]
+    frames: dict[str, DataFrame] = {}
+    for t in reversed(order):
+        keys = frames[t] = named(t)
+        for _, b, c, d in (hop for hop in ordered if hop[0] == t):
+            frames[t] = apply_relationship(frames[t], frames.pop(c), column(t, b), column(c, d), "left", **{"keys_in": keys, **options})
+    return frames[start].select(*[F.col(f"`{c}`") for t in order for c in named(t).columns])

@@ -49,3 +49,18 @@ def test_bad_graphs_are_refused(spark, tables):
     many = spark.createDataFrame([(1,), (1,)], "r bigint")
     with pytest.raises(ValueError, match="both sides"):
         join_plan({**tables, "region": many}, EDGES)
+
+
+def test_graph_lands_nothing_between_hops(tables, monkeypatch):
+    """Tables that are plain scans are joined as they are, far ones first; hot keys come from the tables themselves."""
+    from lakewright.operators import relate
+
+    def landed(*args, **options):
+        raise AssertionError("a join was landed")
+    asked = []
+    monkeypatch.setattr(relate, "scratch_path", landed)
+    monkeypatch.setattr(relate, "hot_keys", lambda df, column, share, own=relate.hot_keys: asked.append("Join" in df._jdf.queryExecution().optimizedPlan().toString()) or own(df, column, share))
+    j = join_graph(tables, EDGES)
+    assert asked == [False] * 3 and j.count() == 900
+    want = {i: f"r{i % 4}" if i % 4 in (0, 1, 2) else None for i in range(1, 30)}
+    assert {(r[0], r[1]) for r in j.select("`dim.key`", "`region.name`").distinct().collect()} == {(None, None)} | set(want.items()) - {x for x in want.items() if x[0] not in {r.dim for r in tables["fact"].select("dim").distinct().collect()}}
