@@ -180,3 +180,21 @@ def test_log_size_follows_workbooks(spark, tmp_path):
     assert set(REGISTER_ATTRS) <= set(control.get("a")) and set(PATCH_ATTRS) <= set(REGISTER_ATTRS)
     control.write_json(str(tmp_path / "json"))
     assert {r.workbook_name for r in spark.read.json(str(tmp_path / "json")).collect()} == {"a", "b"}
+
+
+def test_equal_rows_of_the_refresh_come_in_bounded_tasks(spark, monkeypatch):
+    """The refresh query's second source is spread over tasks by its size, not over a fixed number of them, and has every row."""
+    from lakewright.suite import spark_side
+
+    class Seen(Exception):
+        pass
+
+    def seen(spark, control, workbook, source):
+        df = source.tables["lineitem"]
+        raise Seen(df._jdf.queryExecution().optimizedPlan().toString(), pinned(df), df.count())
+    monkeypatch.setattr(spark_side, "refresh", seen)
+    with pytest.raises(Seen) as found:
+        spark_side.change_only_refresh(spark, "/root/testdata/sf0.001")
+    plan, kept, rows = found.value.args
+    assert plan.startswith("RebalancePartitions") and not kept
+    assert rows == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").where("year(l_shipdate) <> 1998").count()
