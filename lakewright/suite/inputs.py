@@ -19,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of a table whose rows are small beside what is built from each.
+ROWS_A_TASK = 20_000
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` into tasks of about ROWS_A_TASK rows: a few MB of file would be read by a task or two, whatever is built from a row."""
+    return df.repartition(max(1, -(-df.count() // ROWS_A_TASK)), key)
+
+
 def pick(options: list, index: Column) -> Column:
     """options[index] for a 0-based index column."""
     return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))

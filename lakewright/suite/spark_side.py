@@ -33,7 +33,7 @@ from lakewright.sinks.tables import drop_tables, ensure_namespace, write_table
 from lakewright.sources.catalog import DirectorySource, FrameSource
 from lakewright.sources.files import read_table_file
 from lakewright.sources.workbooks import list_workbook_files, read_workbooks
-from lakewright.suite.inputs import (customer_workbooks, date_text, events_as_control_log, pick, table,
+from lakewright.suite.inputs import (customer_workbooks, date_text, events_as_control_log, pick, spread, table,
                                      ts_text)
 
 SUITE_DB = "lakewright_suite"
@@ -362,7 +362,7 @@ def run_history_topn(spark, sf_dir):
 
 # ---------------------------------------------------------------- workbooks
 def _corpus(spark, sf_dir):
-    return customer_workbooks(table(spark, sf_dir, "customer"))
+    return customer_workbooks(spread(table(spark, sf_dir, "customer"), "c_custkey"))
 
 
 def workbook_columns_q(spark, sf_dir):

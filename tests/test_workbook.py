@@ -107,3 +107,13 @@ def test_keys_joined_by_and(spark):
            + "</expression><first-end-point object-id='X'/><second-end-point object-id='Y'/></relationship></relationships></object-graph></datasource></w>")
     got = [tuple(r)[1:] for r in W.workbook_relationships(corpus(spark, {"w": doc})).orderBy("pos").collect()]
     assert got == [("X", "A", "Y", "B", 0), ("X", "C", "Y", "D", 1)]
+
+
+def test_documents_are_parsed_in_tasks_of_bounded_size(spark, monkeypatch):
+    """A table of one small file still gives the workbook queries a task per so many documents, with every row."""
+    from lakewright.suite import inputs, spark_side
+    monkeypatch.setattr(inputs, "ROWS_A_TASK", 30, raising=False)
+    corpus = spark_side._corpus(spark, "/root/testdata/sf0.001")
+    plain = inputs.customer_workbooks(inputs.table(spark, "/root/testdata/sf0.001", "customer"))
+    assert corpus.rdd.getNumPartitions() == -(-plain.count() // 30) > 1
+    assert corpus.exceptAll(plain).count() == 0 and corpus.count() == plain.count()
