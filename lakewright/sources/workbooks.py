@@ -23,6 +23,9 @@ WORKBOOK_SUFFIX = ".twb"
 PACKAGED_SUFFIX = ".twbx"
 EXTRACT_SUFFIX = ".hyper"
 
+#: Spark plans a task for every 32 small files; one opens those of so many such tasks, once there are more than TASKS_A_CORE a core.
+FOLD, TASKS_A_CORE = 64, 4
+
 WORKBOOK_SCHEMA = T.StructType([
     T.StructField("workbook", T.StringType()),
     T.StructField("path", T.StringType()),
@@ -90,6 +93,8 @@ def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
     low = F.lower("path")
     files = files.where(low.endswith(WORKBOOK_SUFFIX) | low.endswith(PACKAGED_SUFFIX)).select("path", "content")
+    planned = files.rdd.getNumPartitions()
+    files = files.coalesce(min(planned, max(-(-planned // FOLD), spark.sparkContext.defaultParallelism * TASKS_A_CORE)) or 1)
     return files.mapInPandas(_unpack, WORKBOOK_SCHEMA)
 
 

@@ -22,7 +22,7 @@ from lakewright.operators.profile import column_profile
 from lakewright.operators.relate import all_orphans, apply_relationship, join_graph, relationship_orphans
 from lakewright.operators.sync import catalog_diff
 from lakewright.operators.typing import coerce_table
-from lakewright.operators.workbook import (parse_errors, workbook_columns, workbook_connections,
+from lakewright.operators.workbook import (extract_metadata, parse_errors, workbook_columns, workbook_connections,
                                            workbook_relationships, workbook_tables)
 from lakewright.plans.ingest import ingest, select_tables, table_results_frame
 from lakewright.plans.incremental import upsert
@@ -444,13 +444,17 @@ def profile_new_files(spark, sf_dir):
 
 
 def _write_files(root):
-    """Writes each (name, content) below ``root`` as a file of that name."""
+    """Writes each (name, content) below ``root``, in the folder ``at``, as a file of that name."""
     def run(batches):
         from pyarrow import fs
         store, base = fs.FileSystem.from_uri(root)
+        made = set()
         for pdf in batches:
-            for name, content in zip(pdf["name"], pdf["content"]):
-                with store.open_output_stream(f"{base}/{name}") as f:
+            for name, content, at in zip(pdf["name"], pdf["content"], pdf["at"]):
+                if at not in made:
+                    store.create_dir(f"{base}/{at}", recursive=True)
+                    made.add(at)
+                with store.open_output_stream(f"{base}/{at}/{name}") as f:
                     f.write(content)
             yield pdf[["name"]]
     return run
@@ -471,14 +475,14 @@ def _zipped(batches):
                     z.writestr("book.twb", bytes(content))
                 content = buffer.getvalue()
             out.append(content)
-        yield pdf[["name"]].assign(content=out)
+        yield pdf[["name", "at"]].assign(content=out)
 
 
 def _workbook_folder(spark, docs):
-    """``docs`` (name, content, packaged) written as files by the executors; the folder."""
+    """``docs`` (name, content, packaged) written as files by the executors, each task's into a folder of its own, so that the executors list them too; the folder."""
     root = scratch_path(spark, "suite_files", unique=True)
     root = root if "://" in root or root.startswith("file:") else f"file://{root}"
-    packed = docs.mapInPandas(_zipped, "name string, content binary")
+    packed = docs.withColumn("at", F.concat(F.lit("d"), F.spark_partition_id().cast("string"))).mapInPandas(_zipped, "name string, at string, content binary")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
@@ -488,24 +492,26 @@ def _workbook_folder(spark, docs):
 
 def workbook_listing(spark, sf_dir):
     """One file a supplier under the supplier's name, two in three with a workbook suffix in either case; content not read."""
-    s = table(spark, sf_dir, "supplier")
+    s = spread(table(spark, sf_dir, "supplier"), "s_suppkey")
     k = F.col("s_suppkey")
     suffix = F.when(k % 3 == 0, ".twb").when(k % 3 == 1, ".TWBX").otherwise(".txt")
     stem = F.when(k % 4 == 0, F.concat("s_name", F.lit(".v2"))).otherwise(F.col("s_name"))
     docs = s.select(F.concat(stem, suffix).alias("name"), F.encode(F.repeat(F.lit("x"), (k % 9 + 1).cast("int")), "UTF-8").alias("content"), F.lit(False).alias("packaged"))
-    listed = list_workbook_files(spark, _workbook_folder(spark, docs.repartition(8)))
+    listed = list_workbook_files(spark, _workbook_folder(spark, docs))
     return listed.select("workbook", F.col("length").cast("long").alias("length"), "error")
 
 
 def workbook_read(spark, sf_dir):
     """A2, A10: a customer's workbook a file, every third one packaged, every 19th without content: what each file holds, and how many columns it declares."""
-    corpus = customer_workbooks(table(spark, sf_dir, "customer")).withColumn("k", F.regexp_extract("workbook", "[0-9]+", 0).cast("long"))
+    corpus = _corpus(spark, sf_dir).withColumn("k", F.regexp_extract("workbook", "[0-9]+", 0).cast("long"))
     packaged = F.col("k") % 3 == 0
     content = F.when((F.col("k") % 19 == 0) & packaged, F.lit(b"")).otherwise(F.col("content"))
     docs = corpus.select(F.concat("workbook", F.when(packaged, ".twbx").otherwise(".twb")).alias("name"), content.alias("content"), packaged.alias("packaged"))
-    read = read_workbooks(spark, _workbook_folder(spark, docs.repartition(8)))
-    columns = workbook_columns(read.where("error IS NULL").select("workbook", "content")).groupBy("workbook").agg(F.count(F.lit(1)).alias("n_columns"))
-    return read.join(columns, "workbook", "left").select("workbook", "has_extract", "error", F.col("content").isNotNull().alias("has_document"), F.coalesce("n_columns", F.lit(0)).alias("n_columns"))
+    read = read_workbooks(spark, _workbook_folder(spark, docs))
+    # each file is opened and parsed once; what it holds is landed, not the document
+    parsed = extract_metadata(read.withColumn("has_document", F.col("content").isNotNull()))["parsed"]
+    columns = workbook_columns(parsed.where("error IS NULL")).groupBy("workbook").agg(F.count(F.lit(1)).alias("n_columns"))
+    return parsed.join(columns, "workbook", "left").select("workbook", "has_extract", "error", "has_document", F.coalesce("n_columns", F.lit(0)).alias("n_columns"))
 
 
 RELATIONSHIPS = [("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),

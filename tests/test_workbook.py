@@ -117,3 +117,21 @@ def test_documents_are_parsed_in_tasks_of_bounded_size(spark, monkeypatch):
     plain = inputs.customer_workbooks(inputs.table(spark, "/root/testdata/sf0.001", "customer"))
     assert corpus.rdd.getNumPartitions() == -(-plain.count() // 30) > 1
     assert corpus.exceptAll(plain).count() == 0 and corpus.count() == plain.count()
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    """Files are written into a folder a task, and read by fewer tasks than Spark plans for small files; each is read once."""
+    from lakewright.sources import workbooks
+    from lakewright.suite import inputs, spark_side
+    monkeypatch.setattr(inputs, "ROWS_A_TASK", 30, raising=False)
+    monkeypatch.setattr(workbooks, "TASKS_A_CORE", 0, raising=False)
+    seen = []
+    monkeypatch.setattr(spark_side, "read_workbooks", lambda s, root: seen.append((root, workbooks.read_workbooks(s, root))) or seen[-1][1])
+    got = spark_side.workbook_read(spark, "/root/testdata/sf0.001")
+    n = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+    assert got.count() == got.select("workbook").distinct().count() == n and got.where("has_document").count() > 0
+    root, read = seen[0]
+    folders = [p for p in __import__("os").listdir(root.removeprefix("file://")) if not p.startswith(".")]
+    assert len(folders) == -(-n // 30) > 1
+    assert read.rdd.getNumPartitions() == 1 and read.count() == n
+    assert "binaryFile" not in got._jdf.queryExecution().optimizedPlan().toString() and "MapInArrow" not in got._jdf.queryExecution().optimizedPlan().toString()
