@@ -198,3 +198,35 @@ def test_substring_dedup(spark, awkward, nothing, memory):
         assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got if alone[r.doc_id] == 1} == want
         assert sum(r.n_removed for r in got) == sum(len((t or "").encode()) - len(k) for (_, t, _), (k, _) in zip(rows, kept))
     assert dedup_substrings(nothing).count() == 0
+
+
+def test_only_repeated_anchors_give_segments(spark, monkeypatch):
+    """However many anchors there are, those that occur once give no segment; parts and rounds of keys of any size give the same."""
+    import random
+
+    from lakewright.llm import exact, suffix
+    own = random.Random(3)
+    texts = ["".join(own.choice("abcdefghij ") for _ in range(600)) for _ in range(150)]
+    texts[7] = texts[3][:200] + texts[7] + texts[9][100:260]
+    texts[8] = texts[8][:300] + texts[8][100:300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    # a filter that is as full as that of a large table
+    monkeypatch.setattr(suffix, "repeat_filter", lambda h, n: exact.repeat_filter(h, n, max_cells=512), raising=False)
+    rows, staged = {}, suffix.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        rows[name] = out.count()
+        return out
+    monkeypatch.setattr(suffix, "staged", counted)
+    kept = [k for k, _ in brute.repeated_bytes([t.encode() for t in texts], 100)]
+    assert sum(map(len, kept)) < sum(map(len, texts))
+
+    def same(**sizes):
+        got = {r.doc_id: bytes(r.kept) for r in suffix.dedup_substrings(docs, **sizes).collect()}
+        assert [got[d] for d in range(len(texts))] == kept
+    same()
+    assert 0 < rows["suffix-segments"] <= 60
+    monkeypatch.setattr(suffix, "HELD_KEYS", 40)
+    same(part_keys=100)
+    assert 0 < rows["suffix-segments"] <= 60
