@@ -9,7 +9,11 @@ the job.
 from __future__ import annotations
 
 import io
+import re
 import zipfile
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewright.functions.names import file_stem
+from lakewright.session import scratch_path
 
 # Workbook and extract file suffixes.
 WORKBOOK_SUFFIX = ".twb"
@@ -26,6 +31,9 @@ EXTRACT_SUFFIX = ".hyper"
 #: Spark plans a task for every 32 small files; one opens those of so many such tasks, once there are more than TASKS_A_CORE a core.
 FOLD, TASKS_A_CORE = 64, 4
 
+#: Files whose names and tasks the driver holds at once, and threads that count files of folders.
+FILES_AT_ONCE, COUNTERS = 50_000, 8
+
 WORKBOOK_SCHEMA = T.StructType([
     T.StructField("workbook", T.StringType()),
     T.StructField("path", T.StringType()),
@@ -88,9 +96,69 @@ def _unpack(batches):
         yield pd.DataFrame(out, columns=[f.name for f in WORKBOOK_SCHEMA.fields])
 
 
-def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
-    """A10: one row per workbook file: (workbook, path, content, has_extract, error); ``content`` is the document as it lies there."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
+def _groups(spark: SparkSession, root: str) -> Iterator[list[str]]:
+    """Paths that together hold what lies below ``root``, in groups of at most FILES_AT_ONCE files: folders, and files of folders that hold more.
+
+    Only one folder's entries are held at a time, page by page where the store lists so; what Spark's listing hides is left out here too."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(conf)
+    if not fs.exists(top) or fs.getContentSummary(top).getFileCount() <= FILES_AT_ONCE:
+        yield [root]
+        return
+
+    def hidden(name: str) -> bool:
+        return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+    def literal(path) -> str:
+        return re.sub(r"([\\{}\[\]*?])", r"\\\1", path.toString())
+
+    group, held, folders = [], 0, [top]
+    while folders:
+        inside, entries = [], fs.listStatusIterator(folders.pop())
+        while entries.hasNext():
+            entry = entries.next()
+            path = entry.getPath()
+            if hidden(name := path.getName()):
+                continue
+            if entry.isDirectory():
+                inside.append(path)
+            elif name.lower().endswith((WORKBOOK_SUFFIX, PACKAGED_SUFFIX)):
+                if held >= FILES_AT_ONCE:
+                    yield group
+                    group, held = [], 0
+                group.append(literal(path))
+                held += 1
+        with ThreadPoolExecutor(COUNTERS) as pool:
+            counts = list(pool.map(lambda p: fs.getContentSummary(p).getFileCount(), inside))
+        for path, n in zip(inside, counts):
+            if n > FILES_AT_ONCE:
+                folders.append(path)
+            elif n:
+                if held + n > FILES_AT_ONCE:
+                    yield group
+                    group, held = [], 0
+                group.append(literal(path))
+                held += n
+    if group:
+        yield group
+
+
+@contextmanager
+def _listing_not_kept(spark: SparkSession):
+    """Within, the names that a read lists go with it; else Spark keeps up to 250 MB of them in the driver, of reads long done."""
+    key = "spark.sql.hive.filesourcePartitionFileCacheSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _opened(spark: SparkSession, paths: list[str]) -> DataFrame:
+    with _listing_not_kept(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     low = F.lower("path")
     files = files.where(low.endswith(WORKBOOK_SUFFIX) | low.endswith(PACKAGED_SUFFIX)).select("path", "content")
     planned = files.rdd.getNumPartitions()
@@ -98,6 +166,23 @@ def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
     return files.mapInPandas(_unpack, WORKBOOK_SCHEMA)
 
 
+def read_workbooks(spark: SparkSession, root: str) -> DataFrame:
+    """A10: one row per workbook file: (workbook, path, content, has_extract, error); ``content`` is the document as it lies there.
+
+    The driver holds the names of at most FILES_AT_ONCE files: of more, each group's rows are landed in the shared scratch folder before the next is listed."""
+    groups = _groups(spark, root)
+    first = next(groups, [root])
+    group = next(groups, None)
+    if group is None:
+        return _opened(spark, first)
+    path = scratch_path(spark, "workbook_files", unique=True)
+    _opened(spark, first).write.parquet(path)
+    while group is not None:
+        _opened(spark, group).write.mode("append").parquet(path)
+        group = next(groups, None)
+    return spark.read.schema(WORKBOOK_SCHEMA).parquet(path)
+
+
 def load_registry_json(spark: SparkSession, path: str, record_schema: T.StructType) -> DataFrame:
     """A JSON object keyed by workbook -> one row per record; missing or corrupt -> empty."""
     try:

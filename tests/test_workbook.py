@@ -1,4 +1,6 @@
 """Workbook corpus extraction (L7) on the documented XML shape plus edge documents."""
+import pytest
+
 from lakewright.operators import workbook as W
 
 DOC = """<workbook><datasources><datasource>
@@ -135,3 +137,28 @@ def test_many_small_files_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
     assert len(folders) == -(-n // 30) > 1
     assert read.rdd.getNumPartitions() == 1 and read.count() == n
     assert "binaryFile" not in got._jdf.queryExecution().optimizedPlan().toString() and "MapInArrow" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("most", [4, 7])
+def test_driver_lists_few_files_at_once(spark, tmp_path, monkeypatch, most):
+    """More files than the driver may list are read in groups: of folders, of files beside folders, of one large folder; each file once."""
+    from pyspark.sql import DataFrameReader
+
+    from lakewright.sources import workbooks
+    names = [f"{d}/f{n}.twb" for d, k in (("a", 3), ("b/x", 2), ("b/y", 4), ("b [1]", 3), ("c", 9), (".", 5)) for n in range(k)] + ["p {q}*.twb", "b/other.txt"]
+    for name in [*names, "_hidden/h.twb", "c/_h.twb"]:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    monkeypatch.setattr(workbooks, "FILES_AT_ONCE", most, raising=False)
+    sizes, load = [], DataFrameReader.load
+
+    def loaded(self, path=None, **options):
+        out = load(self, path, **options)
+        sizes.append(len(out.inputFiles()))
+        return out
+    monkeypatch.setattr(DataFrameReader, "load", loaded)
+    rows = workbooks.read_workbooks(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r.content).decode() for r in rows) == sorted(n for n in names if n.endswith(".twb"))
+    assert len(sizes) > 1 and max(sizes) <= most
+    sizes.clear()
+    assert [bytes(r.content) for r in workbooks.read_workbooks(spark, str(tmp_path / "a" / "f1.twb")).collect()] == [b"a/f1.twb"]
